@@ -1,0 +1 @@
+"""Empty on purpose: every report is a batch over closed days, and no streaming operator is called for."""
