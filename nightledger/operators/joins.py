@@ -7,6 +7,7 @@ shuffles otherwise.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -73,6 +74,107 @@ def interval_join(
     )
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """What to find for an asked second: the nearest row of ``rows`` with the same key.
+
+    ``direction`` is ``backward`` (at or before), ``forward`` (at or after) or ``nearest``
+    (the earlier one on equal distance); ``strict`` excludes equal times and ``tolerance``
+    bounds the distance. Rows of the same second are reduced to the smallest by ``order``.
+    """
+
+    name: str
+    rows: DataFrame
+    time: str
+    cols: Sequence[str]
+    order: Sequence[str]
+    direction: str = "backward"
+    tolerance: int | None = None
+    strict: bool = False
+
+    def ways(self) -> list[str]:
+        return {"backward": ["before"], "forward": ["after"], "nearest": ["before", "after"]}[self.direction]
+
+    def per_second(self, keys: Sequence[str]) -> DataFrame:
+        row = F.struct(F.col("_t").alias("matched_time"), *[F.col(f"_v.{c}").alias(c) for c in self.cols])
+        return (
+            self.rows.groupBy(*keys, F.col(self.time).cast("bigint").alias("_t"))
+            .agg(F.min_by(F.struct(*self.cols), F.struct(*self.order)).alias("_v"))
+            # Strict rows sort after the asking row of their second and so are not seen by it.
+            .select(*keys, "_t", F.lit(2 if self.strict else 0).alias("_turn"), row.alias(self.name))
+        )
+
+    def pick(self, before: Column | None, after: Column | None) -> Column:
+        if before is None or after is None:
+            hit = after if before is None else before
+        else:
+            closer = (after.getField("matched_time") - F.col("_t")) < (F.col("_t") - before.getField("matched_time"))
+            hit = F.when(before.isNull() | closer, after).otherwise(before)
+        if self.tolerance is None:
+            return hit
+        return F.when(F.abs(hit.getField("matched_time") - F.col("_t")) <= self.tolerance, hit)
+
+
+def nearest_lookup(
+    asks: DataFrame, on: Sequence[str], time: str, lookups: Sequence[Lookup], slot: int | None = DAY
+) -> DataFrame:
+    """Distinct (key, second) asked for, with one struct per lookup: ``matched_time`` and its columns, or NULL.
+
+    All sides are first reduced to one row per (key, second), and the windows run within
+    (key, slot) only; what a slot inherits from its neighbours comes from one row per slot.
+    So a window holds at most one row per second of a slot and side however many rows a key
+    has, and no pairs are formed. Where ``on`` already holds the day, ``slot`` is None: a key
+    then spans one day and nothing is inherited.
+    """
+    keys = list(on)
+    marks = asks.select(*keys, F.col(time).cast("bigint").alias("_t")).distinct().withColumn("_turn", F.lit(1))
+    for lookup in lookups:
+        marks = marks.unionByName(lookup.per_second(keys), allowMissingColumns=True)
+    if slot is not None:
+        marks = marks.withColumn("_slot", F.floor(F.col("_t") / slot))
+    part = keys if slot is None else [*keys, "_slot"]
+    inside = Window.partitionBy(*part)
+    order = {"before": F.col("_t").asc(), "after": F.col("_t").desc()}
+    running = {}
+    for lookup in lookups:
+        for way in lookup.ways():
+            frame = inside.orderBy(order[way], "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+            running[f"_{way}_{lookup.name}"] = F.last(lookup.name, ignorenulls=True).over(frame)
+    found = marks.select(*part, *([] if "_t" in part else ["_t"]), "_turn", *[c.alias(n) for n, c in running.items()])
+    found = found.filter(F.col("_turn") == 1)
+    if slot is not None:
+        found = found.join(_slot_edges(marks, keys, lookups), part)
+
+    def seen(lookup: Lookup, way: str) -> Column | None:
+        if way not in lookup.ways():
+            return None
+        here = F.col(f"_{way}_{lookup.name}")
+        return here if slot is None else F.coalesce(here, F.col(f"_carry_{way}_{lookup.name}"))
+
+    return found.select(
+        *keys,
+        F.col("_t").alias(time),
+        *[lookup.pick(seen(lookup, "before"), seen(lookup, "after")).alias(lookup.name) for lookup in lookups],
+    )
+
+
+def _slot_edges(marks: DataFrame, keys: list[str], lookups: Sequence[Lookup]) -> DataFrame:
+    """Per (key, slot), the nearest row of each lookup in an earlier and in a later slot."""
+    by_slot = Window.partitionBy(*keys).orderBy("_slot")
+    earlier = by_slot.rowsBetween(Window.unboundedPreceding, -1)
+    later = by_slot.rowsBetween(1, Window.unboundedFollowing)
+    edges, carries = [], []
+    for lookup in lookups:
+        own = F.when(F.col(lookup.name).isNotNull(), F.col("_t"))
+        for way in lookup.ways():
+            name = f"_{way}_{lookup.name}"
+            before = way == "before"
+            edges.append((F.max_by if before else F.min_by)(lookup.name, own).alias(name))
+            carry = F.last(name, True).over(earlier) if before else F.first(name, True).over(later)
+            carries.append(carry.alias(f"_carry{name}"))
+    return marks.groupBy(*keys, "_slot").agg(*edges).select(*keys, "_slot", *carries)
+
+
 def nearest_join(
     left: DataFrame,
     right: DataFrame,
@@ -84,74 +186,16 @@ def nearest_join(
     direction: str = "backward",
     tolerance: int | None = None,
     strict: bool = False,
-    slot: int = DAY,
+    slot: int | None = DAY,
 ) -> DataFrame:
-    """Each left row with the nearest right row of the same key, or NULLs.
+    """Each left row with ``matched_time`` and ``cols`` of the nearest right row of its key, or NULLs.
 
-    ``direction`` is ``backward`` (at or before), ``forward`` (at or after) or ``nearest``
-    (the earlier one on equal distance); ``strict`` excludes equal times. ``cols`` and the
-    matched time, as ``matched_time``, are added. Right rows of the same second are reduced
-    to the smallest by ``order``.
-
-    Both sides are first reduced to one row per (key, second), and the window runs within
-    (key, slot) only; what a slot inherits from its neighbours comes from one row per slot.
-    So the largest window holds two rows per second of a slot however many rows a key has,
-    and no pairs are formed.
+    See :class:`Lookup` for the rules and :func:`nearest_lookup` for how it scales.
     """
-    keys = list(on)
-    marked = F.struct(F.col("_t").alias("matched_time"), *[F.col(f"_v.{c}").alias(c) for c in cols])
-    rows = (
-        right.withColumn("_t", F.col(right_time).cast("bigint"))
-        .groupBy(*keys, "_t")
-        .agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_v"))
-        .select(*keys, "_t", marked.alias("_row"))
-    )
-    asked = left.select(*keys, F.col(left_time).cast("bigint").alias("_t")).distinct()
-    row_type = rows.schema["_row"].dataType
-    marks = rows.withColumn("_asks", F.lit(0)).unionByName(
-        asked.select(*keys, "_t", F.lit(None).cast(row_type).alias("_row"), F.lit(1).alias("_asks"))
-    )
-    marks = marks.withColumn("_slot", F.floor(F.col("_t") / slot))
-
-    ways = {"backward": ["before"], "forward": ["after"], "nearest": ["before", "after"]}[direction]
-    edges = marks.groupBy(*keys, "_slot").agg(
-        F.max_by("_row", F.when(F.col("_asks") == 0, F.col("_t"))).alias("_last"),
-        F.min_by("_row", F.when(F.col("_asks") == 0, F.col("_t"))).alias("_first"),
-    )
-    by_slot = Window.partitionBy(*keys).orderBy("_slot")
-    inside = Window.partitionBy(*keys, "_slot")
-    for way in ways:
-        # Equal times count unless strict; in the nearest case they are found going backward.
-        asks_first = strict or (direction == "nearest" and way == "after")
-        side = F.col("_asks").desc() if asks_first else F.col("_asks").asc()
-        if way == "before":
-            order_in = inside.orderBy(F.col("_t").asc(), side)
-            carry = F.last("_last", ignorenulls=True).over(by_slot.rowsBetween(Window.unboundedPreceding, -1))
-        else:
-            order_in = inside.orderBy(F.col("_t").desc(), side)
-            carry = F.first("_first", ignorenulls=True).over(by_slot.rowsBetween(1, Window.unboundedFollowing))
-        running = order_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        marks = marks.withColumn(f"_in_{way}", F.last("_row", ignorenulls=True).over(running))
-        edges = edges.withColumn(f"_carry_{way}", carry)
-
-    found = marks.filter(F.col("_asks") == 1).join(
-        edges.select(*keys, "_slot", *[f"_carry_{w}" for w in ways]), [*keys, "_slot"]
-    )
-    hits = {w: F.coalesce(F.col(f"_in_{w}"), F.col(f"_carry_{w}")) for w in ways}
-    if direction == "nearest":
-        back, ahead = hits["before"], hits["after"]
-        closer_ahead = (ahead.getField("matched_time") - F.col("_t")) < (F.col("_t") - back.getField("matched_time"))
-        hit = F.when(back.isNull() | closer_ahead, ahead).otherwise(back)
-    else:
-        hit = hits[ways[0]]
-    found = found.select(*keys, "_t", hit.alias("_hit"))
-    if tolerance is not None:
-        near = F.abs(F.col("_hit.matched_time") - F.col("_t")) <= tolerance
-        found = found.withColumn("_hit", F.when(near, F.col("_hit")))
-    return (
-        left.withColumn("_t", F.col(left_time).cast("bigint"))
-        .join(found, [*keys, "_t"], "left")
-        .select(*left.columns, "_hit.matched_time", *[f"_hit.{c}" for c in cols])
+    lookup = Lookup("_hit", right, right_time, cols, order, direction, tolerance, strict)
+    found = nearest_lookup(left, on, left_time, [lookup], slot)
+    return left.join(found, [*on, left_time], "left").select(
+        *left.columns, "_hit.matched_time", *[f"_hit.{c}" for c in cols]
     )
 
 

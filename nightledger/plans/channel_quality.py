@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -109,23 +111,25 @@ def on_air_facts(devices: DataFrame, heartbeats: DataFrame, workload: DataFrame,
 
 
 def device_facts(
-    first_visit: DataFrame,
-    requests: DataFrame,
+    devices: DataFrame,
+    requested: DataFrame,
     heartbeats: DataFrame,
     workload: DataFrame,
     register: DataFrame,
     recharge: DataFrame,
     spend: DataFrame,
 ) -> DataFrame:
-    """One row per day and new device with everything the channel rules look at."""
+    """One row per day and new device with everything the channel rules look at.
+
+    ``devices`` comes from :func:`new_devices`, ``requested`` from :func:`request_facts`.
+    """
     c = F.col
-    devices = new_devices(first_visit)
     registered = register.filter(version_gate(c("channel_id"))).select("dt", "uid", "idfa")
     paid = recharge.filter(
         (c("rechange_status") == codes.PAY_SUCCESS) & (c("rechange_channel") < codes.COIN_FROM)
     )
     facts = (
-        devices.join(request_facts(requests).drop("row"), DEVICE, "left")
+        devices.join(requested.drop("row"), DEVICE, "left")
         .join(beat_counts(heartbeats), DEVICE, "left")
         .join(on_air_facts(devices, heartbeats, workload), DEVICE, "left")
         .join(active_devices(registered, paid, "recharge"), DEVICE, "left")
@@ -153,11 +157,13 @@ def _login_rate() -> Column:
     return F.sum(F.col("login_qq") + F.col("login_weixin")).cast("double") / F.count(F.lit(1))
 
 
-def login_baselines(facts: DataFrame, register: DataFrame) -> DataFrame:
+def login_baselines(devices: DataFrame, requested: DataFrame, register: DataFrame) -> DataFrame:
     """Login rate of the standard channels per day and class; a fixed rate where it is 0 or nobody registered."""
     c = F.col
     rates = (
-        facts.withColumn("class", standard_class(c("channel_id")))
+        devices.join(requested.select(*DEVICE, "login_qq", "login_weixin"), DEVICE, "left")
+        .fillna(0, ["login_qq", "login_weixin"])
+        .withColumn("class", standard_class(c("channel_id")))
         .filter(c("class") < 4)
         .groupBy("dt", "class")
         .agg(_login_rate().alias("rate"))
@@ -166,7 +172,7 @@ def login_baselines(facts: DataFrame, register: DataFrame) -> DataFrame:
         register.filter(version_gate(c("channel_id")))
         .select("dt", "idfa", standard_class(c("channel_id")).alias("class"))
         .join(
-            facts.filter(c("dateline") > dt_to_epoch(c("dt"))).select(*DEVICE), DEVICE, "left_semi"
+            devices.filter(c("dateline") > dt_to_epoch(c("dt"))).select(*DEVICE), DEVICE, "left_semi"
         )
         .groupBy("dt", "class")
         .agg(F.count(F.lit(1)).alias("added"))
@@ -180,9 +186,9 @@ def login_baselines(facts: DataFrame, register: DataFrame) -> DataFrame:
     )
 
 
-def failed_checksums(requests: DataFrame) -> DataFrame:
+def failed_checksums(requested: DataFrame) -> DataFrame:
     """Android devices per day and channel whose checksum did not pass."""
-    rows = request_facts(requests).select("dt", "row.*").filter(
+    rows = requested.select("dt", "row.*").filter(
         (F.col("terminal") == codes.DEVICE_ANDROID) & (F.col("channelid") != codes.PLACEHOLDER_CHANNEL)
     )
     failed = ~F.coalesce(F.col("idfv") == 1, F.lit(False))
@@ -348,10 +354,18 @@ def channel_quality(
     partners: DataFrame,
     quota: DataFrame,
     previous: DataFrame | None = None,
+    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
-    """Quality and settlement per day and channel."""
-    facts = device_facts(first_visit, requests, heartbeats, workload, register, recharge, spend)
-    counts = channel_counts(facts, login_baselines(facts, register), failed_checksums(requests))
+    """Quality and settlement per day and channel.
+
+    ``keep`` is applied to the frames read more than once; a cluster run passes
+    :func:`nightledger.session.cut_lineage` so that the request log is scanned once.
+    """
+    devices = keep(new_devices(first_visit))
+    requested = keep(request_facts(requests))
+    facts = device_facts(devices, requested, heartbeats, workload, register, recharge, spend)
+    baselines = login_baselines(devices, requested, register)
+    counts = keep(channel_counts(facts, baselines, failed_checksums(requested)))
     return settle(counts, prices, discounts, partners, quota, previous)
 
 

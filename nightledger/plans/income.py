@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.functions import codes
 from nightledger.functions.numeric import count_if
 from nightledger.operators.aggs import pivot_counts, pivot_sums
-from nightledger.operators.joins import enrich, label_by_precedence, nearest_join, with_memberships
+from nightledger.operators.joins import Lookup, label_by_precedence, nearest_join, nearest_lookup, with_memberships
 from nightledger.operators.merge import merge_add
 from nightledger.operators.windows import drop_later_duplicates
 
@@ -18,11 +18,6 @@ DEVICE_COLS = ["idfa", "actid", "ipaddr", "channelid", "chantype", "chanver", "c
 TEXT_COLS = {"idfa", "channelid"}
 
 
-def _missing_as_zero(name: str, *sources: str):
-    zero = F.lit("0") if name in TEXT_COLS else F.lit(0)
-    return F.coalesce(*[F.col(s) for s in sources], zero)
-
-
 def payments(recharge: DataFrame) -> DataFrame:
     """Payments split into money and coin, one row per successful official order."""
     kind = F.col("rechange_channel")
@@ -84,24 +79,23 @@ def refunded_charges(ledger: DataFrame, within: int = 3600, internal_agents=code
     ).filter(F.col("matched_time").isNotNull())
 
 
-def attribute_requests(pays: DataFrame, pay_req: DataFrame, tolerance: int = 5) -> DataFrame:
-    """Device columns from the user's nearest pay request of the day, at most ``tolerance`` seconds away."""
-    return nearest_join(
-        pays, pay_req, ["dt", "uid"], "dateline", "dateline", DEVICE_COLS, ["id"], "nearest", tolerance
-    ).drop("matched_time")
+def _placed(name: str) -> Column:
+    """Device column of the pay request if that gave a channel type, else of the online record, else 0."""
+    zero = F.lit("0") if name in TEXT_COLS else F.lit(0)
+    requested = F.when(F.col("req.chantype") > 0, F.coalesce(F.col(f"req.{name}"), zero))
+    return F.coalesce(requested, F.col(f"seen.{name}"), zero)
 
 
-def attribute_online(detail: DataFrame, online: DataFrame) -> DataFrame:
-    """Where no pay request gave a channel type, device columns of the user's last online record that day."""
-    renamed = online.select("dt", "uid", "dateline", *[F.col(c).alias(f"o_{c}") for c in DEVICE_COLS])
-    joined = nearest_join(
-        detail, renamed, ["dt", "uid"], "dateline", "dateline", [f"o_{c}" for c in DEVICE_COLS], ["o_actid"]
+def attribute(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """Add the device columns found for each row's user and second; refunds have no pay request."""
+    paid_only = found.withColumnRenamed("req", "_req")
+    joined = rows.join(paid_only, ["dt", "uid", "dateline"], "left").withColumn(
+        "req", F.when(F.col("is_refund") == 0, F.col("_req"))
     )
-    known = F.coalesce(F.col("chantype") > 0, F.lit(False))
-    kept = [c for c in detail.columns if c not in DEVICE_COLS]
     return joined.select(
-        *kept,
-        *[F.when(known, _missing_as_zero(c, c)).otherwise(_missing_as_zero(c, f"o_{c}")).alias(c) for c in DEVICE_COLS],
+        *rows.columns,
+        *[_placed(c).alias(c) for c in DEVICE_COLS],
+        (F.col("req.chancode") == int(codes.EXCLUDED_CODE)).alias("in_channel"),
     )
 
 
@@ -123,30 +117,44 @@ def income_detail(
 ) -> DataFrame:
     """One row per payment or refunded agent charge, with device, channel and income label.
 
+    The device comes from the user's nearest pay request of the day, at most ``tolerance``
+    seconds away, else from the last online record of the day at or before the payment. Both
+    are looked up in one pass over the seconds in which a user paid.
+
     Labels are applied in a fixed order and the last one wins. Refund rows join after the
     first four rules and only see the agent and host rules.
     """
-    pays = attribute_requests(payments(recharge), pay_req, tolerance).withColumns(
-        {"is_refund": F.lit(0), "ledger_special": F.lit(0)}
+    charges = agent_charges(ledger, internal_agents)
+    seconds = [f.select("dt", "uid", "dateline") for f in (recharge, charges)]
+    found = nearest_lookup(
+        seconds[0].unionByName(seconds[1]),
+        ["dt", "uid"],
+        "dateline",
+        [
+            Lookup("req", pay_req, "dateline", DEVICE_COLS, ["id"], "nearest", tolerance),
+            Lookup("seen", online, "dateline", DEVICE_COLS, ["actid"]),
+        ],
+        slot=None,
     )
+    none = F.lit(0).cast(recharge.schema["money"].dataType)
+    pays = payments(recharge).withColumns({"is_refund": F.lit(0), "ledger_special": F.lit(0)})
     refunds = refunded_charges(ledger, refund_within, internal_agents).select(
         "id",
         "dt",
         "uid",
         "dateline",
         "type",
-        F.lit(0).cast(pays.schema["money"].dataType).alias("money"),
-        F.col("amount").cast(pays.schema["refund"].dataType).alias("refund"),
-        F.lit(0).cast(pays.schema["coin"].dataType).alias("coin"),
+        none.alias("money"),
+        F.col("amount").alias("refund"),
+        none.alias("coin"),
         F.lit(1).alias("success"),
         "productid",
         F.lit("0").alias("orderid"),
         F.lit(1).alias("is_refund"),
         F.col("special").alias("ledger_special"),
     )
-    rows = pays.unionByName(refunds, allowMissingColumns=True)
     rows = with_memberships(
-        rows,
+        attribute(pays.unionByName(refunds), found),
         "uid",
         {
             "in_special": register.filter(F.col("special") == 1),
@@ -156,18 +164,17 @@ def income_detail(
         },
     )
     by_agent = (
-        agent_charges(ledger, internal_agents)
-        .filter(F.col("special") == codes.LABEL_INTERNAL)
+        charges.filter(F.col("special") == codes.LABEL_INTERNAL)
         .select("dt", "uid", F.lit(True).alias("by_agent"))
         .distinct()
     )
-    rows = rows.join(by_agent, ["dt", "uid"], "left")
+    known = activation.groupBy("idfa").agg(F.min("id").alias("act"))
+    rows = rows.join(by_agent, ["dt", "uid"], "left").join(known, "idfa", "left")
     pay = F.col("is_refund") == 0
     agent_type = F.col("type") == codes.AGENT_TYPE
-    in_channel = F.coalesce(F.col("chancode") == int(codes.EXCLUDED_CODE), F.lit(False))
     special = label_by_precedence(
         [
-            (pay & (in_channel | F.col("in_special")), codes.LABEL_SPECIAL_CHANNEL),
+            (pay & (F.coalesce("in_channel", F.lit(False)) | F.col("in_special")), codes.LABEL_SPECIAL_CHANNEL),
             (pay & F.col("in_internal") & agent_type, codes.LABEL_INTERNAL),
             (pay & F.col("in_farmers"), codes.LABEL_FARMER),
             (F.lit(mark_agents) & F.col("by_agent").isNotNull() & agent_type, codes.LABEL_INTERNAL),
@@ -175,17 +182,11 @@ def income_detail(
         ],
         default=F.col("ledger_special"),
     )
-    labelled = rows.withColumn("special", special).drop(
-        "in_special", "in_internal", "in_farmers", "in_hosts", "by_agent", "ledger_special"
-    )
-    found = attribute_online(labelled, online)
-    known = enrich(
-        found.select("idfa").distinct(), activation.withColumnRenamed("id", "act"), ["idfa"], ["act"], ["act"]
-    )
-    return (
-        found.join(known, "idfa", "left")
-        .withColumn("actid", F.when(F.col("actid") == 0, F.coalesce("act", F.lit(0))).otherwise(F.col("actid")))
-        .drop("act")
+    actid = F.when(F.col("actid") == 0, F.coalesce("act", F.lit(0))).otherwise(F.col("actid"))
+    return rows.select(
+        *[c for c in pays.columns if c != "ledger_special"],
+        special.alias("special"),
+        *[c if c != "actid" else actid.alias("actid") for c in DEVICE_COLS],
     )
 
 
