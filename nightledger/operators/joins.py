@@ -6,7 +6,7 @@ shuffles otherwise.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -211,13 +211,13 @@ def within_window_after(
     )
 
 
-def pattern_join(df: DataFrame, patterns: DataFrame, value: str, pattern: str) -> DataFrame:
-    """Rows paired with every LIKE pattern their value matches, without comparing all with all.
+def match_patterns(values: DataFrame, patterns: DataFrame, value: str, pattern: str) -> DataFrame:
+    """Distinct values paired with every LIKE pattern they match, without comparing all with all.
 
     A pattern is filed under a literal piece it requires: its text before the first
     wildcard, else its text after the last one, else up to three characters of an inner
-    piece. Distinct values are filed under all their prefixes, suffixes and short pieces,
-    joined on equality, and the LIKE test runs on the pairs that meet.
+    piece. Values are filed under all their prefixes, suffixes and short pieces, joined on
+    equality, and the LIKE test runs on the pairs that meet.
     """
     pat = F.col(pattern)
     before = F.regexp_extract(pat, r"^[^%_\\]*", 0)
@@ -232,27 +232,37 @@ def pattern_join(df: DataFrame, patterns: DataFrame, value: str, pattern: str) -
     val = F.col(value)
     n = F.length(val)
     places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
-    pieces = F.concat(
+
+    def pieces(mark: str, cut: Callable[[Column], Column]) -> Column:
+        return F.transform(places, lambda i: F.concat(F.lit(mark), cut(i)))
+
+    def grams(size: int) -> Column:
+        return pieces("i", lambda i: F.substring(val, i, F.lit(size)))
+
+    keys = F.concat(
         F.array(F.lit("i")),
-        F.transform(places, lambda i: F.concat(F.lit("p"), F.substring(val, F.lit(1), i))),
-        F.transform(places, lambda i: F.concat(F.lit("s"), F.substring(val, i, n))),
-        *[
-            F.transform(places, lambda i, size=size: F.concat(F.lit("i"), F.substring(val, i, F.lit(size))))
-            for size in (1, 2, 3)
-        ],
+        pieces("p", lambda i: F.substring(val, F.lit(1), i)),
+        pieces("s", lambda i: F.substring(val, i, n)),
+        *[grams(size) for size in (1, 2, 3)],
     )
-    values = df.select(value).filter(val.isNotNull()).distinct()
-    matched = (
-        values.withColumn("_key", F.explode(F.array_distinct(pieces)))
+    return (
+        values.select(value)
+        .filter(val.isNotNull())
+        .distinct()
+        .withColumn("_key", F.explode(F.array_distinct(keys)))
         .join(filed, "_key")
-        .filter(val.like(pat))
+        .filter(F.like(val, pat))
         .drop("_key")
     )
-    return df.join(matched, value)
+
+
+def pattern_join(df: DataFrame, patterns: DataFrame, value: str, pattern: str) -> DataFrame:
+    """Rows paired with every LIKE pattern their value matches."""
+    return df.join(match_patterns(df, patterns, value, pattern), value)
 
 
 def best_pattern(
-    df: DataFrame, patterns: DataFrame, value: str, pattern: str, cols: Sequence[str], rank: Column, tie: str
+    values: DataFrame, patterns: DataFrame, value: str, pattern: str, cols: Sequence[str], rank: Column, tie: str
 ) -> DataFrame:
     """Distinct values with ``cols`` of their best matching pattern.
 
@@ -260,7 +270,7 @@ def best_pattern(
     """
     order = F.struct(rank, F.length(pattern), -F.col(tie))
     return (
-        pattern_join(df.select(value).distinct(), patterns, value, pattern)
+        match_patterns(values, patterns, value, pattern)
         .groupBy(value)
         .agg(F.max_by(F.struct(*cols), order).alias("_best"))
         .select(value, *[F.col(f"_best.{c}").alias(c) for c in cols])

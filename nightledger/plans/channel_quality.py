@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,8 +22,9 @@ from nightledger.functions.dates import DAY, HALF_DAY, day_number, dt_to_epoch,
 from nightledger.functions.numeric import count_if, percent
 from nightledger.functions.text import byte_length, head
 from nightledger.operators.aggs import time_bucket_count
-from nightledger.operators.joins import best_pattern, interval_join, pattern_join
+from nightledger.operators.joins import best_pattern, interval_join, match_patterns
 from nightledger.operators.windows import keep_first, rolling_count
+from nightledger.session import cut_lineage
 
 DEVICE = ["dt", "idfa"]
 CHANNEL = ["dt", "channel_id"]
@@ -292,7 +291,7 @@ def settle(
         "id",
     )
     owner = (
-        pattern_join(
+        match_patterns(
             channels,
             partners.select("partner_id", "partner_name", c("channelid").alias("pattern")),
             "channel_id",
@@ -354,18 +353,16 @@ def channel_quality(
     partners: DataFrame,
     quota: DataFrame,
     previous: DataFrame | None = None,
-    keep: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> DataFrame:
     """Quality and settlement per day and channel.
 
-    ``keep`` is applied to the frames read more than once; a cluster run passes
-    :func:`nightledger.session.cut_lineage` so that the request log is scanned once.
+    New devices, request facts and channel counts are read several times and computed once.
     """
-    devices = keep(new_devices(first_visit))
-    requested = keep(request_facts(requests))
+    devices = cut_lineage(new_devices(first_visit))
+    requested = cut_lineage(request_facts(requests))
     facts = device_facts(devices, requested, heartbeats, workload, register, recharge, spend)
     baselines = login_baselines(devices, requested, register)
-    counts = keep(channel_counts(facts, baselines, failed_checksums(requested)))
+    counts = cut_lineage(channel_counts(facts, baselines, failed_checksums(requested)))
     return settle(counts, prices, discounts, partners, quota, previous)
 
 

@@ -14,6 +14,7 @@ from nightledger.functions.numeric import percent, ratio
 from nightledger.functions.text import byte_length
 from nightledger.operators.aggs import distinct_if
 from nightledger.operators.merge import assemble
+from nightledger.session import cut_lineage
 
 KEYS = ["dt", "channel_id"]
 COUNTS = ["online_non_pay", "first_pay", "first_official", "first_official_11"]
@@ -206,5 +207,5 @@ def first_pay_report(
 ) -> DataFrame:
     """Leaves and subtotals in one frame, told apart by ``display``."""
     leaves = with_channel_columns(first_pay_leaves(online, first_recharge, register, income), config)
-    leaves = leaves.withColumn("channel_num", F.lit(1).cast("bigint"))
+    leaves = cut_lineage(leaves.withColumn("channel_num", F.lit(1).cast("bigint")))
     return leaves.unionByName(subtotals(leaves), allowMissingColumns=True)

@@ -13,6 +13,7 @@ from nightledger.functions.numeric import hours, ratio
 from nightledger.functions.text import head
 from nightledger.operators.joins import within_window_after
 from nightledger.operators.merge import assemble
+from nightledger.session import cut_lineage
 
 WEEK = (7, 13)
 MONTH = (30, 59)
@@ -97,11 +98,12 @@ def retention(
     """Per room: base viewers (dwell over ``min_base``), and those back in the week and month windows.
 
     The windows count days from each viewer's own first second in the room. A total row
-    counts every viewer once.
+    counts every viewer once. The cohort and the base are read by every window and computed
+    once.
     """
-    users = cohort(online, prices, first, last, params)
+    users = cut_lineage(cohort(online, prices, first, last, params))
     rooms = busy_rooms(workload, first, last, daily_seconds)
-    base = (
+    base = cut_lineage(
         dwell_of(dwell, users, first, last, ["uid", "roomid"])
         .filter(F.col("longs") > min_base)
         .drop("longs")

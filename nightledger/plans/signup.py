@@ -10,9 +10,10 @@ from nightledger.functions.channel import is_android, is_ios
 from nightledger.functions.dates import DAY, epoch_to_dt
 from nightledger.functions.numeric import count_if
 from nightledger.functions.text import from_end
-from nightledger.operators.joins import best_pattern, pattern_join
+from nightledger.operators.joins import best_pattern, match_patterns
 from nightledger.operators.merge import assemble
 from nightledger.operators.windows import beyond_first_k
+from nightledger.session import cut_lineage
 
 
 def seen_before(
@@ -86,7 +87,8 @@ def signup_steps(
     """Partner sign-ups flagged in the order 3, 2, 1, each only where no earlier flag is set.
 
     3: beyond the first ``per_ip`` of an address; 2: later sign-ups of a device; 1: last seen
-    too soon after signing up.
+    too soon after signing up. The settlement reads the result several times, so it is
+    computed once.
     """
     rows = (
         candidates(users, status, profile, start, end, min_uid)
@@ -104,8 +106,9 @@ def signup_steps(
     active = partners.filter((F.col("type") == 3) & (F.col("status") == 1)).select(
         "partner_id", F.col("channelid").alias("pattern")
     )
-    rows = pattern_join(rows, active, "channelid", "pattern").drop("pattern")
-    rows = rows.withColumn("row_id", F.struct("uid", "partner_id"))
+    today = users.filter((F.col("cr_dt") > start) & (F.col("cr_dt") < end))
+    rows = rows.join(match_patterns(today, active, "channelid", "pattern").drop("pattern"), "channelid")
+    rows = cut_lineage(rows.withColumn("row_id", F.struct("uid", "partner_id")))
     rows = beyond_first_k(rows, ["regip"], "row_id", per_ip, "step3")
     first_on_device = (
         rows.filter(F.col("step3") == 0)
@@ -120,9 +123,10 @@ def signup_steps(
     )
     stayed = F.col("lastactivity_time") - F.col("cr_dt")
     short = F.when(is_ios(F.col("channelid")), stayed < ios_seconds).otherwise(stayed < min_seconds)
-    return rows.withColumn(
+    steps = rows.withColumn(
         "step1", F.when((F.col("step3") == 0) & (F.col("step2") == 0) & short, 1).otherwise(0)
-    ).drop("row_id", "first_on_device")
+    )
+    return cut_lineage(steps.drop("row_id", "first_on_device"))
 
 
 
@@ -227,7 +231,9 @@ def subchannel_settlement(
         )
     )
     unit = F.ceil(F.col("tol") * F.col("discount")).cast("bigint")
-    rate = F.when(F.col("qq_num") > 0, F.try_divide(F.col("qq_num").cast("decimal(18,4)"), F.col("unit")) * 100)
+    share = F.try_divide(F.col("qq_num").cast("decimal(18,4)"), F.col("unit"))
+    # The quotient of two counts is kept to four places before it becomes a percentage.
+    rate = F.when(F.col("qq_num") > 0, F.round(share, 4).cast("decimal(18,4)") * 100)
     rows = (
         valid.join(best, "channelid")
         .join(partners.select("partner_id", "price"), "partner_id")

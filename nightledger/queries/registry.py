@@ -49,4 +49,4 @@ def out(ctes: list[str], body: str, big: str = "", dbl: str = "", txt: str = "")
     cols = [f"CAST({c} AS BIGINT) AS {c}" for c in big.split()]
     cols += [f"CAST({c} AS DOUBLE) AS {c}" for c in dbl.split()]
     cols += txt.split()
-    return f"WITH {', '.join(ctes)} SELECT {', '.join(cols)} FROM ({body})"
+    return f"WITH {', '.join(ctes)} SELECT {', '.join(cols)} {body}"

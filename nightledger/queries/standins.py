@@ -237,10 +237,10 @@ def named(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     log, cond, cols = NAMED[name]
     rows = _LOGS[log][0](spark, sf_dir)
     view = rows.filter(cond) if cond != "TRUE" else rows
-    return view.selectExpr(*_split(cols))
+    return view.selectExpr(*split_columns(cols))
 
 
-def _split(cols: str) -> list[str]:
+def split_columns(cols: str) -> list[str]:
     """Split a projection at commas outside parentheses."""
     parts, depth, current = [], 0, ""
     for ch in cols:

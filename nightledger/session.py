@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -20,16 +22,20 @@ def prepare(spark: SparkSession, zone: str = "UTC") -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame, fallback_dir: str | None = None) -> DataFrame:
-    """Checkpoint ``df`` in the shared folder the cluster names in ``spark.checkpoint.dir``.
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and continue from a reliable checkpoint.
 
-    ``fallback_dir`` is used only where the session names no folder, as in tests.
+    Jobs call this on frames they read several times. The checkpoint goes to the shared folder
+    the cluster names in ``spark.checkpoint.dir``, so it survives the loss of executors. Only a
+    local session that names none gets a folder of its own.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or fallback_dir
+        folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            raise ValueError("spark.checkpoint.dir is not set and no folder was given")
+            if not context.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a shared folder")
+            folder = tempfile.mkdtemp(prefix="nightledger-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
