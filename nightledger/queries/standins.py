@@ -55,7 +55,7 @@ EVENT_COLS = [
     "event_type",
     "CAST(floor(value) AS BIGINT) AS amount",
     f"CASE WHEN user_id % 7 = 0 THEN {BASE} ELSE {BASE} + user_id END AS uid",
-    "'d' || CAST(user_id % 101 AS STRING) AS idfa",
+    "'d' || CAST(user_id - user_id % 2 AS STRING) AS idfa",
     "event_id % 20 AS roomid",
     """CASE WHEN user_id % 11 = 0 THEN 2 WHEN user_id % 5 = 0 THEN 2 WHEN user_id % 5 = 1 THEN 3
         WHEN user_id % 5 = 2 THEN 4 ELSE 1 END AS terminal""",
@@ -188,11 +188,11 @@ NAMED = {
         CASE WHEN k % 5 = 4 THEN 100 WHEN k % 2 = 0 THEN 147 ELSE 149 END AS productid,
         CASE WHEN k % 6 = 0 THEN 'ywdl' ELSE 'x' END AS salesperson""",
     ),
-    "register_list": ("cu", "k % 11 = 0", f"uid, CASE WHEN k % 22 = 0 THEN 1 ELSE 0 END AS special"),
+    "register_list": ("cu", "k % 11 = 0", "uid, CASE WHEN k % 22 = 0 THEN 1 ELSE 0 END AS special"),
     "internal_list": ("cu", "k % 13 = 0", "uid"),
     "farmer_list": ("cu", "k % 17 = 0", "uid"),
     "host_list": ("cu", "k % 19 = 0", "uid"),
-    "activation": ("cu", "k <= 100 AND k % 3 <> 0", "k + 1 AS id, 'd' || CAST(k AS STRING) AS idfa"),
+    "activation": ("cu", "k % 2 = 0 AND k % 3 <> 0", "k + 1 AS id, 'd' || CAST(k AS STRING) AS idfa"),
     "spend_log": (
         "ev",
         "event_type IN ('purchase', 'click')",
@@ -221,7 +221,8 @@ NAMED = {
     "signup_log": (
         "ev",
         "event_type = 'signup'",
-        "id, dt, uid, dateline, idfa, channelid AS channel_id, terminal AS device_type, id % 2 AS qqstatus",
+        """id, dt, uid, dateline, idfa, ipaddr, channelid AS channel_id, terminal AS device_type,
+        id % 2 AS qqstatus""",
     ),
     "dwell_log": ("ev", "TRUE", "uid, roomid, dateline, amount * 4 AS longs, dt"),
     "slot_log": ("ev", "event_type = 'error'", "roomid, 1 + (id - id % 20) % 15 AS cal_rank, dt"),
