@@ -16,14 +16,22 @@ def epoch(ts: Column) -> Column:
     return F.unix_timestamp(ts.cast("timestamp"))
 
 
+def date_to_dt(d: Column) -> Column:
+    """yyyymmdd integer of a date, by arithmetic rather than formatting."""
+    return F.year(d) * 10000 + F.month(d) * 100 + F.day(d)
+
+
 def epoch_to_dt(e: Column) -> Column:
     """yyyymmdd integer of an epoch."""
-    return F.date_format(F.timestamp_seconds(e), "yyyyMMdd").cast("int")
+    return date_to_dt(F.timestamp_seconds(e).cast("date"))
 
 
 def dt_to_date(dt: Column) -> Column:
     """Calendar date of a yyyymmdd integer."""
-    return F.make_date(F.floor(dt / 10000).cast("int"), (F.floor(dt / 100) % 100).cast("int"), (dt % 100).cast("int"))
+    day = dt % 100
+    month = (dt % 10000 - day) / 100
+    year = (dt - dt % 10000) / 10000
+    return F.make_date(year.cast("int"), month.cast("int"), day.cast("int"))
 
 
 def dt_to_epoch(dt: Column) -> Column:
@@ -31,10 +39,6 @@ def dt_to_epoch(dt: Column) -> Column:
     return F.unix_timestamp(dt_to_date(dt).cast("timestamp"))
 
 
-def date_to_dt(d: Column) -> Column:
-    return F.date_format(d, "yyyyMMdd").cast("int")
-
-
 def shift_dt(dt: Column, days: int) -> Column:
     """yyyymmdd integer ``days`` later."""
     return date_to_dt(F.date_add(dt_to_date(dt), days))
@@ -45,6 +49,11 @@ def day_number(dt: Column) -> Column:
     return F.unix_date(dt_to_date(dt))
 
 
+def slot_start(t: Column, width: int) -> Column:
+    """First second of the ``width``-wide slot a time falls in, in whole numbers."""
+    return t - F.pmod(t, F.lit(width))
+
+
 def hour_of(e: Column) -> Column:
     return F.hour(F.timestamp_seconds(e))
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nightledger.functions.dates import slot_start
 from nightledger.functions.numeric import count_if, sum_if
 
 
@@ -42,7 +43,7 @@ def with_total_row(df: DataFrame, keys: Sequence[str], reserved: dict[str, Colum
 
 def time_bucket_count(df: DataFrame, keys: Sequence[str], time: str, width: int, name: str) -> DataFrame:
     """Distinct time buckets in which a key was seen."""
-    buckets = df.select(*keys, F.floor(F.col(time) / width).alias("_b")).distinct()
+    buckets = df.select(*keys, slot_start(F.col(time), width).alias("_b")).distinct()
     return buckets.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
 
 

@@ -12,7 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.functions.dates import DAY
+from nightledger.functions.dates import DAY, slot_start
+from nightledger.operators.windows import first_row
 
 
 def enrich(df: DataFrame, other: DataFrame, on: Sequence[str], cols: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -20,7 +21,7 @@ def enrich(df: DataFrame, other: DataFrame, on: Sequence[str], cols: Sequence[st
 
     ``other`` is first reduced to one row per key, the smallest by ``order``.
     """
-    one = other.groupBy(*on).agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("_new"))
+    one = other.groupBy(*on).agg(first_row(cols, order).alias("_new"))
     kept = [c for c in df.columns if c not in cols]
     joined = df.join(one, list(on), "left")
     out = [
@@ -64,9 +65,9 @@ def interval_join(
     the join is an equi join on (key, slot): a busy key is spread over its slots.
     """
     spread = intervals.withColumn(
-        "_slot", F.explode(F.sequence(F.floor(F.col(start) / slot), F.floor(F.col(end) / slot)))
+        "_slot", F.explode(F.sequence(slot_start(F.col(start), slot), slot_start(F.col(end), slot), F.lit(slot)))
     )
-    placed = points.withColumn("_slot", F.floor(F.col(time) / slot))
+    placed = points.withColumn("_slot", slot_start(F.col(time), slot))
     return (
         placed.join(spread, [*on, "_slot"])
         .filter(F.col(time).between(F.col(start), F.col(end)))
@@ -99,7 +100,7 @@ class Lookup:
         row = F.struct(F.col("_t").alias("matched_time"), *[F.col(f"_v.{c}").alias(c) for c in self.cols])
         return (
             self.rows.groupBy(*keys, F.col(self.time).cast("bigint").alias("_t"))
-            .agg(F.min_by(F.struct(*self.cols), F.struct(*self.order)).alias("_v"))
+            .agg(first_row(self.cols, self.order).alias("_v"))
             # Strict rows sort after the asking row of their second and so are not seen by it.
             .select(*keys, "_t", F.lit(2 if self.strict else 0).alias("_turn"), row.alias(self.name))
         )
@@ -131,7 +132,7 @@ def nearest_lookup(
     for lookup in lookups:
         marks = marks.unionByName(lookup.per_second(keys), allowMissingColumns=True)
     if slot is not None:
-        marks = marks.withColumn("_slot", F.floor(F.col("_t") / slot))
+        marks = marks.withColumn("_slot", slot_start(F.col("_t"), slot))
     part = keys if slot is None else [*keys, "_slot"]
     inside = Window.partitionBy(*part)
     order = {"before": F.col("_t").asc(), "after": F.col("_t").desc()}

@@ -7,6 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from nightledger.functions.dates import slot_start
+
+def first_row(cols: Sequence[str], order: Sequence[str]) -> Column:
+    """Aggregate: ``cols`` of the smallest row by ``order``, as the fields of one struct.
+
+    The order leads the struct, so a plain minimum finds the row, and further ties are broken
+    by the columns themselves.
+    """
+    return F.min(F.struct(*[F.col(c).alias(f"_by_{c}") for c in order], *cols))
+
 
 def gap_dwell(
     df: DataFrame, keys: Sequence[str], time: str, order: str, cap: int, first_cols: Sequence[str] = ()
@@ -19,20 +29,16 @@ def gap_dwell(
     86400 / cap + 1 per key and day, however many beats a key sends. ``first_cols`` come
     from the earliest beat, ties broken by ``order``; ``dateline`` is the last beat.
     """
-    beat = F.struct(F.col(time), F.col(order))
-    slots = (
-        df.groupBy(*keys, F.floor(F.col(time) / cap).alias("_slot"))
-        .agg(
-            F.min(time).alias("_from"),
-            F.max(time).alias("_to"),
-            *([F.min_by(F.struct(*first_cols), beat).alias("_first")] if first_cols else []),
-        )
+    slots = df.groupBy(*keys, slot_start(F.col(time), cap).alias("_slot")).agg(
+        F.min(time).alias("_from"),
+        F.max(time).alias("_to"),
+        *([first_row(first_cols, [time, order]).alias("_first")] if first_cols else []),
     )
     gap = F.col("_from") - F.lag("_to").over(Window.partitionBy(*keys).orderBy("_slot"))
     joined = slots.withColumn("_gap", gap)
     dwell = F.sum(F.col("_to") - F.col("_from") + F.when(F.col("_gap") <= cap, F.col("_gap")).otherwise(0))
     out = joined.groupBy(*keys).agg(
-        *([F.min_by("_first", "_slot").alias("_first")] if first_cols else []),
+        *([F.min("_first").alias("_first")] if first_cols else []),
         F.min("_from").alias("first_dateline"),
         F.max("_to").alias("dateline"),
         dwell.alias("room_time"),
@@ -64,8 +70,9 @@ def beyond_first_k(df: DataFrame, keys: Sequence[str], order: str, k: int, name:
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key, the smallest by ``order``; partial aggregation, no window."""
-    row = F.struct(*df.columns)
-    return df.groupBy(*keys).agg(F.min_by(row, F.struct(*order)).alias("_row")).select("_row.*")
+    rest = [c for c in df.columns if c not in keys]
+    rows = df.groupBy(*keys).agg(first_row(rest, order).alias("_row"))
+    return rows.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
 def drop_later_duplicates(df: DataFrame, keys: Sequence[str], order: str, counted: Column) -> DataFrame:

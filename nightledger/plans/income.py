@@ -12,7 +12,7 @@ from nightledger.functions.numeric import count_if
 from nightledger.operators.aggs import pivot_counts, pivot_sums
 from nightledger.operators.joins import Lookup, label_by_precedence, nearest_join, nearest_lookup, with_memberships
 from nightledger.operators.merge import merge_add
-from nightledger.operators.windows import drop_later_duplicates
+from nightledger.operators.windows import drop_later_duplicates, first_row
 
 DEVICE_COLS = ["idfa", "actid", "ipaddr", "channelid", "chantype", "chanver", "chancode", "terminal", "appver"]
 TEXT_COLS = {"idfa", "channelid"}
@@ -216,7 +216,7 @@ def first_payments(detail: DataFrame, old: DataFrame | None = None) -> DataFrame
     )
     moments = paid.groupBy("dt", "uid", "dateline").agg(
         F.sum("money").alias("money_sum"),
-        F.min_by(F.struct("money", "special"), "id").alias("first_row"),
+        first_row(["money", "special"], ["id"]).alias("first_row"),
         F.max(F.when(official, 1).otherwise(0)).alias("has_1"),
         F.max(F.when(~official, 1).otherwise(0)).alias("has_2"),
     )
@@ -278,7 +278,7 @@ def daily_income(detail: DataFrame) -> DataFrame:
     """Per day, user and success flag: sums, counts and their split by payment type."""
     failed = F.col("success") == 0
     out = detail.groupBy("dt", "uid", "success").agg(
-        F.min_by(F.struct(*DEVICE_COLS, "special"), F.struct("dateline", "is_refund", "id")).alias("_first"),
+        first_row([*DEVICE_COLS, "special"], ["dateline", "is_refund", "id"]).alias("_first"),
         F.sum("money").alias("money"),
         F.sum("refund").alias("refund"),
         F.sum("coin").alias("coin"),
@@ -291,7 +291,8 @@ def daily_income(detail: DataFrame) -> DataFrame:
     only_success = {
         c: F.when(failed, F.lit(0)).otherwise(F.col(c)) for c in ("refund", "coin", "times_refund", "times_coin")
     }
-    return out.withColumns(only_success).select("*", "_first.*").drop("_first")
+    picked = [F.col(f"_first.{c}").alias(c) for c in (*DEVICE_COLS, "special")]
+    return out.withColumns(only_success).select("*", *picked).drop("_first")
 
 
 def income_totals(daily: DataFrame, old: DataFrame | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.functions import codes
-from nightledger.operators.windows import consecutive_gaps, keep_first
+from nightledger.operators.windows import consecutive_gaps, first_row, keep_first
 
 KEYS = ["dt", "macaddr"]
 
@@ -35,8 +35,8 @@ def lobby_stay(requests: DataFrame, hosts: DataFrame, low: int = 90, high: int =
     first = (
         steady_requests(notice_requests(requests), low, high)
         .groupBy(*KEYS)
-        .agg(F.min_by(F.struct("idfa", "uid", "channelid", "terminal"), "dateline").alias("_r"))
-        .select("dt", "_r.*")
+        .agg(first_row(["idfa", "uid", "channelid", "terminal"], ["dateline"]).alias("_r"))
+        .select("dt", "_r.idfa", "_r.uid", "_r.channelid", "_r.terminal")
     )
     host = hosts.select("uid", F.lit(codes.LABEL_HOST).alias("special")).distinct()
     return first.join(host, "uid", "left").select(
