@@ -83,18 +83,19 @@ def beat_counts(heartbeats: DataFrame) -> DataFrame:
 def on_air_facts(devices: DataFrame, heartbeats: DataFrame, workload: DataFrame, hours: int = 12) -> DataFrame:
     """Beats on air within ``hours`` of the first visit, and rooms on air visited that day.
 
-    Beats count from noon of the day before. Only beats of new devices reach the interval
+    Beats count from noon of the day before, so an afternoon beat is offered to its own and
+    to the next day and joins on (day, device). Only beats of new devices reach the interval
     join.
     """
     c = F.col
     day = devices.select(
         "dt", "idfa", c("dateline").alias("visit"), dt_to_epoch(c("dt")).alias("day_start")
     ).withColumn("day_end", c("day_start") + (DAY - 1))
-    beats = (
-        heartbeats.select("idfa", "roomid", c("dateline").alias("beat"))
-        .join(day, "idfa")
-        .filter((c("beat") > c("day_start") - HALF_DAY) & (c("beat") <= c("day_end")))
-    )
+    after_noon = c("dateline") > dt_to_epoch(c("dt")) + HALF_DAY
+    counted_on = F.when(after_noon, F.array(c("dt"), shift_dt(c("dt"), 1))).otherwise(F.array(c("dt")))
+    beats = heartbeats.select(
+        "idfa", "roomid", c("dateline").alias("beat"), F.explode(counted_on).alias("dt")
+    ).join(day, DEVICE)
     spans = workload.select("roomid", "start_dt", "end_dt", c("dateline").alias("reported"))
     paired = interval_join(beats, spans, ["roomid"], "beat", "start_dt", "end_dt").filter(
         (c("start_dt") < c("day_end")) & (c("end_dt") > c("day_start") - HALF_DAY)
@@ -117,12 +118,17 @@ def device_facts(
     register: DataFrame,
     recharge: DataFrame,
     spend: DataFrame,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """One row per day and new device with everything the channel rules look at.
 
     ``devices`` comes from :func:`new_devices`, ``requested`` from :func:`request_facts`.
+    ``history`` holds new devices of earlier days, which only count towards their address.
     """
     c = F.col
+    seen = devices.select("dt", "ipaddr")
+    if history is not None:
+        seen = seen.unionByName(history.select("dt", "ipaddr"))
     registered = register.filter(version_gate(c("channel_id"))).select("dt", "uid", "idfa")
     paid = recharge.filter(
         (c("rechange_status") == codes.PAY_SUCCESS) & (c("rechange_channel") < codes.COIN_FROM)
@@ -133,7 +139,7 @@ def device_facts(
         .join(on_air_facts(devices, heartbeats, workload), DEVICE, "left")
         .join(active_devices(registered, paid, "recharge"), DEVICE, "left")
         .join(active_devices(registered, spend.filter(c("consume_coin") > 0), "consume"), DEVICE, "left")
-        .join(devices_per_ip(devices), ["dt", "ipaddr"], "left")
+        .join(devices_per_ip(seen), ["dt", "ipaddr"], "left")
         .fillna(
             0,
             [
@@ -353,14 +359,17 @@ def channel_quality(
     partners: DataFrame,
     quota: DataFrame,
     previous: DataFrame | None = None,
+    history: DataFrame | None = None,
 ) -> DataFrame:
     """Quality and settlement per day and channel.
 
-    New devices, request facts and channel counts are read several times and computed once.
+    ``quota`` and ``previous`` are described at :func:`settle`, ``history`` at
+    :func:`device_facts`. New devices, request facts and channel counts are read several
+    times and computed once.
     """
     devices = cut_lineage(new_devices(first_visit))
     requested = cut_lineage(request_facts(requests))
-    facts = device_facts(devices, requested, heartbeats, workload, register, recharge, spend)
+    facts = device_facts(devices, requested, heartbeats, workload, register, recharge, spend, history)
     baselines = login_baselines(devices, requested, register)
     counts = cut_lineage(channel_counts(facts, baselines, failed_checksums(requested)))
     return settle(counts, prices, discounts, partners, quota, previous)

@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
-from nightledger.functions.dates import epoch_to_dt, py_shift
+from nightledger.functions.dates import epoch_to_dt
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+Schema = StructType | str
+
+
+def read_table(spark: SparkSession, path: str, schema: Schema) -> DataFrame:
     """Table at ``path`` with an explicit schema; a table nobody has written yet is empty."""
     try:
         return spark.read.schema(schema).parquet(path)
@@ -22,14 +25,17 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
-def with_dt(schema: StructType) -> StructType:
-    return schema if "dt" in schema.fieldNames() else StructType(schema.fields).add("dt", IntegerType())
+def with_dt(schema: Schema) -> Schema:
+    """The schema with the day partition as its last column."""
+    if isinstance(schema, str):
+        return f"{schema}, dt int"
+    return StructType([f for f in schema.fields if f.name != "dt"]).add("dt", IntegerType())
 
 
 def scan(
     spark: SparkSession,
     path: str,
-    schema: StructType,
+    schema: Schema,
     *,
     days: tuple[int, int] | None = None,
     seconds: tuple[int, int] | None = None,
@@ -52,21 +58,24 @@ def scan(
     return df
 
 
-def scan_month(spark: SparkSession, path: str, schema: StructType, month: int) -> DataFrame:
+def scan_month(spark: SparkSession, path: str, schema: Schema, month: int) -> DataFrame:
     """One yyyymm month."""
     year, m = divmod(month, 100)
     last = calendar.monthrange(year, m)[1]
     return scan(spark, path, schema, days=(month * 100 + 1, month * 100 + last))
 
 
-def scan_year(spark: SparkSession, path: str, schema: StructType, year: int) -> DataFrame:
+def scan_year(spark: SparkSession, path: str, schema: Schema, year: int) -> DataFrame:
     return scan(spark, path, schema, days=(year * 10000 + 101, year * 10000 + 1231))
 
 
-def snapshot_before(spark: SparkSession, path: str, schema: StructType, dt: int) -> DataFrame:
-    """Cumulative table as it stood at the end of the day before ``dt``.
+def snapshot_before(spark: SparkSession, path: str, schema: Schema, dt: int) -> DataFrame:
+    """Cumulative table as it stood at the end of the last day written before ``dt``.
 
-    Running totals are written as one snapshot per day and each day starts from the
-    previous one, so running a day again gives the same snapshot.
+    Running totals are written as one snapshot per day and each day starts from the one
+    before, so running a day again gives the same snapshot. After such a rerun the days
+    that follow have to be run again as well.
     """
-    return scan(spark, path, schema, days=(py_shift(dt, -1),) * 2).drop("dt")
+    earlier = scan(spark, path, schema).filter(F.col("dt") < dt)
+    last = earlier.agg(F.max("dt")).first()[0]
+    return earlier.filter(F.col("dt") == F.lit(last)).drop("dt")
