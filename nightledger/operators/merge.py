@@ -30,10 +30,13 @@ def merge_replace(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Seq
 def merge_add(
     old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str], keep: Sequence[str] = ()
 ) -> DataFrame:
-    """On a key match add ``cols``; ``keep`` columns stay as first written."""
+    """On a key match add ``cols``; ``keep`` columns stay as first written.
+
+    Sums keep the type of the old column, so a table keeps its schema from day to day.
+    """
     both = old.withColumn("_age", F.lit(0)).unionByName(new.withColumn("_age", F.lit(1)))
     return both.groupBy(*keys).agg(
-        *[F.sum(c).alias(c) for c in cols],
+        *[F.sum(c).cast(old.schema[c].dataType).alias(c) for c in cols],
         *[F.min_by(c, "_age").alias(c) for c in keep],
     )
 
