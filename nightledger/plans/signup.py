@@ -143,20 +143,29 @@ def signup_summary(steps: DataFrame, start: int) -> DataFrame:
     ).select(epoch_to_dt(F.lit(start)).alias("dt"), "*")
 
 
+def valid_signups(steps: DataFrame) -> DataFrame:
+    return steps.filter(is_valid())
+
+
 def invalid_signups(steps: DataFrame) -> DataFrame:
     return steps.filter(~is_valid())
 
 
-def partner_summary(steps: DataFrame, partners: DataFrame) -> DataFrame:
-    """Per partner with valid sign-ups: units after the cut, price and the counts of each step."""
-    counts = steps.groupBy("partner_id").agg(
+def partner_funnel(steps: DataFrame) -> DataFrame:
+    """Per partner, all sign-ups, those stopped by each step and those left."""
+    return steps.groupBy("partner_id").agg(
         F.count(F.lit(1)).alias("step0"),
         *[F.sum(s).alias(s) for s in ("step1", "step2", "step3")],
         count_if(is_valid()).alias("valid_num"),
     )
+
+
+def partner_summary(steps: DataFrame, partners: DataFrame) -> DataFrame:
+    """Per partner with valid sign-ups: units after the cut, price and the counts of each step."""
     keep = F.lit(1) - F.col("cut_rate").cast("decimal(10,2)") / 100
     return (
-        counts.filter(F.col("valid_num") > 0)
+        partner_funnel(steps)
+        .filter(F.col("valid_num") > 0)
         .join(partners.select("partner_id", "price", "type", "cut_rate"), "partner_id")
         .select(
             "partner_id",
@@ -202,7 +211,7 @@ def subchannel_settlement(
 ) -> DataFrame:
     """Per sub-channel of the run: units after discount and quality rules, price and total."""
     valid = (
-        steps.filter(is_valid())
+        valid_signups(steps)
         .groupBy("channelid")
         .agg(F.count(F.lit(1)).alias("tol"), F.min("partner_id").alias("partner_id"))
     )

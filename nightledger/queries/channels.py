@@ -127,6 +127,23 @@ def channel_classes(spark, sf_dir):
     )
 
 
+@query(
+    "channel_valid",
+    out(
+        ctes("cu"),
+        """FROM (SELECT channelid, count(*) AS users FROM cu WHERE channelid NOT IN ('0', 'EN_APP_KEY_PLACEHOLDER')
+            AND length(channelid) BETWEEN 8 AND 17 AND NOT contains(channelid, '.') AND NOT contains(channelid, '_')
+            AND NOT contains(channelid, '%') GROUP BY channelid)""",
+        "users",
+        "",
+        "channelid",
+    ),
+)
+def channel_valid(spark, sf_dir):
+    rows = customers(spark, sf_dir).filter(ch.valid_channel(F.col("channelid")))
+    return rows.groupBy("channelid").agg(F.count(F.lit(1)).alias("users"))
+
+
 @query(
     "ip_numbers",
     out(

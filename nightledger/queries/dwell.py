@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from nightledger.functions.dates import day_number
 from nightledger.operators.aggs import span, time_bucket_count
-from nightledger.operators.joins import interval_join, nearest_join, within_window_after
-from nightledger.operators.windows import consecutive_gaps, mark_last, over_frequent, rolling_count
+from nightledger.operators.joins import Lookup, interval_join, nearest_join, nearest_lookup, within_window_after
+from nightledger.operators.windows import consecutive_gaps, first_k, mark_last, over_frequent, rolling_count
 from nightledger.plans import dwell as plan
 from nightledger.plans import lobby
 from nightledger.queries.registry import out, query
@@ -79,7 +79,7 @@ def room_dwell_on_air(spark, sf_dir):
 
 
 @query(
-    "dwell_by_device",
+    "dwell_by_device_day",
     out(
         SOFT,
         """FROM (SELECT dt, actid, count(DISTINCT roomid) AS room_num, sum(room_time) AS room_time,
@@ -168,7 +168,7 @@ def lobby_gap_marks(spark, sf_dir):
 
 
 @query(
-    "heartbeat_buckets",
+    "time_bucket_count",
     out(
         ctes("ev"),
         "FROM (SELECT dt, idfa, count(DISTINCT left(CAST(dateline AS STRING), 9)) AS heartbeat FROM ev GROUP BY dt, idfa)",
@@ -319,3 +319,64 @@ def relative_window_match(spark, sf_dir):
     return hits.groupBy("k", "roomid", "first").agg(
         F.count(F.lit(1)).alias("visits"), F.min("later").alias("back")
     )
+
+
+@query(
+    "attribution_fallback",
+    out(
+        ctes("ev"),
+        """FROM (SELECT p.id, p.uid, coalesce(near.id, last.id, 0) AS seen,
+            CASE WHEN near.id IS NOT NULL THEN 1 WHEN last.id IS NOT NULL THEN 2 ELSE 0 END AS source
+            FROM ev p
+            LEFT JOIN (SELECT p.id AS pid, c.id, row_number() OVER (PARTITION BY p.id
+                ORDER BY abs(c.dateline - p.dateline), c.dateline, c.id) AS rn FROM ev p JOIN ev c ON c.uid = p.uid
+                AND c.dt = p.dt AND c.event_type = 'click' AND abs(c.dateline - p.dateline) <= 3600
+                WHERE p.event_type = 'purchase') near ON near.pid = p.id AND near.rn = 1
+            LEFT JOIN (SELECT p.id AS pid, v.id, row_number() OVER (PARTITION BY p.id
+                ORDER BY v.dateline DESC, v.id) AS rn FROM ev p JOIN ev v ON v.uid = p.uid
+                AND v.dt = p.dt AND v.event_type = 'view' AND v.dateline <= p.dateline
+                WHERE p.event_type = 'purchase') last ON last.pid = p.id AND last.rn = 1
+            WHERE p.event_type = 'purchase')""",
+        "id uid seen source",
+    ),
+)
+def attribution_fallback(spark, sf_dir):
+    """Nearest click within the hour, else the last view of the day, both looked up in one pass."""
+    keys = ["uid", "dt"]
+    paid = events(spark, sf_dir, "purchase").select("id", *keys, "dateline")
+    clicks, views = (
+        events(spark, sf_dir, kind).select(*keys, "dateline", F.col("id").alias("seen")) for kind in ("click", "view")
+    )
+    found = nearest_lookup(
+        paid,
+        keys,
+        "dateline",
+        [
+            Lookup("near", clicks, "dateline", ["seen"], ["seen"], "nearest", 3600),
+            Lookup("last", views, "dateline", ["seen"], ["seen"]),
+        ],
+        slot=None,
+    )
+    return paid.join(found, [*keys, "dateline"], "left").select(
+        "id",
+        "uid",
+        F.coalesce("near.seen", "last.seen", F.lit(0)).alias("seen"),
+        F.when(F.col("near").isNotNull(), 1).when(F.col("last").isNotNull(), 2).otherwise(0).alias("source"),
+    )
+
+
+@query(
+    "nth_event_per_user",
+    out(
+        ctes("ev")
+        + [
+            """n AS (SELECT k, id, dateline, row_number() OVER (PARTITION BY k ORDER BY dateline, id) AS nth FROM ev
+                WHERE event_type = 'purchase')"""
+        ],
+        "FROM n WHERE nth <= 3",
+        "k id dateline nth",
+    ),
+)
+def nth_event_per_user(spark, sf_dir):
+    paid = events(spark, sf_dir, "purchase").select("k", "id", "dateline")
+    return first_k(paid, ["k"], ["dateline", "id"], 3, "nth")

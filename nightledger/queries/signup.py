@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from nightledger.operators.windows import beyond_first_k
 from nightledger.plans import signup as plan
 from nightledger.queries.registry import out, query
 from nightledger.queries.standins import ctes, customers, table
@@ -147,6 +148,37 @@ def signup_invalid(spark, sf_dir):
     return rows.select("uid", "partner_id", "step1", "step2", "step3", "channelid")
 
 
+@query("signup_valid", out(BASE, "FROM valid", "uid partner_id showid cr_dt", "", "channelid"))
+def signup_valid(spark, sf_dir):
+    return plan.valid_signups(_steps(spark, sf_dir)).select("uid", "partner_id", "showid", "cr_dt", "channelid")
+
+
+@query(
+    "signup_funnel",
+    out(
+        BASE,
+        """FROM (SELECT partner_id, count(*) AS step0, sum(step1) AS step1, sum(step2) AS step2, sum(step3) AS step3,
+            count(CASE WHEN step1 + step2 + step3 = 0 THEN 1 END) AS valid_num FROM steps GROUP BY partner_id)""",
+        "partner_id step0 step1 step2 step3 valid_num",
+    ),
+)
+def signup_funnel(spark, sf_dir):
+    return plan.partner_funnel(_steps(spark, sf_dir))
+
+
+@query(
+    "signup_ip_cap",
+    out(
+        ctes("cu"),
+        """FROM (SELECT k, ip, CASE WHEN row_number() OVER (PARTITION BY ip ORDER BY k) > 5 THEN 1 ELSE 0 END AS beyond
+            FROM cu)""",
+        "k ip beyond",
+    ),
+)
+def signup_ip_cap(spark, sf_dir):
+    return beyond_first_k(customers(spark, sf_dir).select("k", "ip"), ["ip"], "k", 5, "beyond")
+
+
 @query(
     "partner_summary",
     out(

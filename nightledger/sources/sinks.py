@@ -27,3 +27,8 @@ def overwrite_days(df: DataFrame, path: str) -> None:
         .partitionBy("dt")
         .parquet(path)
     )
+
+
+def overwrite_table(df: DataFrame, path: str) -> None:
+    """Replace a table without days: create it from a result, or empty and refill it."""
+    df.hint("rebalance").write.mode("overwrite").parquet(path)
