@@ -74,9 +74,10 @@ def active_devices(register: DataFrame, log: DataFrame, name: str) -> DataFrame:
     return register.join(uids, ["dt", "uid"], "left_semi").select(*DEVICE).distinct().withColumn(name, F.lit(1))
 
 
-def beat_counts(heartbeats: DataFrame) -> DataFrame:
-    """Distinct ten-second buckets with a beat, per day and device."""
+def beat_counts(devices: DataFrame, heartbeats: DataFrame) -> DataFrame:
+    """Distinct ten-second buckets with a beat on the day, per new device."""
     beats = heartbeats.filter((F.col("dateline") > dt_to_epoch(F.col("dt"))) & (byte_length(F.col("idfa")) > 1))
+    beats = beats.select(*DEVICE, "dateline").join(devices.select(*DEVICE), DEVICE, "left_semi")
     return time_bucket_count(beats, DEVICE, "dateline", 10, "heartbeat")
 
 
@@ -135,7 +136,7 @@ def device_facts(
     )
     facts = (
         devices.join(requested.drop("row"), DEVICE, "left")
-        .join(beat_counts(heartbeats), DEVICE, "left")
+        .join(beat_counts(devices, heartbeats), DEVICE, "left")
         .join(on_air_facts(devices, heartbeats, workload), DEVICE, "left")
         .join(active_devices(registered, paid, "recharge"), DEVICE, "left")
         .join(active_devices(registered, spend.filter(c("consume_coin") > 0), "consume"), DEVICE, "left")

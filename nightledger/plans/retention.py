@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.functions import codes
@@ -11,7 +13,6 @@ from nightledger.functions.filters import CohortFilter
 from nightledger.functions.channel import parent_code
 from nightledger.functions.numeric import hours, ratio
 from nightledger.functions.text import head
-from nightledger.operators.joins import within_window_after
 from nightledger.operators.merge import assemble
 from nightledger.session import cut_lineage
 
@@ -51,6 +52,16 @@ def dwell_of(dwell: DataFrame, users: DataFrame, first: int, last: int, keys: li
     )
 
 
+def dwell_per_day(dwell: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Seconds and first second per user, room and day for the days of any of the ranges."""
+    wanted = reduce(lambda a, b: a | b, [F.col("dt").between(*r) for r in ranges])
+    return (
+        dwell.filter(wanted)
+        .groupBy("uid", "roomid", "dt")
+        .agg(F.min("dateline").alias("later_dt"), F.sum("longs").alias("longs"))
+    )
+
+
 def busy_rooms(workload: DataFrame, first: int, last: int, daily_seconds: int = 3600) -> DataFrame:
     """Rooms on air for more than ``daily_seconds`` a day on average, with their hours."""
     return (
@@ -98,12 +109,12 @@ def retention(
     """Per room: base viewers (dwell over ``min_base``), and those back in the week and month windows.
 
     The windows count days from each viewer's own first second in the room. A total row
-    counts every viewer once. The cohort and the base are read by every window and computed
-    once.
+    counts every viewer once. Both windows are judged in one join of the base with the later
+    days; the resulting pairs feed the rows and the total and are computed once.
     """
-    users = cut_lineage(cohort(online, prices, first, last, params))
+    users = cohort(online, prices, first, last, params)
     rooms = busy_rooms(workload, first, last, daily_seconds)
-    base = cut_lineage(
+    base = (
         dwell_of(dwell, users, first, last, ["uid", "roomid"])
         .filter(F.col("longs") > min_base)
         .drop("longs")
@@ -111,28 +122,21 @@ def retention(
         .join(blacklist.select("roomid"), "roomid", "left_anti")
     )
 
-    def back(window: tuple[int, int], name: str) -> DataFrame:
+    later = dwell_per_day(dwell, [(py_shift(first, low), py_shift(last, high)) for low, high in (week, month)])
+    since = F.col("later_dt") - F.col("start_dt")
+
+    def came_back(window: tuple[int, int], name: str) -> Column:
         low, high = window
-        later = dwell_of(
-            dwell, users, py_shift(first, low), py_shift(last, high), ["uid", "roomid", "dt"]
-        ).withColumnRenamed("start_dt", "later_dt")
-        hits = within_window_after(base, later, ["uid", "roomid"], "start_dt", "later_dt", low * DAY, high * DAY)
-        return (
-            hits.groupBy("roomid", "uid")
-            .agg(F.sum("longs").alias("longs"))
-            .filter(F.col("longs") >= min_return)
-            .select("roomid", "uid", F.lit(1).alias(name))
-        )
-
-    seen = (
-        base.select("roomid", "uid", F.lit(1).alias("user_num"))
-        .unionByName(back(week, "week_num"), allowMissingColumns=True)
-        .unionByName(back(month, "month_num"), allowMissingColumns=True)
-    )
+        seconds = F.sum(F.when(since.between(low * DAY, high * DAY), F.col("longs")))
+        return F.when(seconds >= min_return, 1).otherwise(0).alias(name)
+
     nums = ["user_num", "week_num", "month_num"]
-    pairs = seen.groupBy("roomid", "uid").agg(*[F.max(n).alias(n) for n in nums])
-    per_room = pairs.groupBy("roomid").agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in nums])
-    per_room = per_room.join(rooms, "roomid")
+    pairs = cut_lineage(
+        base.join(later, ["uid", "roomid"], "left")
+        .groupBy("uid", "roomid")
+        .agg(F.lit(1).alias("user_num"), came_back(week, "week_num"), came_back(month, "month_num"))
+    )
+    per_room = pairs.groupBy("roomid").agg(*[F.sum(n).alias(n) for n in nums]).join(rooms, "roomid")
     people = pairs.groupBy("uid").agg(*[F.max(n).alias(n) for n in nums])
     reserved = F.lit(codes.TOTAL_ROOM).cast(per_room.schema["roomid"].dataType).alias("roomid")
     overall = assemble(

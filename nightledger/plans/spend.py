@@ -21,7 +21,7 @@ def _half(c: Column) -> Column:
 
 def _fact(
     rows: DataFrame,
-    kind: int,
+    kind: int | Column,
     *,
     coin: Column,
     son: Column | None = None,
@@ -44,7 +44,7 @@ def _fact(
         "hour": hour_of(t),
         "dateline": t,
         "consume_coin": coin,
-        "consume_type": F.lit(kind),
+        "consume_type": kind if isinstance(kind, Column) else F.lit(kind),
         "consume_type_son": son,
         "consume_id": item,
         "consume_num": F.lit(1) if num is None else num,
@@ -55,17 +55,33 @@ def _fact(
     return rows.select("dt", *[(zero if c is None else c).cast("bigint").alias(n) for n, c in whole.items()])
 
 
-def _grouped_props(props: DataFrame, prices: DataFrame, kept: Column) -> DataFrame:
-    """Prop purchases per day, category, buyer and target, with the price of the first prop bought."""
+def _grouped_props(props: DataFrame, prices: DataFrame) -> DataFrame:
+    """Prop purchases per day, category, buyer and target, with the price of the first prop bought.
+
+    Show props are categories 5 and 6. Of category 4 only props bought for oneself count, as
+    other props. A group has one category, so both kinds come from one pass.
+    """
+    c = F.col
+    show = c("category").isin(5, 6)
+    own = (c("category") == 4) & (c("fuid") == c("uid"))
     groups = (
-        props.filter(kept)
+        props.filter(show | ~c("category").isin(4, 5, 6) | own)
         .groupBy("dt", "category", "uid", "fuid")
         .agg(
             F.sum("total").alias("total"),
             F.sum("spend").alias("spend"),
             F.min(F.struct("dateline", "admin_prop_id")).alias("first"),
         )
-        .select("dt", "category", "uid", "fuid", "total", "spend", "first.*")
+        .select(
+            "dt",
+            "category",
+            "uid",
+            "fuid",
+            "total",
+            "spend",
+            "first.*",
+            F.when(show, codes.SPEND_SHOW_PROP).otherwise(codes.SPEND_PROP).alias("kind"),
+        )
     )
     return groups.join(prices.select("admin_prop_id", "price"), "admin_prop_id")
 
@@ -84,10 +100,6 @@ def spend_fact(
 ) -> DataFrame:
     """Nine spending logs as one fact."""
     c = F.col
-    show = _grouped_props(props, prop_prices, c("category").isin(5, 6))
-    other = _grouped_props(
-        props, prop_prices, ~c("category").isin(4, 5, 6) | ((c("category") == 4) & (c("fuid") == c("uid")))
-    )
     counted = (
         gifts.filter((c("admin_gift_id") != 9999) & (c("sender") != codes.SYSTEM_UID))
         .groupBy("dt", "admin_gift_id", "sender", c("uid").alias("receiver"))
@@ -97,23 +109,18 @@ def spend_fact(
     )
     value = c("num") * c("cost")
 
-    def prop_row(rows: DataFrame, kind: int) -> DataFrame:
-        half = _half(c("price"))
-        return _fact(
-            rows,
-            kind,
+    parts: Sequence[DataFrame] = (
+        _fact(
+            _grouped_props(props, prop_prices),
+            c("kind"),
             coin=c("spend"),
             son=c("category"),
             item=c("admin_prop_id"),
             num=c("total"),
-            hot=half,
-            diamond=half,
+            hot=_half(c("price")),
+            diamond=_half(c("price")),
             host=c("fuid"),
-        )
-
-    parts: Sequence[DataFrame] = (
-        prop_row(show, codes.SPEND_SHOW_PROP),
-        prop_row(other, codes.SPEND_PROP),
+        ),
         _fact(
             games.filter(c("gameid").isin(1, 3, 5)),
             codes.SPEND_GAME,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,15 +28,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
     Jobs call this on frames they read several times. The checkpoint goes to the shared folder
     the cluster names in ``spark.checkpoint.dir``, so it survives the loss of executors. Only a
-    local session that names none gets a folder of its own.
+    local session that names none gets a folder of its own; a cluster without one computes
+    ``df`` again at every use.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a shared folder")
+            if not context.master.startswith("local["):
+                warnings.warn("spark.checkpoint.dir names no shared folder; results are computed again", stacklevel=2)
+                return df
             folder = tempfile.mkdtemp(prefix="nightledger-")
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
