@@ -36,7 +36,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local["):
+            if context.master != "local" and not context.master.startswith("local["):
                 warnings.warn("spark.checkpoint.dir names no shared folder; results are computed again", stacklevel=2)
                 return df
             folder = tempfile.mkdtemp(prefix="nightledger-")
