@@ -62,9 +62,10 @@ def interval_join(
     """Points paired with every interval of the same key that contains them, ends included.
 
     Intervals are repeated for each time slot they touch and points fall in one slot, so
-    the join is an equi join on (key, slot): a busy key is spread over its slots.
+    the join is an equi join on (key, slot): a busy key is spread over its slots. Intervals
+    that end before they start contain nothing.
     """
-    spread = intervals.withColumn(
+    spread = intervals.filter(F.col(start) <= F.col(end)).withColumn(
         "_slot", F.explode(F.sequence(slot_start(F.col(start), slot), slot_start(F.col(end), slot), F.lit(slot)))
     )
     placed = points.withColumn("_slot", slot_start(F.col(time), slot))

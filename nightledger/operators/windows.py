@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,10 +63,13 @@ def beyond_first_k(df: DataFrame, keys: Sequence[str], order: str, k: int, name:
     """Flag rows that are not among the first ``k`` of their key; ``order`` is unique per row.
 
     The kept rows are few and joined back on their unique id, so the key itself is never
-    gathered.
+    gathered. Rows without a key are never flagged.
     """
-    kept = first_k(df.select(*keys, order), keys, [order], k).select(order, F.lit(0).alias(name))
-    return df.join(kept, order, "left").withColumn(name, F.coalesce(F.col(name), F.lit(1)))
+    keyed = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+    kept = first_k(df.filter(keyed).select(*keys, order), keys, [order], k).select(order, F.lit(0).alias(name))
+    return df.join(kept, order, "left").withColumn(
+        name, F.when(keyed, F.coalesce(F.col(name), F.lit(1))).otherwise(0)
+    )
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

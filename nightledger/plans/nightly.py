@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from nightledger.functions.dates import DAY, HALF_DAY, dt_to_epoch, py_shift
 from nightledger.operators.merge import roll
-from nightledger.plans import channel_quality, dwell, income, spend
+from nightledger.plans import channel_quality, dwell, first_pay_report, income, lobby, returning, signup, spend
 from nightledger.sources import schemas as S
 from nightledger.sources.scan import read_table, scan, snapshot_before
 from nightledger.sources.sinks import overwrite_day
@@ -130,3 +130,78 @@ def quality_day(spark: SparkSession, root: str, dt: int) -> None:
     stored = _store(result, root, "channel_result", dt)
     _store(roll(rolling, devices, start), root, "first_visit_rolling", dt)
     _store(channel_quality.channel_totals(stored, quota), root, "channel_quota", dt)
+
+
+def lobby_day(spark: SparkSession, root: str, dt: int) -> None:
+    """Devices that stayed in the lobby."""
+    log = scan(spark, f"{root}/request_log", S.REQUEST_LOG, days=(dt, dt))
+    hosts = read_table(spark, f"{root}/host_user", S.UID_LIST)
+    _store(lobby.lobby_stay(log, hosts), root, "lobby_stay", dt)
+
+
+def first_pay_day(spark: SparkSession, root: str, dt: int) -> None:
+    """First-payment report of the day, from the daily income already stored.
+
+    First payments of all earlier days decide who has not paid yet.
+    """
+    report = first_pay_report.first_pay_report(
+        scan(spark, f"{root}/online", S.ONLINE, days=(dt, dt)),
+        scan(spark, f"{root}/first_recharge", S.FIRST_RECHARGE).filter(F.col("dt") <= dt),
+        read_table(spark, f"{root}/register_detail", f"{S.REGISTER_DETAIL}, dt int"),
+        scan(spark, f"{root}/income_daily", S.INCOME_DAILY, days=(dt, dt)),
+        read_table(spark, f"{root}/channel_config", S.CHANNEL_CONFIG),
+    )
+    _store(report.filter(F.col("dt") == dt), root, "first_pay_report", dt)
+
+
+def returning_day(spark: SparkSession, root: str, dt: int) -> None:
+    """Returning-user metrics."""
+
+    def day(name: str, schema: str) -> DataFrame:
+        return scan(spark, f"{root}/{name}", schema, days=(dt, dt))
+
+    metrics = returning.returning_metrics(
+        day("online", S.ONLINE),
+        day("first_visit", S.FIRST_VISIT),
+        day("register_detail", S.REGISTER_DETAIL),
+        day("recharge", S.RECHARGE),
+        day("checksum", S.CHECKSUM),
+        day("chat", S.CHAT),
+        day("flower", S.FLOWER),
+        day("pure_visitor", S.PURE_VISITOR),
+        day("pure_visitor_result", S.PURE_VISITOR_RESULT),
+    )
+    _store(metrics, root, "returning_metrics", dt)
+
+
+def signup_day(spark: SparkSession, root: str, dt: int, *, per_ip: int, min_seconds: int) -> None:
+    """Flagged sign-ups of the day, their summaries, and partner and sub-channel settlement."""
+
+    def whole(name: str, schema: str) -> DataFrame:
+        return read_table(spark, f"{root}/{name}", schema)
+
+    start = day_start(spark, dt)
+    end = start + DAY - 1
+    users, status, profile = (
+        whole(n, s) for n, s in (("user", S.USER), ("user_status", S.USER_STATUS), ("user_profile", S.USER_PROFILE))
+    )
+    partners = whole("partner", S.PARTNER)
+    seen = [signup.seen_before(users, status, start, end, c) for c in ("lastip", "macaddr")]
+    removed = signup.removed_by_history(signup.candidates(users, status, profile, start, end), *seen)
+    _store(removed, root, "signup_removed", dt)
+    steps = signup.signup_steps(
+        users, status, profile, partners, start, end, per_ip=per_ip, min_seconds=min_seconds
+    )
+    _store(signup.signup_summary(steps, start), root, "signup_summary", dt)
+    _store(signup.invalid_signups(steps), root, "signup_invalid", dt)
+    _store(signup.valid_signups(steps), root, "signup_detail", dt)
+    _store(signup.partner_summary(steps, partners), root, "partner_summary", dt)
+    settled = signup.subchannel_settlement(
+        steps,
+        partners,
+        whole("channel_discount", S.CHANNEL_DISCOUNT),
+        scan(spark, f"{root}/chat_history", S.CHAT_HISTORY, days=(dt, dt)),
+        start,
+        end,
+    )
+    _store(settled, root, "subchannel_settlement", dt)

@@ -13,12 +13,12 @@ from nightledger.queries.registry import out, query
 from nightledger.queries.standins import ctes, customers, events, lines, orders, table
 
 OLD = "old AS (SELECT uid, count(*) AS n, sum(money) AS money, min(dt) AS first FROM od WHERE dt < 19980101 GROUP BY uid)"
-NEW = "new AS (SELECT uid, count(*) AS n, sum(money) AS money, min(dt) AS first FROM od WHERE dt >= 20000601 GROUP BY uid)"
+NEW = "new AS (SELECT uid, count(*) AS n, sum(money) AS money, min(dt) AS first FROM od WHERE dt >= 19980101 GROUP BY uid)"
 
 
 def _old_new(spark, sf_dir):
     rows = orders(spark, sf_dir)
-    parts = (rows.filter(F.col("dt") < 19980101), rows.filter(F.col("dt") >= 20000601))
+    parts = (rows.filter(F.col("dt") < 19980101), rows.filter(F.col("dt") >= 19980101))
     return [
         p.groupBy("uid").agg(
             F.count(F.lit(1)).alias("n"), F.sum("money").alias("money"), F.min("dt").alias("first")

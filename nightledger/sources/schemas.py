@@ -25,3 +25,15 @@ CHANNEL_DISCOUNT = "id bigint, channelid string, grade int, discount decimal(10,
 PARTNER = """partner_id bigint, partner_name string, channelid string, type int, status int, cut_rate int,
     price decimal(10,2)"""
 QUOTA = "channel_id string, total bigint, remain bigint"
+USER = "uid bigint, cr_dt bigint, channelid string, showid bigint, qqstatus int, renrenstatus int"
+USER_STATUS = "uid bigint, lastactivitytime bigint, lastip string, macaddr string"
+USER_PROFILE = "uid bigint, nickname string"
+CHAT_HISTORY = "from_uid bigint, dateline bigint"
+FIRST_RECHARGE = "uid bigint, money bigint, type int, first_second int, dateline bigint"
+CHANNEL_CONFIG = "chancode int, channame string, statis_type int"
+CHECKSUM = "idfa string, md5 int"
+CHAT = "uid bigint, chat_num bigint"
+FLOWER = "uid bigint, flower_num bigint"
+PURE_VISITOR = "idfa string, channel_id string, device_type int"
+PURE_VISITOR_RESULT = "channel_id string, device_type int, non_added_pure_visitor bigint"
+INCOME_DAILY = "uid bigint, money bigint, special int, success int"

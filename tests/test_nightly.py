@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
-from nightledger.plans import channel_quality, dwell, income, nightly, spend
+from nightledger.functions.codes import SIGNUP_MIN_UID
+from nightledger.plans import channel_quality, dwell, first_pay_report, income, lobby, nightly, returning, signup, spend
 from nightledger.queries import quality as quality_queries
 from nightledger.queries.standins import named
 from nightledger.sources import schemas as S
@@ -86,6 +87,9 @@ def root(spark, tmp_path_factory):
     put("spend", log, S.SPEND)
     put("request_log", named(spark, SMALL, "request_log").withColumn("ipaddr", F.lit("1.1.1.1")), S.REQUEST_LOG)
     put("first_visit", named(spark, SMALL, "signup_log"), S.FIRST_VISIT)
+    put("online", named(spark, SMALL, "online"), S.ONLINE)
+    paid = named(spark, SMALL, "recharge").withColumns({"type": F.lit(1), "first_second": F.lit(1)})
+    put("first_recharge", paid, S.FIRST_RECHARGE)
     put("register_detail", named(spark, SMALL, "signup_log"), S.REGISTER_DETAIL)
     put_whole("register", named(spark, SMALL, "register_list"))
     for name, source in (("internal_user", "internal_list"), ("farmer_user", "farmer_list"), ("host_user", "host_list")):
@@ -191,3 +195,62 @@ def test_quality_days_equal_all_days_at_once(spark, rows, root):
 def test_quality_query_reads_every_day(spark):
     days = quality_queries.channel_counts(spark, SMALL).select("dt").distinct().count()
     assert days == named(spark, SMALL, "signup_log").select("dt").distinct().count()
+
+
+def test_lobby_first_pay_and_returning_days(spark, rows, root):
+    hosts = read_table(spark, f"{root}/host_user", S.UID_LIST)
+    online, visits, reg = (
+        stored(spark, root, n, s)
+        for n, s in (("online", S.ONLINE), ("first_visit", S.FIRST_VISIT), ("register_detail", S.REGISTER_DETAIL))
+    )
+    stays = lobby.lobby_stay(stored(spark, root, "request_log", S.REQUEST_LOG), hosts)
+    none = [
+        spark.createDataFrame([], f"{s}, dt int")
+        for s in (S.CHECKSUM, S.CHAT, S.FLOWER, S.PURE_VISITOR, S.PURE_VISITOR_RESULT)
+    ]
+    metrics = returning.returning_metrics(online, visits, reg, stored(spark, root, "recharge", S.RECHARGE), *none)
+    nobody = spark.createDataFrame([], f"{S.INCOME_DAILY}, dt int")
+    config = spark.createDataFrame([], S.CHANNEL_CONFIG)
+    first = stored(spark, root, "first_recharge", S.FIRST_RECHARGE)
+    report = first_pay_report.first_pay_report(online, first, reg, nobody, config)
+    for dt in DAYS:
+        nightly.lobby_day(spark, root, dt)
+        nightly.returning_day(spark, root, dt)
+        nightly.first_pay_day(spark, root, dt)
+    assert rows(stored(spark, root, "lobby_stay", stays.schema), *stays.columns) == rows(stays)
+    got = stored(spark, root, "returning_metrics", metrics.schema)
+    assert rows(got, *metrics.columns) == rows(metrics) != []
+    count = ["dt", "display", "online_non_pay", "first_pay"]
+    got = stored(spark, root, "first_pay_report", report.schema)
+    assert rows(got, *count) == rows(report, *count) != []
+
+
+def test_signup_day(spark, rows, tmp_path):
+    root, base, start = str(tmp_path), SIGNUP_MIN_UID, 1704067200
+    people = [(base + i, start + i, f"s1020276010{i % 3:02d}01", i, i % 2, 0) for i in range(1, 40)]
+    users = spark.createDataFrame(people, S.USER)
+    status = spark.createDataFrame([(p[0], p[1] + p[3] * 10, f"ip{p[3] % 9}", f"m{p[3]}") for p in people], S.USER_STATUS)
+    partners = spark.createDataFrame([(1, "p", "s10202%", 3, 1, 10, Decimal(2))], S.PARTNER)
+    discounts = spark.createDataFrame([(1, "s%", 1, Decimal("0.9"))], S.CHANNEL_DISCOUNT)
+    chats = spark.createDataFrame([(base + 20, start + 50)], S.CHAT_HISTORY)
+    users.write.parquet(f"{root}/user")
+    status.write.parquet(f"{root}/user_status")
+    profile = users.select("uid", F.lit("n").alias("nickname"))
+    profile.write.parquet(f"{root}/user_profile")
+    partners.write.parquet(f"{root}/partner")
+    discounts.write.parquet(f"{root}/channel_discount")
+    append_day(chats, f"{root}/chat_history", 20240101)
+    end = start + 86399
+    steps = signup.signup_steps(users, status, profile, partners, start, end, per_ip=3, min_seconds=120)
+    want = {
+        "signup_summary": signup.signup_summary(steps, start),
+        "signup_invalid": signup.invalid_signups(steps),
+        "signup_detail": signup.valid_signups(steps),
+        "partner_summary": signup.partner_summary(steps, partners),
+        "subchannel_settlement": signup.subchannel_settlement(steps, partners, discounts, chats, start, end),
+    }
+    for _ in range(2):
+        nightly.signup_day(spark, root, 20240101, per_ip=3, min_seconds=120)
+        for name, df in want.items():
+            cols = [c for c in df.columns if c != "dt"]
+            assert rows(stored(spark, root, name, df.schema), *cols) == rows(df, *cols) != []

@@ -69,6 +69,11 @@ def test_first_k_and_beyond_first_k(spark, rows):
     assert rows(windows.beyond_first_k(df, ["k"], "id", 3, "late")) == sorted(want_flag, key=repr)
 
 
+def test_rows_without_a_key_are_never_beyond(spark, rows):
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, "a")], "id int, k string")
+    assert rows(windows.beyond_first_k(df, ["k"], "id", 1, "late"), "id", "late") == [(1, 0), (2, 0), (3, 0), (4, 1)]
+
+
 def test_first_k_limits_each_key_before_the_shuffle(spark):
     df = spark.range(1000).select("id", (F.col("id") % 3).alias("k"))
     plan = windows.first_k(df, ["k"], ["id"], 2)._jdf.queryExecution().executedPlan().toString()
@@ -157,7 +162,7 @@ def test_nearest_lookup_answers_two_questions_at_once(spark, rows):
 
 def test_interval_join_includes_both_ends(spark, rows):
     points = spark.createDataFrame([("r", t) for t in (99, 100, 4000, 7300, 7301)], "room string, t bigint")
-    spans = spark.createDataFrame([("r", 100, 7300), ("r", 3999, 4000), ("q", 0, 9)], "room string, a bigint, b bigint")
+    spans = spark.createDataFrame([("r", 100, 7300), ("r", 3999, 4000), ("q", 0, 9), ("r", 50, 40), ("r", None, 9)], "room string, a bigint, b bigint")
     got = joins.interval_join(points, spans, ["room"], "t", "a", "b")
     assert rows(got, "t", "a") == [(100, 100), (4000, 100), (4000, 3999), (7300, 100)]
 
