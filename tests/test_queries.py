@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as driver
 from conftest import SMALL
+from nightledger.queries import ORACLES, QUERIES
 
 ALL_WITH_ALL_OR_PYTHON = ("BroadcastNestedLoopJoin", "CartesianProduct", "EvalPython", "InPandas", "InArrow")
 TABLES = "region nation customer supplier part orders lineitem events".split()
@@ -26,13 +27,13 @@ def as_rows(frame):
     )
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df = driver.queries()[name](spark, SMALL)
+    df = QUERIES[name](spark, SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [node for node in ALL_WITH_ALL_OR_PYTHON if node in plan]
     got = df.toPandas()
-    want = con.sql(driver.oracle_sql()[name]).df()
+    want = con.sql(ORACLES[name]).df()
     assert sorted(got.columns) == sorted(want.columns)
     assert as_rows(got) == as_rows(want)
 
@@ -42,4 +43,10 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_a_check():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+
+
+def test_driver_has_every_query():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLES) <= set(driver.oracle_sql())
+    assert set(driver.oracle_sql()) <= set(driver.queries())
