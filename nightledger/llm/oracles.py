@@ -29,4 +29,22 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIG
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
-ORACLES = {"op3_decontamination": OP3}
+OP2 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+),
+lost AS (SELECT doc_id, i FROM win JOIN (SELECT k, min(doc_id) AS least FROM win GROUP BY k) USING (k) WHERE doc_id > least),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM lost),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op3_decontamination": OP3}

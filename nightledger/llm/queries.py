@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import benchmarks, tokens
+from nightledger.llm import benchmarks, substrings, tokens
 from nightledger.llm.frames import table
 from nightledger.llm.oracles import ORACLES
 
@@ -18,6 +18,12 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of each document that an earlier document has in the same window of 13 words."""
+    return substrings.repeated_words(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that lie in benchmark windows, and whether it is contaminated."""
