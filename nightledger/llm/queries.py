@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import benchmarks, substrings, tokens
+from nightledger.llm import benchmarks, setsketch, substrings, tokens
 from nightledger.llm.frames import table
 from nightledger.llm.oracles import ORACLES
 
@@ -32,6 +32,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query
+def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose shingle sets are similar to 75 percent."""
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of each document under the byte-level vocabulary of 50,257 ids."""
