@@ -1,5 +1,7 @@
 """Checks in SQL for the queries that SQL can express."""
 
+from nightledger.llm.licences import TEMPLATES, bigrams_of
+
 # Words of a text with A-Z lower-cased, as the benchmark contract takes them.
 _ITEM_WORDS = (
     "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -67,4 +69,37 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c AS component_
 FROM d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) ON a = d.doc_id
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op7_minhash_dedup": OP7}
+_TEMPLATES = ", ".join(
+    f"({i}, '{name}', [{', '.join(repr(g) for g in bigrams_of(text))}])" for i, (name, text) in enumerate(sorted(TEMPLATES.items()))
+)
+
+OP4 = rf"""
+WITH t(place, name, grams) AS (VALUES {_TEMPLATES}),
+d AS (
+  SELECT doc_id, regexp_replace(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F]+', ' ', 'g') AS plain
+  FROM documents
+),
+units AS (
+  SELECT doc_id, true AS line, unnest(string_split(plain, chr(10))) AS u FROM d
+  UNION ALL SELECT doc_id, false, replace(plain, chr(10), ' ') FROM d WHERE contains(plain, chr(10))
+),
+w AS (SELECT doc_id, line, row_number() OVER () AS id, [x for x in string_split(u, ' ') if x <> ''] AS w FROM units),
+g AS (
+  SELECT doc_id, line, id, list_distinct([w[i] || ' ' || w[i + 1] for i in range(1, len(w))]) AS grams
+  FROM w WHERE len(w) > 1
+),
+s AS (
+  SELECT doc_id, line, id, place, name,
+    2 * len(list_intersect(g.grams, t.grams)) / CAST(len(g.grams) + len(t.grams) AS DOUBLE) AS score
+  FROM g JOIN t ON len(g.grams) BETWEEN len(t.grams) * 0.66 AND len(t.grams) * 1.51
+),
+good AS (SELECT * FROM s WHERE score >= 0.8),
+best AS (SELECT doc_id, name, score FROM good QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, place) = 1),
+n AS (SELECT doc_id, count(DISTINCT id) AS n FROM good WHERE line GROUP BY doc_id)
+SELECT doc_id, name AS licence, coalesce(score, 0.0) AS score, CAST(coalesce(n.n, 0) AS BIGINT) AS n_notices
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op4_licence_scan": OP4, "op7_minhash_dedup": OP7}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import benchmarks, setsketch, substrings, tokens
+from nightledger.llm import benchmarks, licences, mixing, setsketch, substrings, tokens
 from nightledger.llm.frames import table
 from nightledger.llm.oracles import ORACLES
 
@@ -32,6 +32,19 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+@query
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence notice of each document."""
+    return licences.licence_scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of each document so that every source comes to its target."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs).drop("copies", "key")
+
+
 @query
 def op7_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose shingle sets are similar to 75 percent."""
