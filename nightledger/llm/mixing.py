@@ -4,8 +4,8 @@ Every document of a source has the same fractional number of copies, target over
 taken; the fraction is rounded so that the words of the source stay as they are: of two documents with
 open fractions, one hands words to the other until one of them is at none or all, in a random direction that leaves
 both expectations unchanged. Documents meet in groups of about ``GROUP``; each group leaves one open document
-at most, the open ones of ``GROUP`` groups meet again, and so on up a tree. The words taken of a source differ
-from its target by less than one document.
+at most, the open ones of ``GROUP`` groups meet again, and so on up a tree. The one document left open at the top of a source goes to
+the nearer side, so the words taken of a source differ from its target by half a document at most.
 
 All randomness is a hash of the seed and the document, so a rerun takes the same documents.
 """
@@ -129,7 +129,7 @@ def _decided(items: DataFrame, nodes: int) -> DataFrame:
     done = grouped.select("rank", F.explode("done").alias("d")).select("rank", "d.id", "d.take")
     left = grouped.where("last is not null").select("rank", "node", "last.*")
     if nodes == 1:
-        top = left.withColumn("take", _uniform(F.col("rank"), F.lit("top")) * F.col("size") < F.col("mass"))
+        top = left.withColumn("take", 2 * F.col("mass") >= F.col("size"))
         return done.union(top.select("rank", "id", "take"))
     up = left.select("rank", F.expr(f"node div {GROUP}").alias("node"), F.col("node").alias("id"), "size", "mass")
     above = _decided(up, -(-nodes // GROUP)).withColumnRenamed("id", "node")
