@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import benchmarks, licences, mixing, setsketch, substrings, tokens
+from nightledger.llm import benchmarks, licences, mixing, quality, setsketch, substrings, tokens
 from nightledger.llm.frames import table
 from nightledger.llm.oracles import ORACLES
 
@@ -38,6 +38,12 @@ def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_scan(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of each document."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of each document so that every source comes to its target."""
