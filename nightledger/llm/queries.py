@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import benchmarks, licences, mixing, quality, setsketch, substrings, tokens
+from nightledger.llm import benchmarks, licences, mixing, quality, setsketch, substrings, tokens, toxicity
 from nightledger.llm.frames import table
 from nightledger.llm.oracles import ORACLES
 
@@ -18,6 +18,14 @@ def query(fn: Callable[[SparkSession, str], DataFrame]):
     return fn
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.toxicity_scores(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 @query
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each document that an earlier document has in the same window of 13 words."""
