@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.llm import benchmarks, licences, mixing, quality, setsketch, substrings, tokens, toxicity
+from nightledger.llm import benchmarks, licences, mixing, neighbours, quality, setsketch, substrings, tokens, toxicity
 from nightledger.llm.frames import table
 from nightledger.llm.oracles import ORACLES
 
@@ -74,4 +74,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors found for every twentieth vector."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 __all__ = ["ORACLES", "QUERIES"]
