@@ -102,4 +102,68 @@ SELECT doc_id, name AS licence, coalesce(score, 0.0) AS score, CAST(coalesce(n.n
 FROM d LEFT JOIN best USING (doc_id) LEFT JOIN n USING (doc_id)
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op4_licence_scan": OP4, "op7_minhash_dedup": OP7}
+# A capture log made of the given pages, in SQL that both engines read: each page is captured in full and revisited three
+# times, under changed spellings of its URL, with agreeing, changed and missing validators.
+CAPTURES = """
+SELECT record_id, url, captured_at, kind, etag, last_modified, date, cache_control, content_type, content_length, payload FROM (
+  SELECT page_id * 4 AS record_id, url, page_id % 97 AS captured_at, 'response' AS kind,
+    CASE WHEN page_id % 3 = 0 THEN NULL ELSE concat('"', substr(md5(html), 1, 8), '"') END AS etag,
+    CASE WHEN page_id % 11 = 0 THEN NULL ELSE concat('day ', CAST(page_id % 97 AS STRING)) END AS last_modified,
+    concat('day ', CAST(page_id % 97 AS STRING)) AS date, 'max-age=60' AS cache_control, 'text/html' AS content_type,
+    CAST(length(html) AS STRING) AS content_length, {digest} AS payload
+  FROM {pages}
+  UNION ALL
+  SELECT page_id * 4 + n AS record_id,
+    CASE n WHEN 1 THEN url WHEN 2 THEN concat(replace(url, 'http://', 'https://'), '#part') ELSE concat(url, '/') END AS url,
+    (page_id % 97) + 10 * (n - 2) AS captured_at, 'revisit' AS kind,
+    CASE WHEN page_id % 3 = 0 THEN NULL WHEN page_id % 7 = 0 THEN '"other"' ELSE concat('W/"', substr(md5(html), 1, 8), '"') END AS etag,
+    CASE WHEN page_id % 5 = 0 THEN NULL ELSE concat('day ', CAST(page_id % 97 AS STRING)) END AS last_modified,
+    concat('day ', CAST((page_id % 97) + 10 * (n - 2) AS STRING)) AS date,
+    CASE WHEN n = 3 THEN 'max-age=5' END AS cache_control, NULL AS content_type, '0' AS content_length, NULL AS payload
+  FROM (SELECT *, {turns} AS n FROM {pages}) AS turns
+) AS log
+"""
+
+_CANONICAL = """
+CASE WHEN regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN concat(
+  regexp_replace(regexp_replace(lower(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), ':(80|443)$', ''), '^www[.]', ''),
+  regexp_replace(regexp_extract(plain, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*([^?]*)', 1), '/+$', ''),
+  CASE WHEN len(kept) > 0 THEN concat('?', array_to_string(kept, '&')) ELSE '' END) ELSE url END
+"""
+
+OP9 = f"""
+WITH log AS ({CAPTURES.format(pages="pages", digest="sha256(html)", turns="unnest(range(1, 4))")}),
+split_ AS (SELECT *, regexp_replace(url, '#.*$', '') AS plain FROM log),
+kept AS (
+  SELECT *, list_sort([p for p in string_split(regexp_extract(plain, '[?](.*)$', 1), '&')
+    if p <> '' AND NOT regexp_matches(p, '^(utm_[a-z]+|fbclid|gclid|ref)=')]) AS kept FROM split_
+),
+k AS (SELECT *, {_CANONICAL} AS key FROM kept),
+o AS (
+  SELECT *, max(CASE WHEN kind = 'response' THEN {{'captured_at': captured_at, 'id': record_id}} END)
+    OVER (PARTITION BY key ORDER BY captured_at, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS source FROM k
+),
+j AS (
+  SELECT v.*, r.record_id AS response_id, r.payload AS old_payload, r.content_type AS old_type, r.content_length AS old_length,
+    r.etag AS old_etag, r.last_modified AS old_modified, r.cache_control AS old_control,
+    CASE WHEN r.record_id IS NULL THEN 'missing' ELSE
+      CASE coalesce(regexp_replace(v.etag, '^W/', '') = regexp_replace(r.etag, '^W/', ''), v.last_modified = r.last_modified)
+        WHEN true THEN 'resolved' WHEN false THEN 'changed' ELSE 'unchecked' END END AS status
+  FROM o v LEFT JOIN o r ON r.kind = 'response' AND r.record_id = v.source.id WHERE v.kind = 'revisit'
+),
+h AS (
+  SELECT *, status = 'resolved' AS ok, CASE WHEN status = 'resolved' THEN coalesce(cache_control, old_control) ELSE cache_control END AS h1,
+    CASE WHEN status = 'resolved' THEN old_length ELSE content_length END AS h2,
+    CASE WHEN status = 'resolved' THEN old_type ELSE content_type END AS h3,
+    CASE WHEN status = 'resolved' THEN coalesce(etag, old_etag) ELSE etag END AS h5,
+    CASE WHEN status = 'resolved' THEN coalesce(last_modified, old_modified) ELSE last_modified END AS h6
+  FROM j
+)
+SELECT record_id, key, captured_at, coalesce(response_id, -1) AS response_id, status,
+  concat_ws('; ', 'cache-control: ' || h1, 'content-length: ' || h2, 'content-type: ' || h3, 'date: ' || date,
+    'etag: ' || h5, 'last-modified: ' || h6) AS headers,
+  CASE WHEN ok THEN old_payload END AS payload
+FROM h
+"""
+
+ORACLES = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op4_licence_scan": OP4, "op7_minhash_dedup": OP7, "op9_revisits": OP9}

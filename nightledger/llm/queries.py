@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from nightledger.llm import benchmarks, licences, mixing, neighbours, quality, setsketch, substrings, tokens, toxicity
+from nightledger.llm import benchmarks, captures, licences, mixing, neighbours, quality, setsketch, substrings, tokens, toxicity
 from nightledger.llm.frames import table
-from nightledger.llm.oracles import ORACLES
+from nightledger.llm.oracles import CAPTURES, ORACLES
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -74,6 +75,21 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
+@query
+def op9_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every revisit of a capture log over all pages, with the response it stands for."""
+    pages = table(spark, sf_dir, "pages")
+    log = CAPTURES.format(pages="{pages}", digest="sha2(html, 256)", turns="explode(sequence(1, 3))")
+    rows = spark.sql(log, pages=pages)
+    names = ["etag", "last_modified", "date", "cache_control", "content_type", "content_length"]
+    pairs = F.array(*[F.struct(F.lit(n.replace("_", "-")).alias("k"), F.col(n).alias("v")) for n in names])
+    headers = F.map_from_entries(F.filter(pairs, lambda p: p["v"].isNotNull()))
+    found = captures.resolve_revisits(rows.withColumn("headers", headers))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e.key, F.lit(": "), e.value))
+    shown = found.withColumn("headers", F.array_join(lines, "; "))
+    return shown.withColumn("response_id", F.coalesce("response_id", F.lit(-1)))  # -1: none
+
+
 @query
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest vectors found for every twentieth vector."""
