@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from nightledger.llm.packed import pack, steps, unpack
 from nightledger.llm.words import SPACED, Words, runs, slabs, window_hashes, window_starts
@@ -249,7 +250,7 @@ def _kept_texts(words: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return out, np.concatenate([[0], np.append(0, ends)[np.cumsum(counts)]])
 
 
-def _cleaned(docs: DataFrame, size: int, fill, schema: str) -> DataFrame:
+def _cleaned(docs: DataFrame, size: int, fill, schema: str | StructType) -> DataFrame:
     """Each document with what ``fill`` makes of its batch, its words and the words it keeps."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = int(np.clip(int(4 * total / 6).bit_length(), MIN_BITS, MAX_BITS))
@@ -332,7 +333,6 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             [batch.column("row"), pa.array(text, batch.schema.field("text").type)], names=["row", "text"]
         )
 
-    row = work.schema["row"].dataType.simpleString()
-    out = _cleaned(work, size, fill, f"row {row}, text string")
+    out = _cleaned(work, size, fill, StructType([work.schema["row"], StructField("text", StringType())]))
     columns = {"text": F.col("text"), "n_chars": F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))}
     return out.select(*[columns[c].alias(c) if c in columns else F.col("row")[c].alias(c) for c in own])
