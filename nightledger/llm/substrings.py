@@ -3,7 +3,7 @@
 Pass 1 counts all windows of ``WINDOW`` words in a count-min sketch. Every task sketches its own windows,
 and a reduction tree adds the partial sketches, so counts are never too low. Only "at least two" matters,
 so counters stop at two and the merged sketch keeps one bit per cell. Its size follows the corpus up to
-``MAX_BITS``; beyond that it lets more windows pass, and the result stays the same.
+``MAX_CELLS``; beyond that it lets more windows pass, and the result stays the same.
 
 Pass 2 groups exactly the windows that the sketch holds for repeated, by 96 bits of hash. A task first decides among
 its own documents: of each window only the smallest document's claim is sent on, so a passage that a
@@ -30,12 +30,14 @@ from nightledger.llm.words import SPACED, Words, runs, slabs, window_hashes, win
 
 WINDOW = 13
 ROWS = 2
-MIN_BITS, MAX_BITS = 16, 29  # cells of a row; the broadcast has ROWS * 2**MAX_BITS bits at most
+LOAD = 0.5  # windows for each cell of a row, as long as the bound allows
+MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 28  # of a row; the broadcast has ROWS * MAX_CELLS bits at most
 BLOCK_BITS = 22
 FAN_IN = 32
 SKETCH_FLUSH = 4 << 20  # windows
 CLAIM_FLUSH = 1 << 20  # surviving windows
 BUCKET_BYTES = 6 << 20
+WORD_BYTES = 6  # with the blank; only sizes the sketch
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -43,17 +45,17 @@ def _cells(words: Words, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.
     return tuple(window_hashes(words.hashes(r), starts, size, r) for r in range(ROWS))
 
 
-def _cell(keys: np.ndarray, bits: int) -> np.ndarray:
-    return (keys >> np.uint64(64 - bits)).astype(np.uint32)
+def _cell(keys: np.ndarray, cells: int) -> np.ndarray:
+    return (((keys >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.uint32)
 
 
-def _partial(part: int, bits: int, kept: list[list[np.ndarray]]) -> Iterator[dict]:
+def _partial(part: int, n_cells: int, kept: list[list[np.ndarray]]) -> Iterator[dict]:
     """One task's sketch: for each row and block the cells seen, and those seen twice."""
     for row in range(ROWS):
         cells = np.sort(np.concatenate(kept[row]))
         again = cells[1:][cells[1:] == cells[:-1]]
         once, twice = cells[runs(cells)], again[runs(again)]
-        edges = np.arange((1 << max(0, bits - BLOCK_BITS)) + 1, dtype=np.int64) << BLOCK_BITS
+        edges = np.arange(-(-n_cells >> BLOCK_BITS) + 1, dtype=np.int64) << BLOCK_BITS
         at, at2 = np.searchsorted(once, edges), np.searchsorted(twice, edges)
         for block in np.flatnonzero(np.diff(at)):
             base = np.uint32(block << BLOCK_BITS)
@@ -64,7 +66,7 @@ def _partial(part: int, bits: int, kept: list[list[np.ndarray]]) -> Iterator[dic
 _SKETCH = pa.schema([("row", pa.int32()), ("block", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())])
 
 
-def window_sketch(texts: DataFrame, bits: int, size: int = WINDOW) -> list[np.ndarray]:
+def window_sketch(texts: DataFrame, n_cells: int, size: int = WINDOW) -> list[np.ndarray]:
     """For each row of the sketch a bit per cell, set if the windows counted there may be two or more."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,15 +76,15 @@ def window_sketch(texts: DataFrame, bits: int, size: int = WINDOW) -> list[np.nd
                 words = Words(data, offsets, SPACED)
                 starts = window_starts(words, size)
                 for row, keys in enumerate(_cells(words, starts, size)):
-                    kept[row].append(_cell(keys, bits))
+                    kept[row].append(_cell(keys, n_cells))
                 held += len(starts)
                 if held >= SKETCH_FLUSH:
-                    yield pa.RecordBatch.from_pylist(list(_partial(part, bits, kept)), _SKETCH)
+                    yield pa.RecordBatch.from_pylist(list(_partial(part, n_cells, kept)), _SKETCH)
                     kept, held = [[] for _ in range(ROWS)], 0
         if held:
-            yield pa.RecordBatch.from_pylist(list(_partial(part, bits, kept)), _SKETCH)
+            yield pa.RecordBatch.from_pylist(list(_partial(part, n_cells, kept)), _SKETCH)
 
-    cells = 1 << min(bits, BLOCK_BITS)
+    cells = 1 << BLOCK_BITS
 
     def add(payloads: pd.Series) -> np.ndarray:
         counts = np.zeros(cells, np.uint8)
@@ -115,7 +117,7 @@ def window_sketch(texts: DataFrame, bits: int, size: int = WINDOW) -> list[np.nd
         )
         parts = -(-parts // FAN_IN)
     merged = partial.groupBy("row", "block").applyInPandas(close, "row int, block int, payload binary")
-    planes = [np.zeros((1 << bits) // 8, np.uint8) for _ in range(ROWS)]
+    planes = [np.zeros((-(-n_cells >> BLOCK_BITS) << BLOCK_BITS) // 8, np.uint8) for _ in range(ROWS)]
     for row, block, payload in merged.toLocalIterator(prefetchPartitions=True):
         (plane,) = unpack(payload)
         planes[row][block * len(plane) :][: len(plane)] = plane
@@ -175,7 +177,7 @@ def _losses(ids, marks, homes, places, lost, buckets: int) -> list[dict]:
     ]
 
 
-def _lost_windows(keyed: DataFrame, planes: list[np.ndarray], bits: int, buckets: int, size: int) -> DataFrame:
+def _lost_windows(keyed: DataFrame, planes: list[np.ndarray], n_cells: int, buckets: int, size: int) -> DataFrame:
     """home and payload: the windows each document loses."""
     shared = keyed.sparkSession.sparkContext.broadcast(planes)
 
@@ -190,7 +192,7 @@ def _lost_windows(keyed: DataFrame, planes: list[np.ndarray], bits: int, buckets
                 keys = _cells(words, starts, size)
                 repeated = np.ones(len(starts), bool)
                 for row in range(ROWS):
-                    cell = _cell(keys[row], bits)
+                    cell = _cell(keys[row], n_cells)
                     repeated &= (seen[row][cell >> np.uint32(3)] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 == 1
                 at = np.flatnonzero(repeated)
                 if not len(at):
@@ -253,13 +255,13 @@ def _kept_texts(words: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _cleaned(docs: DataFrame, size: int, fill, schema: str | StructType) -> DataFrame:
     """Each document with what ``fill`` makes of its batch, its words and the words it keeps."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = int(np.clip(int(4 * total / 6).bit_length(), MIN_BITS, MAX_BITS))
+    n_cells = int(np.clip(total / WORD_BYTES / LOAD, MIN_CELLS, MAX_CELLS))
     buckets = max(1, -(-int(total) // BUCKET_BYTES))
     mark = F.xxhash64("text")
     keyed = docs.withColumns({"doc": F.col("doc_id").cast("long"), "mark": mark})
     keyed = keyed.withColumn("home", F.pmod(F.xxhash64("doc", "mark"), F.lit(buckets)).cast("int"))
-    planes = window_sketch(docs, bits, size)
-    lost = _lost_windows(keyed.select("doc", "mark", "home", "text"), planes, bits, buckets, size)
+    planes = window_sketch(docs, n_cells, size)
+    lost = _lost_windows(keyed.select("doc", "mark", "home", "text"), planes, n_cells, buckets, size)
 
     def strip(texts: pa.Table, decided: pa.Table) -> pa.Table:
         by_key: dict[tuple[int, int], list[np.ndarray]] = {}
