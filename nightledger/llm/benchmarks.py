@@ -61,16 +61,16 @@ class Block:
     def pack(self, numbers: np.ndarray) -> np.ndarray:
         """Word numbers of each row as one byte string that sorts in their order."""
         per = 64 // self.bits
-        keys = []
-        for at in range(0, numbers.shape[1], per):
+        firsts = range(0, numbers.shape[1], per)
+        keys = np.zeros((len(numbers), len(firsts)), ">u8")
+        for k, at in enumerate(firsts):
             key = np.zeros(len(numbers), np.uint64)
-            for j in range(per):
+            for j in range(at, at + per):
                 key <<= np.uint64(self.bits)
-                if at + j < numbers.shape[1]:
-                    key |= numbers[:, at + j].astype(np.uint64)
-            keys.append(key.astype(">u8"))
-        wide = np.ascontiguousarray(np.stack(keys, 1))
-        return wide.view(f"S{8 * len(keys)}").ravel()
+                if j < numbers.shape[1]:
+                    key |= numbers[:, j].astype(np.uint64)
+            keys[:, k] = key
+        return keys.view(f"S{8 * len(firsts)}").ravel()
 
     def number(self, words: Words) -> np.ndarray:
         """Vocabulary number of each word, 0 for words of no item."""
