@@ -32,7 +32,7 @@ def pieces(text: str, limit: int = PIECE_BYTES) -> Iterator[str]:
     """The text in pieces of at least ``limit`` characters, cut at safe blanks only."""
     lo = 0
     while len(text) - lo > limit:
-        cut = SAFE.search(text, lo + limit)
+        cut = SAFE.search(text, lo + max(1, limit))
         if cut is None:
             break
         yield text[lo : cut.start()]
