@@ -8,7 +8,7 @@ Documents with equal sets form one class; from then on only the class of the sma
 that agree in all registers of a band share a bucket. Each class is first compared with the smallest class among
 its buckets; the groups found so make most buckets uniform. In the buckets that still hold several groups, all pairs
 across groups are estimated, in blocks of bounded size and without being written out. Pairs are judged by
-a joint likelihood estimate first and confirmed on the full sets.
+a joint likelihood estimate first and confirmed on the full sets, those across groups inside their block.
 """
 
 from __future__ import annotations
@@ -30,7 +30,10 @@ REGISTERS, BASE, RATE, TOP = 128, 1.001, 20.0, 65535
 BAND = 4
 SIMILAR = 75  # in hundredths
 SLACK = 0.20  # an estimate this far below is over five standard errors off
-BLOCK = 2048  # members of a bucket that meet in one task
+LEAST_EQUAL = 40  # equal registers; sets similar to 55 percent agree in 70 on average, with a deviation below 6
+GROUP_ROWS, GROUP_BYTES, PAIRS_AT_ONCE = 8192, 32 << 20, 1 << 16
+BROADCAST_BYTES = 8 << 20
+BLOCK = 512  # members of a bucket that meet in one task
 
 _RNG = np.random.Generator(np.random.PCG64(7))
 _SCALE = _RNG.integers(0, 1 << 32, REGISTERS, dtype=np.uint32) | np.uint32(1)
@@ -166,8 +169,116 @@ def _rows(values: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(values), np.uint16).reshape(-1, REGISTERS)
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that are similar by their full sets."""
+def _likely_pairs(cells: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of likely similar rows of different groups in one cell, and their estimate; ``cells`` come sorted.
+
+    Two sets that share several buckets meet in the one of the first band they agree in.
+    """
+    key, x, y, own, band, component, n = (cells[c].to_numpy() for c in "key x y own band component n".split())
+    rows, at = _rows(list(cells["registers"])), np.arange(len(cells))
+    new = np.ones(len(cells), bool)
+    new[1:] = (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+    cell = np.cumsum(new) - 1
+    end = np.append(np.flatnonzero(new)[1:], len(cells))[cell]
+    # a row meets those after it in its block, or those of the other block
+    middle = end - np.bincount(cell, own == y)[cell].astype(np.int64)
+    lo = np.where(x == y, at + 1, np.where(own == x, middle, end))
+    count = end - lo
+    edges = np.searchsorted(np.cumsum(count), np.arange(0, max(1, count.sum()), PAIRS_AT_ONCE), "left")
+    for first, last in zip(edges, np.append(edges[1:], len(cells)), strict=True):
+        some = count[first:last]
+        left = np.repeat(at[first:last], some)
+        right = lo[left] + np.arange(len(left)) - np.repeat(np.cumsum(some) - some, some)
+        ok = component[left] != component[right]
+        ok &= 100 * np.minimum(n[left], n[right]) >= SIMILAR * np.maximum(n[left], n[right])
+        left, right = left[ok], right[ok]
+        equal = rows[left] == rows[right]
+        ok = equal.sum(1) >= LEAST_EQUAL
+        ok &= equal.reshape(len(left), REGISTERS // BAND, BAND).all(2).argmax(1) == band[left]
+        left, right = left[ok], right[ok]
+        est = similarity((rows[left] > rows[right]).sum(1), (rows[left] < rows[right]).sum(1), n[left], n[right])
+        ok = est >= SIMILAR / 100 - SLACK
+        yield left[ok], right[ok], est[ok]
+
+
+def _sorted(group: pd.DataFrame) -> pd.DataFrame:
+    return group.sort_values(["key", "x", "y", "own", "id"], kind="stable").reset_index(drop=True)
+
+
+def _cells(buckets: DataFrame) -> DataFrame:
+    """Rows of ``buckets`` once for each cell; a bucket of more than ``BLOCK`` members has a cell per pair of blocks."""
+    parts = F.ceil(F.col("members") / BLOCK).cast("int")
+    cells = buckets.withColumn("own", F.pmod(F.xxhash64("id"), parts).cast("int"))
+    cells = cells.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return cells.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
+
+
+_CELL = ["key", "x", "y", "own", "band", "id", "component", "n", "registers"]
+
+
+def _dealt(cells: DataFrame, weight: str, limit: int) -> DataFrame:
+    """``cells`` with the number of the task group their cell belongs to."""
+    total = cells.agg(F.sum(F.expr(weight))).first()[0] or 0
+    return cells.withColumn("deal", F.pmod(F.xxhash64("key", "x", "y"), F.lit(max(1, -(-int(total) // limit)))))
+
+
+def _open_members(buckets: DataFrame) -> DataFrame:
+    """key, x, y, own, id of the members of cells that are in a likely pair."""
+
+    def involved(group: pd.DataFrame) -> pd.DataFrame:
+        group = _sorted(group)
+        hit = np.zeros(len(group), bool)
+        for left, right, _ in _likely_pairs(group):
+            hit[left] = hit[right] = True
+        return group.loc[hit, ["key", "x", "y", "own", "id"]]
+
+    cells = _dealt(_cells(buckets).select(*_CELL), "1", GROUP_ROWS)
+    return cells.groupBy("deal").applyInPandas(involved, "key long, x int, y int, own int, id long")
+
+
+def _links_across(members: DataFrame) -> DataFrame:
+    """Confirmed links a, b that connect the groups within each cell; ``members`` has cells with ``grams``.
+
+    A pair whose groups already hang together in the task is left out, so no more links come out than members.
+    """
+
+    def confirm(group: pd.DataFrame) -> pd.DataFrame:
+        group = _sorted(group)
+        grams = [np.frombuffer(g, np.uint64) for g in group["grams"]]
+        ids, component, up, found = group["id"].to_numpy(), group["component"].to_numpy(), {}, []
+
+        def root(c: int) -> int:
+            while up.setdefault(c, c) != c:
+                up[c] = up[up[c]]
+                c = up[c]
+            return c
+
+        for left, right, est in _likely_pairs(group):
+            for k in np.argsort(-est, kind="stable"):
+                i, j = left[k], right[k]
+                one, two = root(component[i]), root(component[j])
+                if one != two and _similar(grams[i], grams[j]):
+                    up[two] = one
+                    found.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    dealt = _dealt(members, "8 * n + 512", GROUP_BYTES)
+    return dealt.groupBy("deal").applyInPandas(confirm, "a long, b long")
+
+
+def _similar(one: np.ndarray, two: np.ndarray) -> bool:
+    """Whether two sorted sets have the wanted similarity."""
+    if len(one) > len(two):
+        one, two = two, one
+    both = int((two[np.minimum(np.searchsorted(two, one), len(two) - 1)] == one).sum()) if len(one) else 0
+    return 100 * both >= SIMILAR * (len(one) + len(two) - both)
+
+
+def _grams(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """id and sorted shingle hashes of the documents in ``ids``.
+
+    Few ids go to the documents as a broadcast of checked size; many meet them in a shuffle.
+    """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -178,61 +289,27 @@ def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
                     [batch.column("id").slice(lo, hi - lo), pa.array(grams, pa.binary())], names=["id", "grams"]
                 )
 
+    needed = cut_lineage(ids.select("id").distinct())
+    if needed.count() * 8 <= BROADCAST_BYTES:
+        needed = F.broadcast(needed)
+    return docs.join(needed, "id", "left_semi").mapInArrow(sets, "id long, grams binary")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+    """The pairs that are similar by their full sets."""
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("ga"), batch.column("gb"), strict=True):
-                one, two = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * both >= SIMILAR * (len(one) + len(two) - both))
+            sides = zip(batch.column("ga"), batch.column("gb"), strict=True)
+            keep = [_similar(*(np.frombuffer(v.as_buffer(), np.uint64) for v in pair)) for pair in sides]
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    grams = docs.join(needed, "id", "left_semi").mapInArrow(sets, "id long, grams binary")
+    grams = cut_lineage(_grams(pairs.select(F.explode(F.array("a", "b")).alias("id")), docs))
     right = pairs.join(grams.select(F.col("id").alias("b"), F.col("grams").alias("gb")), "b")
     both = right.join(grams.select(F.col("id").alias("a"), F.col("grams").alias("ga")), "a")
     return both.select("a", "b", "ga", "gb").mapInArrow(judge, "a long, b long")
 
 
-def _across(buckets: DataFrame) -> DataFrame:
-    """Pairs of one bucket that lie in different groups and are likely similar.
-
-    ``buckets`` has key, id, component, members, n and registers. A bucket of more than ``BLOCK`` members is cut
-    into blocks, and each pair of blocks meets in a task of its own.
-    """
-    parts = F.ceil(F.col("members") / BLOCK).cast("int")
-    block = F.pmod(F.xxhash64("id"), parts).cast("int")
-    cells = buckets.withColumn("own", block).withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
-    cells = cells.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
-
-    def compare(group: pd.DataFrame) -> pd.DataFrame:
-        x, y = group["x"].iloc[0], group["y"].iloc[0]
-        left, right = (group[group["own"] == w].reset_index(drop=True) for w in (x, y))
-        left_rows, right_rows = _rows(list(left["registers"])), _rows(list(right["registers"]))
-        found = []
-        for i in range(len(left)):
-            row = left.iloc[i]
-            n, m = int(row["n"]), right["n"].to_numpy()
-            ok = (right["component"].to_numpy() != row["component"]) & (
-                100 * np.minimum(n, m) >= SIMILAR * np.maximum(n, m)
-            )
-            if x == y:
-                ok[: i + 1] = False
-            at = np.flatnonzero(ok)
-            if len(at):
-                more = (left_rows[i] > right_rows[at]).sum(1)
-                less = (left_rows[i] < right_rows[at]).sum(1)
-                est = similarity(more, less, np.full(len(at), n), m[at])
-                at = at[est >= SIMILAR / 100 - SLACK]
-                found.append(pd.DataFrame({"a": row["id"], "b": right["id"].to_numpy()[at]}))
-        out = pd.concat(found) if found else pd.DataFrame({"a": [], "b": []})
-        return out.astype("int64")
-
-    cells = cells.select("key", "x", "y", "own", "id", "component", "n", "registers")
-    pairs = cells.groupBy("key", "x", "y").applyInPandas(compare, "a long, b long")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of ``docs``.
 
@@ -250,7 +327,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("id").alias("id"), F.first("registers").alias("registers"), F.first("bands").alias("bands")
     )
     classes = cut_lineage(classes)
-    entries = classes.select("id", F.explode("bands").alias("key"))
+    entries = classes.select("id", F.posexplode("bands").alias("band", "key"))
     heads = entries.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("members")).where("members > 1")
     buckets = cut_lineage(entries.join(heads, "key"))
     size = classes.select("id", F.col("n_shingles").alias("n"), "registers")
@@ -263,9 +340,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     group = components(links)
     labelled = buckets.join(group, "id", "left").withColumn("component", F.coalesce("component", "id"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
-    labelled = labelled.join(mixed.select("key"), "key", "left_semi")
-    open_ = _across(labelled.join(size, "id")).join(tried, ["a", "b"], "left_anti")
-    links = links.union(_confirmed(cut_lineage(open_), texts))
+    labelled = cut_lineage(labelled.join(mixed.select("key"), "key", "left_semi"))
+    open_ = cut_lineage(_open_members(labelled.join(size, "id")))
+    rows = labelled.select("key", "band", "id", "component").join(size, "id")
+    members = open_.join(rows, ["key", "id"]).join(_grams(open_, texts), "id")
+    links = links.union(_links_across(members))
 
     same = named.join(classes.select(*name, F.col("id").alias("head")), name).select(F.col("head").alias("a"), F.col("id").alias("b"))
     group = components(links.union(same))
