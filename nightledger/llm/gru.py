@@ -21,7 +21,7 @@ class Encoded:
     def __init__(self, data: np.ndarray, offsets: np.ndarray):
         words = Words(data, offsets, ALNUM, lower=True)
         self.counts, self.first = words.counts, words.first
-        self.word = (words.hashes() >> np.uint64(64 - WORD_BITS)).astype(np.int64)
+        self.word = (words.hashes() >> np.uint64(64 - WORD_BITS)).astype(np.uint16)
         length = words.end - words.start
         self.gram_first = np.concatenate([[0], np.cumsum(length)])
         at = np.repeat(words.start - self.gram_first[:-1], length) + np.arange(self.gram_first[-1])
@@ -30,7 +30,7 @@ class Encoded:
         before[self.gram_first[:-1]] = 0
         after[self.gram_first[1:] - 1] = 0
         code = ((before << np.uint32(16)) | (here << np.uint32(8)) | after) * np.uint32(2654435761)
-        self.gram = (code >> np.uint32(32 - GRAM_BITS)).astype(np.int64)
+        self.gram = (code >> np.uint32(32 - GRAM_BITS)).astype(np.uint16)
         # windows: every text has one at least; the last one ends with the text
         extra = np.maximum(0, -(-(self.counts - WINDOW) // STRIDE))
         self.text = np.repeat(np.arange(len(self.counts)), extra + 1)
@@ -39,13 +39,28 @@ class Encoded:
         self.start = self.first[self.text] + start
         self.size = np.minimum(WINDOW, self.counts[self.text])
 
-    def inputs(self, p: Params) -> np.ndarray:
-        """Input vector of each word."""
-        out = np.empty((len(self.word), 2 * WIDTH), np.float32)
-        out[:, :WIDTH] = p["word"][self.word]
+    def inputs(self, p: Params, lo: int = 0, hi: int | None = None) -> np.ndarray:
+        """Input vectors of words ``lo`` to ``hi``."""
+        hi = len(self.word) if hi is None else hi
+        out = np.empty((hi - lo, 2 * WIDTH), np.float32)
+        out[:, :WIDTH] = p["word"][self.word[lo:hi]]
         if len(out):
-            total = np.add.reduceat(p["gram"][self.gram], self.gram_first[:-1], axis=0)
-            out[:, WIDTH:] = total / np.sqrt(np.diff(self.gram_first))[:, None].astype(np.float32)
+            edges = self.gram_first[lo : hi + 1]
+            total = np.add.reduceat(p["gram"][self.gram[edges[0] : edges[-1]]], edges[:-1] - edges[0], axis=0)
+            out[:, WIDTH:] = total / np.sqrt(np.diff(edges))[:, None].astype(np.float32)
+        return out
+
+    @classmethod
+    def joined(cls, parts: list[Encoded]) -> Encoded:
+        """The texts of several parts as one."""
+        out = object.__new__(cls)
+        words = np.cumsum([0] + [len(x.word) for x in parts])
+        texts = np.cumsum([0] + [len(x.counts) for x in parts])
+        grams = np.cumsum([0] + [len(x.gram) for x in parts])
+        for name, shift in (("counts", None), ("word", None), ("gram", None), ("size", None), ("text", texts), ("start", words)):
+            out.__dict__[name] = np.concatenate([getattr(x, name) + (shift[i] if shift is not None else 0) for i, x in enumerate(parts)])
+        out.word, out.gram = out.word.astype(np.uint16), out.gram.astype(np.uint16)
+        out.gram_first = np.concatenate([x.gram_first[:-1] + grams[i] for i, x in enumerate(parts)] + [grams[-1:]])
         return out
 
 

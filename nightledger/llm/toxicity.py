@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from nightledger.llm import gru
 from nightledger.llm.folds import held_out, sample
-from nightledger.llm.words import buffers, slabs
+from nightledger.llm.words import slabs
 
 SAMPLE_ROWS = 1500  # of each class
 SAMPLE_BYTES = 16 << 10
@@ -25,12 +25,14 @@ SLAB = 512 << 10
 EPOCHS, STEPS, BATCH, RATE = 8, 200, 128, 0.01  # epochs grow on few rows, up to STEPS batches
 
 
-def _odds(ids: np.ndarray, texts: np.ndarray, labels: np.ndarray, size: int) -> np.ndarray:
-    """Smoothed log odds of the label for each table row, from the texts that contain it."""
-    pair = np.unique(texts * size + ids)
-    text, row = pair // size, pair % size
-    toxic = np.bincount(row, labels[text], size)
-    rest = np.bincount(row, 1 - labels[text], size)
+def _odds(parts: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, size: int) -> np.ndarray:
+    """Smoothed log odds of the label for each table row, from (rows, texts) that contain them."""
+    toxic, rest = np.zeros(size), np.zeros(size)
+    for ids, texts in parts:
+        pair = np.unique(texts.astype(np.int64) * size + ids)
+        text, row = pair // size, pair % size
+        toxic += np.bincount(row, labels[text], size)
+        rest += np.bincount(row, 1 - labels[text], size)
     n1, n0 = labels.sum(), (1 - labels).sum()
     odds = np.log((toxic + 0.5) / (n1 + 1)) - np.log((rest + 0.5) / (n0 + 1))
     return np.where(toxic + rest > 0, np.clip(odds, -3, 6), 0).astype(np.float32)
@@ -43,16 +45,23 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> gru.Params:
         p["o"][:] = 0
         p["ob"][:] = 0 if not len(labels) else 4 * labels[0] - 2
         return p
-    data, offsets = buffers(pa.array(texts, pa.large_string()))
-    coded = gru.Encoded(data, offsets)
-    owner = np.repeat(np.arange(len(coded.counts)), coded.counts)
-    gram_owner = np.repeat(owner, np.diff(coded.gram_first))
-    word_odds = _odds(coded.word, owner, labels, 1 << gru.WORD_BITS)
-    p["word"][:, 0] = 0.5 * word_odds
-    p["gram"][:, 0] = 0.2 * _odds(coded.gram, gram_owner, labels, 1 << gru.GRAM_BITS)
+    parts, word_rows, gram_rows = [], [], []
+    for lo, _, data, offsets in slabs(pa.array(texts, pa.large_string()), SLAB):
+        part = gru.Encoded(data, offsets)
+        owner = np.repeat(np.arange(lo, lo + len(part.counts)), part.counts)
+        parts.append(part)
+        word_rows.append((part.word, owner))
+        gram_rows.append((part.gram, owner, np.diff(part.gram_first)))
+    p["word"][:, 0] = 0.5 * _odds(word_rows, labels, 1 << gru.WORD_BITS)
+    p["gram"][:, 0] = 0.2 * _odds(((g, np.repeat(o, n)) for g, o, n in gram_rows), labels, 1 << gru.GRAM_BITS)
     rng = np.random.Generator(np.random.PCG64(seed))
-    total = np.concatenate([[0], np.cumsum(np.maximum(coded.inputs(p)[:, [0, gru.WIDTH]].sum(1), 0) ** 2)])
-    score = total[coded.start + coded.size] - total[coded.start]
+    guess = []
+    for part in parts:
+        total = np.maximum(part.inputs(p)[:, [0, gru.WIDTH]].sum(1), 0) ** 2
+        total = np.concatenate([[0], np.cumsum(total)])
+        guess.append(total[part.start + part.size] - total[part.start])
+    score, coded = np.concatenate(guess), gru.Encoded.joined(parts)
+    del parts, word_rows, gram_rows
     m = {k: np.zeros_like(v) for k, v in p.items()}
     s = {k: np.zeros_like(v) for k, v in p.items()}
     step, toxic = 0, labels[coded.text] > 0
@@ -101,12 +110,14 @@ def _learn(p, m, s, step, coded, own, target, rate) -> None:
         p[k] -= (rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.99**step)) + 1e-6)).astype(np.float32)
 
 
-def window_logits(p: gru.Params, coded: gru.Encoded, block: int = 8192) -> np.ndarray:
-    inputs = coded.inputs(p)
-    parts = [
-        gru.forward(p, inputs, coded.start[lo : lo + block], coded.size[lo : lo + block])
-        for lo in range(0, len(coded.start), block)
-    ]
+def window_logits(p: gru.Params, coded: gru.Encoded, block: int = 4096) -> np.ndarray:
+    """Logit of every window, a block of neighbouring windows at a time."""
+    parts = []
+    for lo in range(0, len(coded.start), block):
+        start, size = coded.start[lo : lo + block], coded.size[lo : lo + block]
+        first = int(start.min())
+        inputs = coded.inputs(p, first, int((start + size).max()))
+        parts.append(gru.forward(p, inputs, start - first, size))
     return np.concatenate(parts) if parts else np.empty(0)
 
 
