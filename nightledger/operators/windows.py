@@ -52,8 +52,8 @@ def gap_dwell(
 def first_k(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: int, name: str = "rank") -> DataFrame:
     """First ``k`` rows per key, numbered.
 
-    Spark limits each key to ``k`` rows before the shuffle, so a busy key sends at most
-    ``k`` rows per task.
+    Each key is limited to ``k`` rows before the shuffle, for every ``k`` in a session of
+    ``prepare``, so a busy key sends at most ``k`` rows per task.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= k)
@@ -95,12 +95,12 @@ def drop_later_duplicates(df: DataFrame, keys: Sequence[str], order: str, counte
     )
 
 
-def consecutive_gaps(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
+def consecutive_gaps(df: DataFrame, keys: Sequence[str], time: str, *ties: str) -> DataFrame:
     """Gap to the next row and the gap after that, per key; NULL at the end of a key.
 
-    Rows must be unique per (key, time), which bounds a key to one row per second.
+    Rows must be unique per (key, time, ties).
     """
-    w = Window.partitionBy(*keys).orderBy(time)
+    w = Window.partitionBy(*keys).orderBy(time, *ties)
     gapped = df.withColumn("gap", F.lead(time).over(w) - F.col(time))
     return gapped.withColumn("next_gap", F.lead("gap").over(w))
 

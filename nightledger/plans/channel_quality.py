@@ -18,7 +18,7 @@ from nightledger.functions.channel import (
     valid_channel,
     version_gate,
 )
-from nightledger.functions.dates import DAY, HALF_DAY, day_number, dt_to_epoch, shift_dt
+from nightledger.functions.dates import HALF_DAY, day_number, dt_to_epoch, shift_dt
 from nightledger.functions.numeric import count_if, percent
 from nightledger.functions.text import byte_length, head
 from nightledger.operators.aggs import time_bucket_count
@@ -91,7 +91,7 @@ def on_air_facts(devices: DataFrame, heartbeats: DataFrame, workload: DataFrame,
     c = F.col
     day = devices.select(
         "dt", "idfa", c("dateline").alias("visit"), dt_to_epoch(c("dt")).alias("day_start")
-    ).withColumn("day_end", c("day_start") + (DAY - 1))
+    ).withColumn("day_end", dt_to_epoch(shift_dt(c("dt"), 1)) - 1)
     after_noon = c("dateline") > dt_to_epoch(c("dt")) + HALF_DAY
     counted_on = F.when(after_noon, F.array(c("dt"), shift_dt(c("dt"), 1))).otherwise(F.array(c("dt")))
     beats = heartbeats.select(

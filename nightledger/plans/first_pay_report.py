@@ -63,7 +63,8 @@ def first_pay_rows(
     """First payments with their channel (online that day, else at registration) and the day's income."""
     where = F.struct("channel_id", "device_type")
     on_day = online.groupBy("dt", "uid").agg(F.min_by(where, F.struct("dateline", "channel_id")).alias("s1"))
-    at_signup = register.groupBy("uid").agg(F.min_by(where, F.struct("channel_id", "device_type")).alias("s2"))
+    payers = first_recharge.select("uid").distinct()
+    at_signup = register.join(payers, "uid", "left_semi").groupBy("uid").agg(F.min_by(where, F.struct("channel_id", "device_type")).alias("s2"))
     daily = (
         income.filter((F.col("special") == 0) & (F.col("money") > 0) & (F.col("success") == 1))
         .groupBy("dt", "uid")
@@ -88,9 +89,13 @@ def first_pay_rows(
 
 
 def first_pay_leaves(
-    online: DataFrame, first_recharge: DataFrame, register: DataFrame, income: DataFrame
+    online: DataFrame,
+    first_recharge: DataFrame,
+    register: DataFrame,
+    income: DataFrame,
+    payers: DataFrame | None = None,
 ) -> DataFrame:
-    """Measures per day and channel."""
+    """Measures per day and channel; ``payers`` are all first payments known, if those given are of a period."""
     pays = first_pay_rows(online, first_recharge, register, income)
     official = F.col("type") == 1
     official_11 = official & (F.col("money") >= 11)
@@ -111,7 +116,7 @@ def first_pay_leaves(
     money = pays.groupBy(*KEYS).agg(
         *[F.sum(F.when(cond, F.col(v)).otherwise(0)).alias(n) for n, (cond, v) in sums.items()]
     )
-    return assemble([online_non_payers(online, first_recharge), users, money], KEYS)
+    return assemble([online_non_payers(online, first_recharge if payers is None else payers), users, money], KEYS)
 
 
 def with_channel_columns(leaves: DataFrame, config: DataFrame) -> DataFrame:
@@ -203,9 +208,18 @@ def subtotals(leaves: DataFrame) -> DataFrame:
 
 
 def first_pay_report(
-    online: DataFrame, first_recharge: DataFrame, register: DataFrame, income: DataFrame, config: DataFrame
+    online: DataFrame,
+    first_recharge: DataFrame,
+    register: DataFrame,
+    income: DataFrame,
+    config: DataFrame,
+    payers: DataFrame | None = None,
 ) -> DataFrame:
-    """Leaves and subtotals in one frame, told apart by ``display``."""
-    leaves = with_channel_columns(first_pay_leaves(online, first_recharge, register, income), config)
+    """Leaves and subtotals in one frame, told apart by ``display``.
+
+    ``first_recharge`` has the first payments of the period of the report. ``payers``, if given, has those
+    of all time, which decide who has not paid yet.
+    """
+    leaves = with_channel_columns(first_pay_leaves(online, first_recharge, register, income, payers), config)
     leaves = cut_lineage(leaves.withColumn("channel_num", F.lit(1).cast("bigint")))
     return leaves.unionByName(subtotals(leaves), allowMissingColumns=True)

@@ -117,8 +117,8 @@ def income_detail(
 ) -> DataFrame:
     """One row per payment or refunded agent charge, with device, channel and income label.
 
-    The device comes from the user's nearest pay request of the day, at most ``tolerance``
-    seconds away, else from the last online record of the day at or before the payment. Both
+    The device comes from the user's nearest pay request of the day with a channel, at most ``tolerance``
+    seconds away: a nearer request without one does not hide it. Else it comes from the last online record of the day at or before the payment. Both
     are looked up in one pass over the seconds in which a user paid.
 
     Labels are applied in a fixed order and the last one wins. Refund rows join after the
@@ -131,11 +131,13 @@ def income_detail(
         ["dt", "uid"],
         "dateline",
         [
-            Lookup("req", pay_req, "dateline", DEVICE_COLS, ["id"], "nearest", tolerance),
+            Lookup("placed", pay_req.filter("chantype > 0"), "dateline", DEVICE_COLS, ["id"], "nearest", tolerance),
+            Lookup("any", pay_req, "dateline", DEVICE_COLS, ["id"], "nearest", tolerance),
             Lookup("seen", online, "dateline", DEVICE_COLS, ["actid"]),
         ],
         slot=None,
     )
+    found = found.withColumn("req", F.coalesce("placed", "any")).drop("placed", "any")
     none = F.lit(0).cast(recharge.schema["money"].dataType)
     pays = payments(recharge).withColumns({"is_refund": F.lit(0), "ledger_special": F.lit(0)})
     refunds = refunded_charges(ledger, refund_within, internal_agents).select(

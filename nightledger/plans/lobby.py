@@ -8,16 +8,16 @@ from pyspark.sql import functions as F
 from nightledger.functions import codes
 from nightledger.operators.windows import consecutive_gaps, first_row, keep_first
 
-KEYS = ["dt", "macaddr"]
+KEYS = ["dt", "idfa"]
 
 
 def notice_requests(requests: DataFrame) -> DataFrame:
-    """One iOS notice request per day, device and second."""
+    """One iOS notice request per day, network address and second."""
     rows = requests.filter(
         (F.col("action") == codes.ACTION_NOTICE)
         & F.col("terminal").isin(codes.DEVICE_IPHONE, codes.DEVICE_IPAD)
     )
-    return keep_first(rows, [*KEYS, "dateline"], ["id"])
+    return keep_first(rows, ["dt", "macaddr", "dateline"], ["id"])
 
 
 def in_band(gap: Column, low: int, high: int) -> Column:
@@ -25,8 +25,11 @@ def in_band(gap: Column, low: int, high: int) -> Column:
 
 
 def steady_requests(requests: DataFrame, low: int = 90, high: int = 100) -> DataFrame:
-    """Requests whose next two gaps both fall in the band; the last two of a device never do."""
-    gaps = consecutive_gaps(requests, KEYS, "dateline")
+    """Requests whose next two gaps both fall in the band; the last two of a device never do.
+
+    A device is its ``idfa``. Requests of its network addresses count as one sequence, by time and id.
+    """
+    gaps = consecutive_gaps(requests, KEYS, "dateline", "id")
     return gaps.filter(in_band(F.col("gap"), low, high) & in_band(F.col("next_gap"), low, high))
 
 
@@ -35,8 +38,8 @@ def lobby_stay(requests: DataFrame, hosts: DataFrame, low: int = 90, high: int =
     first = (
         steady_requests(notice_requests(requests), low, high)
         .groupBy(*KEYS)
-        .agg(first_row(["idfa", "uid", "channelid", "terminal"], ["dateline"]).alias("_r"))
-        .select("dt", "_r.idfa", "_r.uid", "_r.channelid", "_r.terminal")
+        .agg(first_row(["uid", "channelid", "terminal"], ["dateline", "id"]).alias("_r"))
+        .select("dt", "idfa", "_r.uid", "_r.channelid", "_r.terminal")
     )
     host = hosts.select("uid", F.lit(codes.LABEL_HOST).alias("special")).distinct()
     return first.join(host, "uid", "left").select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightledger.functions.dates import DAY, HALF_DAY, dt_to_epoch, py_shift
+from nightledger.functions.dates import HALF_DAY, dt_to_epoch, py_shift
 from nightledger.operators.merge import roll
 from nightledger.plans import channel_quality, dwell, first_pay_report, income, lobby, returning, signup, spend
 from nightledger.sources import schemas as S
@@ -42,7 +42,7 @@ def income_day(
 
     start = day_start(spark, dt)
     # Refunds may follow a charge into the next day; charges found there belong to that day.
-    ledger = scan(spark, f"{root}/ledger", S.LEDGER, seconds=(start, start + DAY - 1 + refund_within))
+    ledger = scan(spark, f"{root}/ledger", S.LEDGER, seconds=(start, day_start(spark, py_shift(dt, 1)) - 1 + refund_within))
     detail = income.income_detail(
         day("recharge", S.RECHARGE),
         day("pay_request", S.PAY_REQUEST),
@@ -142,16 +142,18 @@ def lobby_day(spark: SparkSession, root: str, dt: int) -> None:
 def first_pay_day(spark: SparkSession, root: str, dt: int) -> None:
     """First-payment report of the day, from the daily income already stored.
 
-    First payments of all earlier days decide who has not paid yet.
+    Only the day's own first payments are reported; those of all earlier days decide who has not
+    paid yet.
     """
     report = first_pay_report.first_pay_report(
         scan(spark, f"{root}/online", S.ONLINE, days=(dt, dt)),
-        scan(spark, f"{root}/first_recharge", S.FIRST_RECHARGE).filter(F.col("dt") <= dt),
+        scan(spark, f"{root}/first_recharge", S.FIRST_RECHARGE, days=(dt, dt)),
         read_table(spark, f"{root}/register_detail", f"{S.REGISTER_DETAIL}, dt int"),
         scan(spark, f"{root}/income_daily", S.INCOME_DAILY, days=(dt, dt)),
         read_table(spark, f"{root}/channel_config", S.CHANNEL_CONFIG),
+        payers=scan(spark, f"{root}/first_recharge", S.FIRST_RECHARGE).filter(F.col("dt") <= dt),
     )
-    _store(report.filter(F.col("dt") == dt), root, "first_pay_report", dt)
+    _store(report, root, "first_pay_report", dt)
 
 
 def returning_day(spark: SparkSession, root: str, dt: int) -> None:
@@ -181,7 +183,7 @@ def signup_day(spark: SparkSession, root: str, dt: int, *, per_ip: int, min_seco
         return read_table(spark, f"{root}/{name}", schema)
 
     start = day_start(spark, dt)
-    end = start + DAY - 1
+    end = day_start(spark, py_shift(dt, 1)) - 1
     users, status, profile = (
         whole(n, s) for n, s in (("user", S.USER), ("user_status", S.USER_STATUS), ("user_profile", S.USER_PROFILE))
     )

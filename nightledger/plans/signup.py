@@ -12,7 +12,7 @@ from nightledger.functions.numeric import count_if
 from nightledger.functions.text import from_end
 from nightledger.operators.joins import best_pattern, match_patterns
 from nightledger.operators.merge import assemble
-from nightledger.operators.windows import beyond_first_k
+from nightledger.operators.windows import beyond_first_k, keep_first
 from nightledger.session import cut_lineage
 
 
@@ -107,7 +107,9 @@ def signup_steps(
         "partner_id", F.col("channelid").alias("pattern")
     )
     today = users.filter((F.col("cr_dt") > start) & (F.col("cr_dt") < end))
-    rows = rows.join(match_patterns(today, active, "channelid", "pattern").drop("pattern"), "channelid")
+    # A partner may have several patterns and rows: a sign-up belongs to it once.
+    owners = match_patterns(today, active, "channelid", "pattern").select("channelid", "partner_id").distinct()
+    rows = rows.join(owners, "channelid")
     rows = cut_lineage(rows.withColumn("row_id", F.struct("uid", "partner_id")))
     rows = beyond_first_k(rows, ["regip"], "row_id", per_ip, "step3")
     first_on_device = (
@@ -160,13 +162,19 @@ def partner_funnel(steps: DataFrame) -> DataFrame:
     )
 
 
+def one_per_partner(partners: DataFrame) -> DataFrame:
+    """Terms of each partner; of several rows the one of the lowest price, then cut rate and type."""
+    terms = keep_first(partners.select("partner_id", "price", "cut_rate", "type"), ["partner_id"], ["price", "cut_rate", "type"])
+    return terms.select("partner_id", "price", "type", "cut_rate")
+
+
 def partner_summary(steps: DataFrame, partners: DataFrame) -> DataFrame:
     """Per partner with valid sign-ups: units after the cut, price and the counts of each step."""
     keep = F.lit(1) - F.col("cut_rate").cast("decimal(10,2)") / 100
     return (
         partner_funnel(steps)
         .filter(F.col("valid_num") > 0)
-        .join(partners.select("partner_id", "price", "type", "cut_rate"), "partner_id")
+        .join(one_per_partner(partners), "partner_id")
         .select(
             "partner_id",
             F.floor(F.col("valid_num") * keep).cast("bigint").alias("user_num"),
@@ -245,7 +253,7 @@ def subchannel_settlement(
     rate = F.when(F.col("qq_num") > 0, F.round(share, 4).cast("decimal(18,4)") * 100)
     rows = (
         valid.join(best, "channelid")
-        .join(partners.select("partner_id", "price"), "partner_id")
+        .join(one_per_partner(partners).select("partner_id", "price"), "partner_id")
         .join(extras, ["partner_id", "channelid"], "left")
         .withColumn("unit", unit)
         .withColumn("qq_rate", F.when(F.col("unit") == 0, None).otherwise(F.coalesce(rate, F.lit(0))))

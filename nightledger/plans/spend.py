@@ -193,6 +193,8 @@ def nth_spend(fact: DataFrame, n: int, old: DataFrame | None = None, skip_uid: i
     ``n`` is 1 or 2. ``old`` is the table so far; its row stands for the spends already
     counted, so new spends continue the numbering.
     """
+    if n not in (1, 2):
+        raise ValueError("the table so far cannot continue a numbering beyond the second spend")
     spends = fact.filter((F.col("consume_coin") != 0) & (F.col("uid") != skip_uid))
     counts = spends.groupBy("uid").agg(F.count(F.lit(1)).alias("times"))
     row = F.struct(*SPEND_COLS)

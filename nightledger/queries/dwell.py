@@ -12,6 +12,7 @@ from nightledger.plans import dwell as plan
 from nightledger.plans import lobby
 from nightledger.queries.registry import out, query
 from nightledger.queries.standins import ctes, events, named
+from nightledger.sources.scan import in_range, month_days
 
 CAP = 259200
 ON_AIR_CAP = 21600
@@ -114,9 +115,9 @@ def dwell_by_user(spark, sf_dir):
 LOBBY = ctes("request_month", "host_list") + [
     """asked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dt, macaddr, dateline ORDER BY id) AS rn
         FROM request_month WHERE action = 'serv_getnotif' AND terminal IN (3, 4)) WHERE rn = 1)""",
-    """gap1 AS (SELECT *, lead(dateline) OVER (PARTITION BY dt, macaddr ORDER BY dateline) - dateline AS gap
+    """gap1 AS (SELECT *, lead(dateline) OVER (PARTITION BY dt, idfa ORDER BY dateline, id) - dateline AS gap
         FROM asked)""",
-    "gap2 AS (SELECT *, lead(gap) OVER (PARTITION BY dt, macaddr ORDER BY dateline) AS next_gap FROM gap1)",
+    "gap2 AS (SELECT *, lead(gap) OVER (PARTITION BY dt, idfa ORDER BY dateline, id) AS next_gap FROM gap1)",
     "steady AS (SELECT * FROM gap2 WHERE gap BETWEEN 3600 AND 86400 AND next_gap BETWEEN 3600 AND 86400)",
 ]
 
@@ -135,7 +136,7 @@ def lobby_steady_requests(spark, sf_dir):
         LOBBY,
         """FROM (SELECT s.dt, s.idfa, s.uid, s.channelid, s.terminal,
             CASE WHEN s.uid IN (SELECT uid FROM host_list) THEN 2 ELSE 0 END AS special
-            FROM (SELECT *, row_number() OVER (PARTITION BY dt, macaddr ORDER BY dateline) AS pos FROM steady) s
+            FROM (SELECT *, row_number() OVER (PARTITION BY dt, idfa ORDER BY dateline, id) AS pos FROM steady) s
             WHERE pos = 1)""",
         "dt uid terminal special",
         "",
@@ -380,3 +381,31 @@ def attribution_fallback(spark, sf_dir):
 def nth_event_per_user(spark, sf_dir):
     paid = events(spark, sf_dir, "purchase").select("k", "id", "dateline")
     return first_k(paid, ["k"], ["dateline", "id"], 3, "nth")
+
+
+def _range_sql(predicate):
+    return out(ctes("ev"), f"FROM ev WHERE {predicate}", "id dt uid dateline")
+
+
+def _range(spark, sf_dir, **bounds):
+    return in_range(events(spark, sf_dir), **bounds).select("id", "dt", "uid", "dateline")
+
+
+@query("scan_range", _range_sql("dateline BETWEEN 1704153600 AND 1704499200"))
+def scan_range(spark, sf_dir):
+    return _range(spark, sf_dir, seconds=(1704153600, 1704499200))
+
+
+@query("scan_month", _range_sql("dt BETWEEN 20240101 AND 20240131"))
+def scan_month(spark, sf_dir):
+    return _range(spark, sf_dir, days=month_days(202401))
+
+
+@query("scan_days", _range_sql("dt BETWEEN 20240105 AND 20240111"))
+def scan_days(spark, sf_dir):
+    return _range(spark, sf_dir, days=(20240105, 20240111))
+
+
+@query("scan_empty_range", _range_sql("dt BETWEEN 19990101 AND 19991231"))
+def scan_empty_range(spark, sf_dir):
+    return _range(spark, sf_dir, days=(19990101, 19991231))

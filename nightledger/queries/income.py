@@ -53,7 +53,7 @@ DETAIL = (
     + CHARGES
     + [
         f"""req AS (SELECT * FROM (SELECT p.id AS pid, d.*, row_number() OVER (PARTITION BY p.id
-            ORDER BY abs(d.dateline - p.dateline), d.dateline, d.id) AS rn FROM pays p JOIN pay_req d
+            ORDER BY CASE WHEN d.chantype > 0 THEN 0 ELSE 1 END, abs(d.dateline - p.dateline), d.dateline, d.id) AS rn FROM pays p JOIN pay_req d
             ON d.uid = p.uid AND d.dt = p.dt AND abs(d.dateline - p.dateline) <= {TOLERANCE}) WHERE rn = 1)""",
         f"""rows0 AS (
             SELECT p.id, p.dt, p.uid, p.dateline, p.type, p.money, p.refund, p.coin, p.success, p.productid, p.orderid,
@@ -346,14 +346,10 @@ def dedupe_keep_first(spark, sf_dir):
     ),
 )
 def income_running_total(spark, sf_dir):
-    """Yearly deltas added to the running total one after the other."""
-    rows = orders(spark, sf_dir)
-    total = None
-    for year in range(1995, 2002):
-        delta = (
-            rows.filter(F.col("dt").between(year * 10000, year * 10000 + 9999))
-            .groupBy("uid")
-            .agg(F.count(F.lit(1)).alias("times"), F.sum("money").alias("money"))
-        )
-        total = delta if total is None else merge_add(total, delta, ["uid"], ["times", "money"])
-    return total
+    """The payments from a day on added to the running total of those before."""
+    rows, border = orders(spark, sf_dir), F.col("dt") < 19980401
+
+    def totals(part):
+        return part.groupBy("uid").agg(F.count(F.lit(1)).alias("times"), F.sum("money").alias("money"))
+
+    return merge_add(totals(rows.filter(border)), totals(rows.filter(~border)), ["uid"], ["times", "money"])

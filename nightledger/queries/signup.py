@@ -33,10 +33,11 @@ USER_COLS = [
     "(c_custkey % 50) * 10 AS stayed",
 ]
 PARTNER_COLS = [
-    "400000 + n_nationkey AS partner_id",
+    # 400003 has three rows; two of its patterns overlap
+    "CASE WHEN n_nationkey IN (15, 23) THEN 400003 ELSE 400000 + n_nationkey END AS partner_id",
     "'p' || CAST(n_nationkey AS STRING) AS partner_name",
     """CASE WHEN n_nationkey = 24 THEN '10301760100002' WHEN n_nationkey = 23 THEN '2%0101'
-        WHEN n_nationkey = 22 THEN '%2163__' ELSE '%' || CAST(1000 + n_nationkey AS STRING) || '__' END AS channelid""",
+        WHEN n_nationkey = 15 THEN '%03__' WHEN n_nationkey = 22 THEN '%2163__' ELSE '%' || CAST(1000 + n_nationkey AS STRING) || '__' END AS channelid""",
     "CASE WHEN n_nationkey = 4 THEN 2 ELSE 3 END AS type",
     "CASE WHEN n_nationkey % 7 = 6 THEN 0 ELSE 1 END AS status",
     "n_nationkey * 5 % 30 AS cut_rate",
@@ -56,7 +57,9 @@ BASE = [
     f"""earlier AS (SELECT * FROM su WHERE uid > {MIN_UID} AND cr_dt > {START} - 864000 AND cr_dt < {END} - 86400)""",
     f"""cand AS (SELECT *, cr_dt + stayed AS lastactivity_time FROM su WHERE uid > {MIN_UID} AND cr_dt > {START}
         AND cr_dt < {END} AND (nickname NOT LIKE '%共用出口%' OR nickname NOT LIKE '%机房%'))""",
-    """fresh AS (SELECT c.*, p.partner_id FROM cand c JOIN partners p ON c.channelid LIKE p.channelid
+    """terms AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY partner_id ORDER BY price, cut_rate, type) AS pos
+        FROM partners) WHERE pos = 1)""",
+    """fresh AS (SELECT DISTINCT c.*, p.partner_id FROM cand c JOIN partners p ON c.channelid LIKE p.channelid
         WHERE p.type = 3 AND p.status = 1 AND c.lastip NOT IN (SELECT lastip FROM earlier)
         AND c.macaddr NOT IN (SELECT macaddr FROM earlier))""",
     f"""s3 AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY lastip ORDER BY uid, partner_id) > {PER_IP} THEN 1 ELSE 0 END
@@ -186,7 +189,7 @@ def signup_ip_cap(spark, sf_dir):
         """FROM (SELECT s.partner_id, CAST(valid_num * (100 - p.cut_rate) AS BIGINT) // 100 AS user_num, p.price, p.type,
             step0, step1, step2, step3 FROM (SELECT partner_id, count(*) AS step0, sum(step1) AS step1, sum(step2) AS step2,
             sum(step3) AS step3, count(CASE WHEN step1 + step2 + step3 = 0 THEN 1 END) AS valid_num FROM steps
-            GROUP BY partner_id) s JOIN partners p ON p.partner_id = s.partner_id WHERE valid_num > 0)""",
+            GROUP BY partner_id) s JOIN terms p ON p.partner_id = s.partner_id WHERE valid_num > 0)""",
         "partner_id user_num type step0 step1 step2 step3",
         "price",
     ),
@@ -213,7 +216,7 @@ SETTLED = BASE + [
     f"""extras AS (SELECT partner_id, channelid, count(CASE WHEN showid % 2 = 0 THEN 1 END) AS talk_num,
         count(CASE WHEN qqstatus = 1 OR renrenstatus = 1 THEN 1 END) AS qq_num FROM steps GROUP BY partner_id, channelid)""",
     """units AS (SELECT b.partner_id, b.channelid, CAST(ceil(b.tol * b.discount) AS BIGINT) AS unit0, b.discount, b.tol,
-        p.price, e.talk_num, e.qq_num FROM best b JOIN partners p ON p.partner_id = b.partner_id
+        p.price, e.talk_num, e.qq_num FROM best b JOIN terms p ON p.partner_id = b.partner_id
         JOIN extras e ON e.partner_id = b.partner_id AND e.channelid = b.channelid)""",
     "rated AS (SELECT *, CASE WHEN unit0 > 0 THEN (2 * qq_num * 10000 + unit0) // (2 * unit0) ELSE 0 END AS r FROM units)",
     f"settled AS (SELECT *, {_scaled('unit0', 'r', 'discount', 'channelid')} AS unit FROM rated)",

@@ -201,8 +201,9 @@ def _nth(spark, sf_dir, n):
 def _nth_carried(spark, sf_dir, n):
     log = named(spark, sf_dir, "spend_log")
     table_so_far = None
-    for first, last in ((20240101, 20240102), (20240103, 20240105), (20240106, 20240131)):
-        table_so_far = plan.nth_spend(log.filter(F.col("dt").between(first, last)), n, table_so_far)
+    dt = F.col("dt")
+    for part in (dt < 20240103, dt.between(20240103, 20240105), dt > 20240105):
+        table_so_far = plan.nth_spend(log.filter(part), n, table_so_far)
     return table_so_far
 
 

@@ -171,7 +171,7 @@ NAMED = {
         "ev",
         "event_type = 'click' OR (event_type = 'purchase' AND id % 3 = 0)",
         """id, dt, uid, dateline, idfa, CASE WHEN k % 3 = 0 THEN 0 ELSE k + 1 END AS actid, ipaddr, channelid,
-        terminal AS chantype, 750 + k % 20 AS chanver,
+        CASE WHEN id % 2 = 0 THEN 0 ELSE terminal END AS chantype, 750 + k % 20 AS chanver,
         CASE WHEN k % 29 = 0 THEN 2138 ELSE 1000 + k % 25 END AS chancode, terminal, 750 + k % 20 AS appver""",
     ),
     "online_log": (
@@ -209,7 +209,8 @@ NAMED = {
     "request_month": (
         "ev",
         "TRUE",
-        """id, dt - dt % 100 + 1 AS dt, uid, dateline, idfa AS macaddr, idfa, channelid, terminal,
+        """id, dt - dt % 100 + 1 AS dt, uid, dateline,
+        CASE WHEN k % 3 = 0 THEN concat(idfa, '-', CAST(id % 2 AS STRING)) ELSE idfa END AS macaddr, idfa, channelid, terminal,
         CASE event_type WHEN 'signup' THEN 'serv_loginqq' WHEN 'purchase' THEN 'serv_loginweixin'
             WHEN 'error' THEN 'serv_other' ELSE 'serv_getnotif' END AS action""",
     ),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import warnings
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -14,31 +11,32 @@ def prepare(spark: SparkSession, zone: str = "UTC") -> SparkSession:
     Day boundaries are taken in the session time zone, so it is always set
     explicitly. Adaptive execution sizes the shuffles, turns joins with a small
     measured side into broadcasts and splits skewed join partitions, also where
-    that costs one more exchange.
+    that costs one more exchange. Windows that keep the first k rows of a key limit
+    each key before the shuffle, whatever k is.
     """
     spark.conf.set("spark.sql.session.timeZone", zone)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(2**31 - 1))
     return spark
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, which the cluster names in ``spark.checkpoint.dir``."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        raise ValueError("spark.checkpoint.dir names no shared folder")
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and continue from a reliable checkpoint.
 
-    Jobs call this on frames they read several times. The checkpoint goes to the shared folder
-    the cluster names in ``spark.checkpoint.dir``, so it survives the loss of executors. Only a
-    local session that names none gets a folder of its own; a cluster without one computes
-    ``df`` again at every use.
+    Jobs call this on frames they read several times. The checkpoint goes to the shared folder,
+    so it survives the loss of executors; without one the call is an error, on every kind of cluster.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if context.master != "local" and not context.master.startswith("local["):
-                warnings.warn("spark.checkpoint.dir names no shared folder; results are computed again", stacklevel=2)
-                return df
-            folder = tempfile.mkdtemp(prefix="nightledger-")
-        context.setCheckpointDir(folder)
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

@@ -46,7 +46,17 @@ def scan(
     Either bound becomes a partition filter on ``dt``, so only the days asked for are
     listed and read; days without a partition contribute no rows.
     """
-    df = read_table(spark, path, with_dt(schema))
+    return in_range(read_table(spark, path, with_dt(schema)), days=days, seconds=seconds, time=time)
+
+
+def in_range(
+    df: DataFrame,
+    *,
+    days: tuple[int, int] | None = None,
+    seconds: tuple[int, int] | None = None,
+    time: str = "dateline",
+) -> DataFrame:
+    """Rows of ``df`` in the closed day range and closed epoch range, a filter on ``dt`` in either case."""
     if days is not None:
         df = df.filter(F.col("dt").between(*days))
     if seconds is not None:
@@ -60,9 +70,12 @@ def scan(
 
 def scan_month(spark: SparkSession, path: str, schema: Schema, month: int) -> DataFrame:
     """One yyyymm month."""
-    year, m = divmod(month, 100)
-    last = calendar.monthrange(year, m)[1]
-    return scan(spark, path, schema, days=(month * 100 + 1, month * 100 + last))
+    return scan(spark, path, schema, days=month_days(month))
+
+
+def month_days(month: int) -> tuple[int, int]:
+    """First and last day of a yyyymm month."""
+    return month * 100 + 1, month * 100 + calendar.monthrange(*divmod(month, 100))[1]
 
 
 def scan_year(spark: SparkSession, path: str, schema: Schema, year: int) -> DataFrame:
@@ -76,6 +89,15 @@ def snapshot_before(spark: SparkSession, path: str, schema: Schema, dt: int) ->
     before, so running a day again gives the same snapshot. After such a rerun the days
     that follow have to be run again as well.
     """
-    earlier = scan(spark, path, schema).filter(F.col("dt") < dt)
-    last = earlier.agg(F.max("dt")).first()[0]
-    return earlier.filter(F.col("dt") == F.lit(last)).drop("dt")
+    last = max((d for d in stored_days(spark, path) if d < dt), default=0)
+    return scan(spark, path, schema, days=(last, last)).drop("dt")
+
+
+def stored_days(spark: SparkSession, path: str) -> list[int]:
+    """Days that have a partition, from the names of the folders; no data file is opened."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(folder) if entry.isDirectory()]
+    return sorted(int(n[3:]) for n in names if n.startswith("dt=") and n[3:].isdigit())

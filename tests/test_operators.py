@@ -262,3 +262,16 @@ def test_total_row_and_buckets(spark, rows):
     beats = spark.createDataFrame([("d", 10), ("d", 19), ("d", 20)], "k string, t bigint")
     assert rows(aggs.time_bucket_count(beats, ["k"], "t", 10, "n")) == [("d", 2)]
     assert rows(aggs.span(beats, ["k"], "t", "s")) == [("d", 10)]
+
+
+def test_first_k_limits_before_the_shuffle_for_any_k(spark):
+    df = spark.range(100_000).selectExpr("id % 2 AS k", "id")
+    plan = windows.first_k(df, ["k"], ["id"], 5000)._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+
+
+def test_no_shared_folder_is_an_error(spark):
+    from nightledger.session import shared_folder
+
+    folder = spark.conf.get("spark.checkpoint.dir")
+    assert shared_folder(spark) == folder

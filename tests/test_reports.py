@@ -538,3 +538,36 @@ def test_settlement_uses_up_the_quota_day_by_day(spark, rows):
 def test_old_android_versions_are_shown_but_not_paid(spark, rows):
     got = rows(settled(spark, [10], 0, channel="s10202762102001"), "cal_num", "final_num", "total_price")
     assert [tuple(map(float, r)) for r in got] == [(10, 0, 0)]
+
+
+def test_lobby_counts_a_device_once(spark, rows):
+    log = frame(
+        spark,
+        S.REQUEST_LOG,
+        [ask(i, "one", t) for i, t in enumerate((0, 95, 190, 285))] + [ask(10 + i, "two", t) for i, t in enumerate((95, 190))],
+    ).withColumn("idfa", F.lit("device"))
+    hosts = frame(spark, S.UID_LIST, [], dt=False)
+    stays = lobby.lobby_stay(log, hosts, 0, 100)
+    assert rows(stays, "idfa", "special") == [("device", 0)]
+
+
+def test_partner_with_two_patterns_and_two_rows(spark):
+    users = spark.createDataFrame(
+        [(79600001 + i, 1000 + i, "s1020275210010%d" % (i % 2), i, 0, 0) for i in range(4)],
+        "uid long, cr_dt long, channelid string, showid long, qqstatus int, renrenstatus int",
+    )
+    status = spark.createDataFrame(
+        [(79600001 + i, 9000, "ip", f"m{i}") for i in range(4)], "uid long, lastactivitytime long, lastip string, macaddr string"
+    )
+    profile = spark.createDataFrame([(79600001 + i, "n") for i in range(4)], "uid long, nickname string")
+    partners = spark.createDataFrame(
+        [(1, "p", "s10202%", 3, 1, 10, 2), (1, "p", "%1001__", 3, 1, 0, 3), (1, "p", "%10010_", 3, 1, 0, 3)],
+        "partner_id long, partner_name string, channelid string, type int, status int, cut_rate int, price int",
+    )
+    for per_ip, flagged in ((10, 0), (3, 1)):
+        steps = signup.signup_steps(users, status, profile, partners, 500, 5000, per_ip=per_ip, min_seconds=10)
+        got = steps.select("uid", "partner_id", "step3").collect()
+        assert len(got) == len({r.uid for r in got}) == 4
+        assert sum(r.step3 for r in got) == flagged
+    summary = signup.partner_summary(steps, partners).collect()
+    assert [(r.partner_id, r.price, r.user_num) for r in summary] == [(1, 2, 2)]
