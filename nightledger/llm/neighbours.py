@@ -4,7 +4,8 @@ Vectors get one more component that makes all norms equal, so the largest inner
 A bounded sample is halved again and again along its main direction into balanced clusters. Every vector joins the
 list of its nearest centroid, and those at the boundary join further lists. Centroids are searched through
 a neighbour graph in memory; a query visits the lists whose distance is within a ratio of the nearest. The ratio is
-learnt on the sample, so that it covers ``COVER`` of true neighbours there.
+learnt on the sample, so that it covers ``COVER`` of true neighbours there. The nearest few lists are searched first; what
+they give is the bar for the others.
 
 Equal vectors are one entry with their smallest ids, as many as an answer can show: no list grows with
 copies. A list of many vectors or queries is cut into blocks that meet in pairs, each in a task of its own.
@@ -26,6 +27,7 @@ LIST_SIZE, MAX_LISTS = 1024, SAMPLE // 8
 REPLICAS, BOUNDARY = 4, 1.10
 DEGREE, TRIALS, COVER = 16, 256, 0.98
 BLOCK = 8192
+FIRST_LISTS = 3  # searched first; the other lists only give what is better
 
 
 def _distances(rows: np.ndarray, points: np.ndarray) -> np.ndarray:
@@ -137,8 +139,8 @@ class Index:
         row, place = np.nonzero(chosen[1])
         return ids[row, place], row
 
-    def visits(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Lists that queries visit and the row each belongs to."""
+    def visits(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Lists that queries visit, the row each belongs to, and whether it is among the row's nearest."""
         width, points = 64, self.pointed(rows)
         while True:
             ids, far = self.search(points, width)
@@ -146,7 +148,7 @@ class Index:
                 break
             width *= 2
         row, place = np.nonzero(far <= self.ratio * far[:, :1])
-        return ids[row, place], row
+        return ids[row, place], row, place < FIRST_LISTS
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -189,32 +191,28 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
     index = Index(np.array([r[0] for r in sample], np.float64), total, float(np.sqrt(most)) * (1 + 1e-9))
     shared = vectors.sparkSession.sparkContext.broadcast(index)  # MAX_LISTS centroids at most
 
-    def place(batches: Iterator[pa.RecordBatch], how: str, rest: str) -> Iterator[pa.RecordBatch]:
+    def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
         for batch in batches:
             for lo in range(0, len(batch), 512):
                 part = batch.slice(lo, 512)
-                matrix = _matrix(part.column("embedding"))
-                at = shared.value
-                lists, row = at.lists(at.lifted(matrix)) if how == "lists" else at.visits(matrix)
-                take = pa.array(row)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists, pa.int32()), part.column("embedding").take(take), part.column(rest).take(take)],
-                    names=["list", "embedding", rest],
-                )
-
-    stored = entries.mapInArrow(lambda b: place(b, "lists", "ids"), "list int, embedding array<float>, ids array<long>")
+                yield part, _matrix(part.column("embedding"))
+
+    def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, matrix in parts_of(batches):
+            lists, row = shared.value.lists(shared.value.lifted(matrix))
+            found = [pa.array(lists, pa.int32()), *(part.column(c).take(pa.array(row)) for c in ("embedding", "ids"))]
+            yield pa.RecordBatch.from_arrays(found, names=["list", "embedding", "ids"])
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, matrix in parts_of(batches):
+            lists, row, near = shared.value.visits(matrix)
+            found = [pa.array(lists, pa.int32()), *(part.column(c).take(pa.array(row)) for c in ("embedding", "vec_id"))]
+            yield pa.RecordBatch.from_arrays([*found, pa.array(near)], names=["list", "embedding", "vec_id", "near"])
+
+    stored = cut_lineage(entries.mapInArrow(store, "list int, embedding array<float>, ids array<long>"))
     asked = rows.where(F.col("vec_id") % every == 0).distinct()
-    asked = asked.mapInArrow(lambda b: place(b, "visits", "vec_id"), "list int, embedding array<float>, vec_id long")
-    stored, asked = cut_lineage(stored), cut_lineage(asked)
+    asked = cut_lineage(asked.mapInArrow(ask, "list int, embedding array<float>, vec_id long, near boolean"))
     sizes = stored.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))  # a row per list
-    asks = asked.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("turns"))
-    plan = sizes.join(asks, "list")
-    part = F.pmod(F.xxhash64("embedding"), F.col("parts")).cast("int").alias("part")
-    turn = F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int").alias("turn")
-    every_turn = F.explode(F.sequence(F.lit(0), F.col("turns").cast("int") - 1)).alias("turn")
-    every_part = F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part")
-    left = stored.join(F.broadcast(plan), "list").select("list", part, "embedding", "ids", every_turn)
-    right = asked.join(F.broadcast(plan), "list").select("list", turn, "embedding", "vec_id", every_part)
 
     def compare(points: pa.Table, queries: pa.Table) -> pa.Table:
         found, scored, asker = [], [], []
@@ -222,24 +220,43 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
             points, queries = points.combine_chunks(), queries.combine_chunks()
             stored_rows, ids = _matrix(points.column("embedding").chunk(0)), points.column("ids").to_pylist()
             query_rows, names = _matrix(queries.column("embedding").chunk(0)), queries.column("vec_id").to_pylist()
+            floor = queries.column("floor").to_numpy()
             for lo in range(0, len(query_rows), 256):
                 rough = query_rows[lo : lo + 256] @ stored_rows.T
                 keep = min(count + 1, rough.shape[1])  # one entry may hold the query alone
-                least = np.partition(rough, -keep, 1)[:, -keep]
+                least = np.maximum(np.partition(rough, -keep, 1)[:, -keep], floor[lo : lo + 256])
                 for i, row in enumerate(rough):
-                    near = np.flatnonzero(row >= least[i] - 1e-9 * (1 + abs(least[i])))
+                    near = np.flatnonzero(row >= least[i] - 1e-9 * (1 + np.abs(row).max()))
                     exact = (query_rows[lo + i] * stored_rows[near]).sum(1)
                     pairs = [(-s, v) for s, j in zip(exact, near, strict=True) for v in ids[j] if v != names[lo + i]]
                     for s, v in sorted(pairs)[:count]:
                         asker.append(names[lo + i])
                         found.append(v)
                         scored.append(-s)
-        return pa.table(
-            {"query_id": pa.array(asker, pa.int64()), "vec_id": pa.array(found, pa.int64()), "score": pa.array(scored, pa.float64())}
-        )
+        kinds = {"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
+        return pa.table({n: pa.array(v, kinds[n]) for n, v in zip(kinds, (asker, found, scored), strict=True)})
+
+    def searched(queries: DataFrame) -> DataFrame:
+        """The best of each visited list, of the lists cut into blocks the best of each block."""
+        asks = queries.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("turns"))
+        plan = F.broadcast(sizes.join(asks, "list"))  # a row per list, MAX_LISTS at most
+        part = F.pmod(F.xxhash64("embedding"), F.col("parts")).cast("int").alias("part")
+        turn = F.pmod(F.xxhash64("vec_id"), F.col("turns")).cast("int").alias("turn")
+        turns = F.explode(F.sequence(F.lit(0), F.col("turns").cast("int") - 1)).alias("turn")
+        parts = F.explode(F.sequence(F.lit(0), F.col("parts").cast("int") - 1)).alias("part")
+        left = stored.join(plan, "list").select("list", part, "embedding", "ids", turns)
+        right = queries.join(plan, "list").select("list", turn, "embedding", "vec_id", "floor", parts)
+        key = ["list", "part", "turn"]
+        pairs = left.groupBy(*key).cogroup(right.groupBy(*key))
+        return pairs.applyInArrow(compare, "query_id long, vec_id long, score double")
 
-    key = ["list", "part", "turn"]
-    pairs = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(compare, "query_id long, vec_id long, score double")
+    first = cut_lineage(searched(asked.where("near").withColumn("floor", F.lit(float("-inf")))))
+    floors = first.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    floors = floors.withColumn("place", F.row_number().over(best)).where(F.col("place") == count)
+    floors = floors.select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
+    later = asked.where("not near").join(floors, "vec_id", "left")
+    pairs = first.union(searched(later.withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))))
     pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
