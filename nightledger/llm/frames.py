@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from nightledger.session import cut_lineage, prepare
+from nightledger.session import cut_lineage, prepare, shared_folder
 
 BATCH_ROWS = 2000
 BATCH_BYTES = 4 << 20
@@ -22,12 +22,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ready(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, named by the cluster."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        raise ValueError("spark.checkpoint.dir names no shared folder")
-    return folder
-
-
 __all__ = ["cut_lineage", "ready", "shared_folder", "table"]

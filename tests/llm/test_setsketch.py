@@ -59,7 +59,7 @@ def test_equals_brute_force(spark, frame):
 
 def test_small_blocks_change_nothing(spark, frame, monkeypatch):
     rows = corpus()
-    for name, value in {"BLOCK": 3, "GROUP_ROWS": 20, "GROUP_BYTES": 2000, "PAIRS_AT_ONCE": 5, "BROADCAST_BYTES": 0}.items():
+    for name, value in {"BLOCK": 12, "GROUP_ROWS": 400, "GROUP_BYTES": 200_000, "PAIRS_AT_ONCE": 50, "BROADCAST_BYTES": 0}.items():
         monkeypatch.setattr(setsketch, name, value)
     got = setsketch.near_duplicates(frame(rows))
     assert tuples(got, "doc_id", "n_shingles", "component_id", "kept") == brute(rows)
