@@ -70,17 +70,15 @@ class Index:
         self.ratio = 1.0
         if len(rows) > 1:
             trial = np.arange(0, len(rows), max(1, len(rows) // TRIALS))
-            scores = sample[trial] @ sample.T
-            scores[np.arange(len(trial)), trial] = -np.inf
-            near = np.argsort(-scores, 1)[:, : min(20, len(rows) - 1)]
             to = _distances(self.pointed(sample[trial]), self.centroids)
-            first = to.min(1)
-            needed = []
-            for i, own in enumerate(near):
-                where, row = self.lists(rows[own])
-                best = np.full(len(own), np.inf)
+            needed, near = [], min(20, len(rows) - 1)
+            for i, own in enumerate(trial):
+                scores = sample @ sample[own]
+                scores[own] = -np.inf
+                where, row = self.lists(rows[np.argpartition(-scores, near - 1)[:near]])
+                best = np.full(near, np.inf)
                 np.minimum.at(best, row, to[i][where])
-                needed.append(best / max(first[i], 1e-12))
+                needed.append(best / max(to[i].min(), 1e-12))
             self.ratio = float(np.quantile(np.concatenate(needed), COVER)) + 1e-9
 
     def lifted(self, rows: np.ndarray) -> np.ndarray:
@@ -187,8 +185,8 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return vectors.sparkSession.createDataFrame([], schema)
-    sample = entries.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(SAMPLE).collect()
-    index = Index(np.array([r[0] for r in sample], np.float64), total, float(np.sqrt(most)) * (1 + 1e-9))
+    sample = entries.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(SAMPLE).toArrow()
+    index = Index(_matrix(sample.column(0).combine_chunks()), total, float(np.sqrt(most)) * (1 + 1e-9))
     shared = vectors.sparkSession.sparkContext.broadcast(index)  # MAX_LISTS centroids at most
 
     def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
