@@ -11,9 +11,9 @@ from nightledger.llm.frames import cut_lineage
 def components(links: DataFrame) -> DataFrame:
     """id and component (the smallest id reachable) of every end of ``links``, a frame with columns a and b.
 
-    In each round every node moves to the smallest node among itself and its neighbours, and on to where
-    that one moved; links between nodes that moved to different places remain. Links at least halve
-    along any path, so rounds grow with the logarithm of the longest path. Links and labels stay distributed.
+    In each round every node moves to the smallest node among itself and its neighbours, and on to where that
+    one moved, until nothing moves: a chain of n nodes takes about log n such steps. Links between nodes that
+    moved to different places go on to the next round. Links and labels stay distributed.
     """
     edges = cut_lineage(links.where("a != b").select("a", "b").distinct())
     moves = []
@@ -21,8 +21,12 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.union(edges.select("b", "a"))
         step = both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("to"))
         step = step.select("id", F.least("id", "to").alias("to"))
-        onward = step.select(F.col("id").alias("to"), F.col("to").alias("end"))
-        step = cut_lineage(step.join(onward, "to").select("id", F.col("end").alias("to")))
+        moving = True
+        while moving:
+            onward = step.select(F.col("id").alias("to"), F.col("to").alias("end"))
+            step = cut_lineage(step.join(onward, "to").select("id", "to", "end"))
+            moving = not step.where("to != end").isEmpty()
+            step = step.select("id", F.col("end").alias("to"))
         moves.append(step)
         left = step.select(F.col("id").alias("a"), F.col("to").alias("x"))
         right = step.select(F.col("id").alias("b"), F.col("to").alias("y"))
