@@ -44,7 +44,7 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licence notice of each document."""
-    return licences.licence_scan(table(spark, sf_dir, "documents"))
+    return licences.licence_notices(table(spark, sf_dir, "documents"))
 
 
 @query

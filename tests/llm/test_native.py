@@ -1,11 +1,12 @@
 """Source mixing, licence scan and captures: results, and no Python in their plans."""
 
+import random
 import re
 
 import pytest
 from helpers import frame, prose, tuples  # noqa: F401
 
-from nightledger.llm import captures, licences, mixing
+from nightledger.llm import captures, licences, mixing, queries
 
 PYTHON = ("EvalPython", "InPandas", "InArrow", "Cartesian", "NestedLoop")
 
@@ -118,6 +119,57 @@ def test_licences(spark, frame):
     assert licences.licence_scan(frame([])).count() == 0
 
 
+def test_licences_inside_lines_and_wrapped(spark, frame):
+    before, after = " ".join(prose(1, 40)), " ".join(prose(2, 40))
+    notices = sorted(licences.TEMPLATES.items())
+    texts = [f"{before} {n} {after}" for _, n in notices]
+    for _, n in notices:
+        words = n.split(" ")
+        texts.append(f"{before}\n{' '.join(words[: len(words) // 2])}\n{' '.join(words[len(words) // 2 :])}\n{after}")
+    whole = {name: text for name, text in licences.TEXTS if name in ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Unlicense")}
+    texts += [f"{before}\nCopyright 2020 A. Author\n\n{re.sub('(.{60}[^ ]*) ', chr(92) + '1' + chr(10), t)}\n{after}" for t in whole.values()]
+    texts += [f"{before} {notices[0][1]} {before} {notices[7][1]} {after} {notices[7][1]}", f"{before} the {after}", None, "", "word"]
+    got = {r.doc_id: (r.licence, r.score, r.n_notices) for r in licences.licence_notices(frame(list(enumerate(texts)))).collect()}
+    want = [(name, 1.0, 1) for name, _ in notices] * 2 + [(name, 1.0, 1) for name in whole]
+    want += [("Apache-2.0", 1.0, 3)] + [(None, 0.0, 0)] * 4
+    assert [got[i] for i in range(len(texts))] == want
+
+
+def brute_windows(text, templates, least=0.8):
+    words = re.sub(licences.GAP, " ", (text or "").translate(str.maketrans(licences.UPPER, licences.LOWER))).split()
+    grams, scored = list(zip(words[:-1], words[1:], strict=True)), []
+    for i, (name, t) in enumerate(sorted(templates)):
+        own = {tuple(x.split(" ")) for x in licences.bigrams_of(t)}
+        for size in range(1, int(len(own) * (2 - least) / least + 1e-9) + 1):
+            for lo in range(len(grams) - size + 1):
+                window = set(grams[lo : lo + size])
+                scored.append((2 * len(own & window) / (len(own) + len(window)), -i, name))
+    top = max(scored, default=(0,))
+    return (top[2], top[0]) if top[0] >= least else (None, 0.0)
+
+
+def test_licence_windows_equal_brute_force(spark, frame):
+    rng = random.Random(3)
+    templates = [("a", "a b c d e f"), ("b", "a b c x y z a b"), ("a", "q r s"), ("c", "d e f a b c d e x x x")]
+    letters = "abcdefxyz"
+    texts = [" ".join(rng.choice(letters) for _ in range(rng.randrange(60))) for _ in range(150)]
+    for i in range(150):
+        words = rng.choice(templates)[1].split(" ") * rng.randrange(1, 3)
+        for _ in range(rng.randrange(4)):
+            words[rng.randrange(len(words))] = rng.choice(letters)
+        texts.append(" p\n".join(["n n", rng.choice([" ", "\n"]).join(words), "m"]))
+    got = licences.licence_notices(frame(list(enumerate(texts))), templates)
+    assert tuples(got, "doc_id", "licence", "score") == sorted(((i, *brute_windows(t, templates)) for i, t in enumerate(texts)), key=repr)
+    assert not [p for p in (*PYTHON, "Exchange") if p in plan(got)]
+
+
+def test_licence_query_finds_notices_inside_lines(spark, tmp_path, frame):
+    text = f"{' '.join(prose(1, 30))} Released under the MIT License. See LICENSE for details."
+    frame([(1, text)]).write.parquet(str(tmp_path / "documents.parquet"))
+    (row,) = queries.QUERIES["op4_licence_scan"](spark, str(tmp_path)).collect()
+    assert (row.licence, row.score, row.n_notices) == ("MIT", 1.0, 1)
+
+
 CAPTURES = "record_id long, url string, captured_at long, kind string, etag string, last_modified string, headers map<string,string>, payload string"
 
 
