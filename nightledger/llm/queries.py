@@ -79,14 +79,14 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every revisit of a capture log over all pages, with the response it stands for."""
     pages = table(spark, sf_dir, "pages")
-    log = CAPTURES.format(pages="{pages}", digest="sha2(html, 256)", turns="explode(sequence(1, 3))")
+    log = CAPTURES.format(pages="{pages}", digest="html", turns="explode(sequence(1, 3))")
     rows = spark.sql(log, pages=pages)
     names = ["etag", "last_modified", "date", "cache_control", "content_type", "content_length"]
     pairs = F.array(*[F.struct(F.lit(n.replace("_", "-")).alias("k"), F.col(n).alias("v")) for n in names])
     headers = F.map_from_entries(F.filter(pairs, lambda p: p["v"].isNotNull()))
     found = captures.resolve_revisits(rows.withColumn("headers", headers))
     lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e.key, F.lit(": "), e.value))
-    shown = found.withColumn("headers", F.array_join(lines, "; "))
+    shown = found.withColumn("headers", F.array_join(lines, "; ")).withColumn("payload", F.sha2("payload", 256))
     return shown.withColumn("response_id", F.coalesce("response_id", F.lit(-1)))  # -1: none
 
 

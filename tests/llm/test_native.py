@@ -1,5 +1,6 @@
 """Source mixing, licence scan and captures: results, and no Python in their plans."""
 
+import hashlib
 import random
 import re
 
@@ -211,3 +212,19 @@ def test_hot_url_is_carried_over_ranges(spark):
     log = spark.createDataFrame(rows, CAPTURES).repartition(8)
     got = {r.record_id: r.response_id for r in captures.resolve_revisits(log).collect()}
     assert got == {i: i - i % 50 for i in range(3000) if i % 50}
+
+
+def test_revisit_query_hands_over_pages(spark, tmp_path, monkeypatch):
+    pages = [(i, f"http://a.example/{i}", f"<p>page {i}</p>") for i in range(1, 13)]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    seen, resolve = set(), captures.resolve_revisits
+
+    def watched(records):
+        seen.update(r.payload for r in records.where("kind = 'response'").collect())
+        return resolve(records)
+
+    monkeypatch.setattr(captures, "resolve_revisits", watched)
+    got = queries.QUERIES["op9_revisits"](spark, str(tmp_path)).where("status = 'resolved'").collect()
+    assert seen == {html for _, _, html in pages}
+    digest = {i * 4: hashlib.sha256(html.encode()).hexdigest() for i, _, html in pages}
+    assert got and all(r.payload == digest[r.response_id] for r in got)
