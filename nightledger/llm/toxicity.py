@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from nightledger.llm import gru
 from nightledger.llm.folds import held_out, sample
@@ -145,7 +146,7 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     """
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
     own = [c for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in own)
+    schema = StructType([*(docs.schema[c] for c in own), StructField("score", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -153,10 +154,13 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
                 part = [batch.column(c).slice(lo, hi - lo) for c in own]
                 yield pa.RecordBatch.from_arrays([*part, pa.array(scores(shared.value, data, offsets))], names=[*own, "score"])
 
-    scored = docs.select(*own).mapInArrow(score, f"{schema}, score double")
+    scored = docs.select(*own).mapInArrow(score, schema)
     return scored.withColumn("held_out", held_out(5, 0)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``docs`` without the documents predicted toxic, with its columns."""
-    return toxicity_scores(docs, labels).where("predicted = 0").select(*docs.columns)
+    rest = [c for c in docs.columns if c != "text"]
+    work = docs.select(F.struct(F.lit(0).alias("_"), *rest).alias("row"), "doc_id", "text")
+    clean = toxicity_scores(work, labels).where("predicted = 0")
+    return clean.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

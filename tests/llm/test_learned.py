@@ -77,6 +77,18 @@ def test_windows_cover_every_word():
         assert covered == set(range(n))
 
 
+def test_dropping_toxic_documents_keeps_their_columns(spark, frame):
+    none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    docs = frame([(1, "a b"), (2, None)]).selectExpr("doc_id", "text", "7 as score", "'mine' as held_out", "doc_id * 2 as Predicted", "n_chars as `a b`")
+    model = gru.initial()
+    model["o"][:], model["ob"][:] = 0, -1
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "fit", lambda *_: model)
+        out = toxicity.drop_toxic(docs, none)
+        assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString()
+        assert sorted(map(tuple, out.collect())) == [(1, "a b", 7, "mine", 2, 3), (2, None, 7, "mine", 4, None)]
+
+
 def test_quality_learns_statistics(spark, frame):
     rng, rows, label = random.Random(3), [], {}
     for i in range(400):
