@@ -10,7 +10,7 @@ import numpy as np
 
 from nightledger.llm.words import ALNUM, Words
 
-WINDOW, STRIDE = 48, 32
+WINDOW, STRIDE = 48, 24  # neighbours overlap by half a window
 WORD_BITS, GRAM_BITS, WIDTH, HIDDEN, ATTEND = 15, 15, 8, 8, 8
 Params = dict[str, np.ndarray]
 

@@ -77,6 +77,16 @@ def test_windows_cover_every_word():
         assert covered == set(range(n))
 
 
+def test_short_passages_lie_whole_in_a_window():
+    texts = [" ".join(prose(n, n)) for n in (1, 47, 48, 49, 60, 72, 73, 200)]
+    coded = gru.Encoded(*buffers(pa.array(texts)))
+    for i, n in enumerate(coded.counts):
+        own = coded.text == i
+        lo, hi = coded.start[own] - coded.first[i], coded.start[own] - coded.first[i] + coded.size[own]
+        size = min(int(n), gru.WINDOW // 2)
+        assert all(((lo <= at) & (at + size <= hi)).any() for at in range(n - size + 1))
+
+
 def test_dropping_toxic_documents_keeps_their_columns(spark, frame):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     docs = frame([(1, "a b"), (2, None)]).selectExpr("doc_id", "text", "7 as score", "'mine' as held_out", "doc_id * 2 as Predicted", "n_chars as `a b`")
