@@ -13,12 +13,14 @@ copies. A list of many vectors or queries is cut into blocks that meet in pairs,
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from nightledger.llm.frames import cut_lineage
 
@@ -57,8 +59,8 @@ def _balanced(rows: np.ndarray, lists: int) -> np.ndarray:
 class Index:
     """Centroids, their neighbour graph and the ratio that selects lists."""
 
-    def __init__(self, sample: np.ndarray, count: int, norm: float):
-        self.norm = norm
+    def __init__(self, sample: np.ndarray, count: int, norm: float, scale: float = 1.0):
+        self.norm, self.scale = norm, scale  # norm in units of scale, a power of two
         lists = int(np.clip(-(-count // LIST_SIZE), 1, max(1, min(MAX_LISTS, len(sample) // 8))))
         rows = self.lifted(sample)
         self.centroids = _balanced(rows, lists)
@@ -73,7 +75,7 @@ class Index:
             to = _distances(self.pointed(sample[trial]), self.centroids)
             needed, near = [], min(20, len(rows) - 1)
             for i, own in enumerate(trial):
-                scores = sample @ sample[own]
+                scores = (sample / scale) @ (sample[own] / scale)
                 scores[own] = -np.inf
                 where, row = self.lists(rows[np.argpartition(-scores, near - 1)[:near]])
                 best = np.full(near, np.inf)
@@ -83,11 +85,13 @@ class Index:
 
     def lifted(self, rows: np.ndarray) -> np.ndarray:
         """Stored vectors at the common norm."""
+        rows = rows / self.scale
         rest = np.sqrt(np.maximum(self.norm**2 - (rows**2).sum(1), 0))
         return np.concatenate([rows, rest[:, None]], 1)
 
     def pointed(self, rows: np.ndarray) -> np.ndarray:
         """Query vectors at the common norm."""
+        rows = np.ldexp(rows, -np.frexp(np.abs(rows).max(1))[1][:, None])  # squares neither overflow nor vanish
         long = rows * (self.norm / np.linalg.norm(rows, axis=1))[:, None]
         return np.concatenate([long, np.zeros((len(rows), 1))], 1)
 
@@ -155,12 +159,14 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id and embedding of the rows that take part.
+    """vec_id and embedding of the rows that take part; float components stay float, others are double.
 
     Vectors that are null, zero, hold null or non-finite components, have no id, or are not of the commonest length
     do not.
     """
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<float>"))
+    own = vectors.schema["embedding"].dataType
+    kind = "float" if isinstance(own, ArrayType) and isinstance(own.elementType, FloatType) else "double"
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast(f"array<{kind}>"))
     rows = rows.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull())
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.where(finite & F.exists("embedding", lambda x: x != 0))
@@ -172,7 +178,7 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
     """query_id, rank, vec_id and score of the ``count`` nearest found of each query.
 
     Queries are the rows whose vec_id is divisible by ``every``; the candidates of one are all rows with another vec_id.
-    The score is the inner product in double precision; ties go to the smaller vec_id. If there are fewer candidates,
+    The score is the inner product of the given components in double precision, infinite beyond its range; ties go to the smaller vec_id. If there are fewer candidates,
     all are returned. Rows that take no part are those of ``usable``; repeated rows are one.
     """
     rows = usable(vectors)
@@ -180,13 +186,17 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
     entries = rows.withColumn("place", F.dense_rank().over(own)).where(F.col("place") <= count + 1)
     entries = entries.groupBy("embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     entries = cut_lineage(entries)
-    square = F.aggregate("embedding", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    total, most = entries.agg(F.count("*"), F.max(square)).first()
+    largest = F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))
+    total, most = entries.agg(F.count("*"), F.max(largest)).first()
+    kind = rows.schema["embedding"].dataType.simpleString()
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return vectors.sparkSession.createDataFrame([], schema)
     sample = entries.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(SAMPLE).toArrow()
-    index = Index(_matrix(sample.column(0).combine_chunks()), total, float(np.sqrt(most)) * (1 + 1e-9))
+    scale = math.ldexp(0.5, math.frexp(most)[1])
+    parts = F.transform("embedding", lambda x: x.cast("double") / F.lit(scale))
+    (square,) = entries.agg(F.max(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x * x))).first()
+    index = Index(_matrix(sample.column(0).combine_chunks()), total, float(np.sqrt(square)) * (1 + 1e-9), scale)
     shared = vectors.sparkSession.sparkContext.broadcast(index)  # MAX_LISTS centroids at most
 
     def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
@@ -207,9 +217,9 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
             found = [pa.array(lists, pa.int32()), *(part.column(c).take(pa.array(row)) for c in ("embedding", "vec_id"))]
             yield pa.RecordBatch.from_arrays([*found, pa.array(near)], names=["list", "embedding", "vec_id", "near"])
 
-    stored = cut_lineage(entries.mapInArrow(store, "list int, embedding array<float>, ids array<long>"))
+    stored = cut_lineage(entries.mapInArrow(store, f"list int, embedding {kind}, ids array<long>"))
     asked = rows.where(F.col("vec_id") % every == 0).distinct()
-    asked = cut_lineage(asked.mapInArrow(ask, "list int, embedding array<float>, vec_id long, near boolean"))
+    asked = cut_lineage(asked.mapInArrow(ask, f"list int, embedding {kind}, vec_id long, near boolean"))
     sizes = stored.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))  # a row per list
 
     def compare(points: pa.Table, queries: pa.Table) -> pa.Table:
@@ -224,7 +234,7 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
                 keep = min(count + 1, rough.shape[1])  # one entry may hold the query alone
                 least = np.maximum(np.partition(rough, -keep, 1)[:, -keep], floor[lo : lo + 256])
                 for i, row in enumerate(rough):
-                    near = np.flatnonzero(row >= least[i] - 1e-9 * (1 + np.abs(row).max()))
+                    near = np.flatnonzero(~(row < least[i] - 1e-9 * (1 + np.abs(row).max())))
                     exact = (query_rows[lo + i] * stored_rows[near]).sum(1)
                     pairs = [(-s, v) for s, j in zip(exact, near, strict=True) for v in ids[j] if v != names[lo + i]]
                     for s, v in sorted(pairs)[:count]:

@@ -186,6 +186,27 @@ def test_few_vectors(spark, frame):
     assert neighbours.nearest(spark.createDataFrame([], VECTORS)).count() == 0
 
 
+def test_double_vectors_keep_their_components(spark):
+    rows = [(0, [1.0, 0.1]), (1, [1.0, 0.1 + 1e-12]), (2, [1.0, 0.1 + 2e-12]), (3, [1e39, 1.0]), (4, [1e-60, 0.0]), (5, [1e-200, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in neighbours.nearest(vectors).orderBy("rank").collect()]
+    score = {i: x + 0.1 * y for i, (x, y) in rows}
+    assert got == [(0, k + 1, i, pytest.approx(score[i], rel=1e-15)) for k, i in enumerate([3, 2, 1, 4, 5])]
+    assert got[1][3] > got[2][3]
+
+
+def test_neighbours_at_any_magnitude(spark):
+    rng = np.random.default_rng(3)
+    points = rng.standard_normal((60, 8))
+    want = None
+    for factor in (1.0, 2.0**400, 2.0**-400):
+        rows = [(i, (p * factor).tolist()) for i, p in enumerate(points)]
+        got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+        got = sorted((r.query_id, r["rank"], r.vec_id) for r in got.collect())
+        want = want or got
+        assert got == want and len(got) == 60
+
+
 def test_graph_search_finds_the_nearest():
     sample = np.random.default_rng(2).standard_normal((4000, 8))
     index = neighbours.Index(sample, 400_000, float(np.linalg.norm(sample, axis=1).max()))
