@@ -7,7 +7,8 @@ those followed by as many benchmark words as the shortest item needs. Overlappin
 joined to the longest one.
 
 Benchmark items are a query set, not corpus data. They are broadcast in blocks of bounded bytes, one pass
-over the documents per block.
+over the documents per block. What a pass finds is written to the shared folder and its block is destroyed before
+the next one is built, so one block is alive at a time.
 """
 
 from __future__ import annotations
@@ -16,9 +17,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from nightledger.llm.frames import cut_lineage
 from nightledger.llm.words import ALNUM, Words, buffers, slabs
 
 WINDOW = 13
@@ -120,16 +123,18 @@ class Block:
         return text, at - starts[text], item, place, size
 
 
-def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Block]:
-    """Items with words, a bounded part at a time."""
+def _blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[tuple[Block, bool]]:
+    """Items with words, a bounded part at a time, and whether it is the last part."""
     total = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-int(total) // block_bytes))
     key = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
     for part in range(parts):
         rows = benchmark.where(F.col("text").isNotNull() & (key == part))
         rows = rows.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")), "text").distinct().collect()
-        if rows:
-            yield Block([r[0] for r in rows], [r[1] for r in rows], window)
+        ids, texts = [r[0] for r in rows], [r[1] for r in rows]
+        del rows
+        if ids or parts == 1:
+            yield Block(ids, texts, window), part == parts - 1
 
 
 def benchmark_matches(
@@ -146,10 +151,9 @@ def benchmark_matches(
     names = rows.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
     out = rows.withColumns({"n_words": F.lit(0).cast("long"), "matches": F.array().cast(MATCH)})
-    for block in list(_blocks(benchmark, window, block_bytes)) or [Block([], [], window)]:
-        shared = spark.sparkContext.broadcast(block)
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+    def searched(shared: Broadcast) -> DataFrame:
+        def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for lo, hi, data, offsets in slabs(batch.column("text")):
                     words = Words(data, offsets, ALNUM, lower=True)
@@ -160,7 +164,15 @@ def benchmark_matches(
                         names=[*names, "n_words", "matches"],
                     )
 
-        out = out.mapInArrow(scan, f"{schema}, n_words long, matches {MATCH}")
+        return out.mapInArrow(scan, f"{schema}, n_words long, matches {MATCH}")
+
+    for block, last in _blocks(benchmark, window, block_bytes):
+        shared = spark.sparkContext.broadcast(block)
+        del block
+        out = searched(shared)
+        if not last:
+            out = cut_lineage(out)
+            shared.destroy()
     return out
 
 

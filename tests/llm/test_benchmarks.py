@@ -97,3 +97,13 @@ def test_empty_tables(spark, frame):
     none = spark.createDataFrame([], "item_id long, text string")
     assert benchmarks.contamination(frame([]), none).count() == 0
     assert [r.contaminated for r in benchmarks.contamination(frame([(1, "a b")]), none).collect()] == [False]
+
+
+def test_one_block_of_items_is_alive_at_a_time(spark, frame, monkeypatch):
+    items = spark.createDataFrame(ITEMS, "item_id long, text string")
+    steps, build, destroy = [], benchmarks.Block.__init__, benchmarks.Broadcast.destroy
+    monkeypatch.setattr(benchmarks.Block, "__init__", lambda self, *a: (steps.append("build"), build(self, *a))[1])
+    monkeypatch.setattr(benchmarks.Broadcast, "destroy", lambda self, *a: (steps.append("destroy"), destroy(self, *a))[1])
+    got = benchmarks.contamination(frame(documents()), items, block_bytes=300)
+    assert tuples(got, *COLUMNS) == brute(documents(), ITEMS)
+    assert steps.count("build") > 2 and all(a != b for a, b in zip(steps[:-1], steps[1:], strict=True))
