@@ -166,4 +166,79 @@ SELECT record_id, key, captured_at, coalesce(response_id, -1) AS response_id, st
 FROM h
 """
 
-ORACLES = {"op2_substring_dedup": OP2, "op3_decontamination": OP3, "op4_licence_scan": OP4, "op7_minhash_dedup": OP7, "op9_revisits": OP9}
+# crc32 of a text, bit by bit: a byte enters, then eight zeros each shift one bit out.
+_CRC = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, flatten(list_transform(string_split({text}, ''), lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+
+OP11 = rf"""
+WITH w0 AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, {_CRC.format(text="CAST(doc_id AS VARCHAR)")} AS h FROM documents
+),
+cut AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) ELSE len(w) END AS a FROM w0),
+folded AS (SELECT *, 1 + (len(w) - a) // (3 + (h // 10) % 8) AS p FROM cut),
+d AS (
+  SELECT doc_id, CASE WHEN a < len(w) THEN list_transform(range(0, len(w)), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+    ELSE w END AS w FROM folded
+),
+win AS (
+  SELECT doc_id, i, len(w) AS n, hash(array_to_string(w[i + 1:i + 16], ' ')) AS k
+  FROM (SELECT doc_id, w, unnest(range(0, len(w) - 15)) AS i FROM d)
+),
+again AS (  -- a run repeats each of its windows of 16 words one period later
+  SELECT a.doc_id, a.i, b.i - a.i AS q FROM win a JOIN win b ON a.doc_id = b.doc_id AND a.k = b.k
+  WHERE b.i > a.i AND 3 * (b.i - a.i) <= a.n
+),
+stretch AS (
+  SELECT doc_id, q, min(i) AS start, max(i) - min(i) + 16 + q AS length
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM again) GROUP BY doc_id, q, island
+),
+run AS (
+  SELECT doc_id, start, length, min(q) AS period FROM stretch WHERE length >= greatest(24, 3 * q) GROUP BY doc_id, start, length
+),
+best AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(length AS DOUBLE) / period DESC, start, period) AS r FROM run)
+  WHERE r = 1
+),
+listed AS (
+  SELECT doc_id, count(*) AS n, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines
+  FROM run GROUP BY doc_id
+),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(0, len(w))) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(listed.n, 0) AS n_runs, best.start, best.length, best.period, 1000 * best.length // best.period AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM d LEFT JOIN best USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+_TERMS = (
+    "translate(unnest(regexp_extract_all(coalesce(text, ''), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')), "
+    "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+OP12 = f"""
+WITH tf AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, {_TERMS} AS term FROM documents) GROUP BY ALL),
+size AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id),
+whole AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM size),
+term AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, whole GROUP BY term, n_docs
+),
+item AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, {_TERMS} AS term FROM benchmark)),
+score AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM item JOIN tf USING (term) JOIN term USING (term) JOIN size USING (doc_id), whole GROUP BY ALL
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM score WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+"""
+
+ORACLES = {
+    "op2_substring_dedup": OP2,
+    "op3_decontamination": OP3,
+    "op4_licence_scan": OP4,
+    "op7_minhash_dedup": OP7,
+    "op9_revisits": OP9,
+    "op11_periodic_runs": OP11,
+    "op12_ranked_search": OP12,
+}

@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nightledger.llm import benchmarks, captures, licences, mixing, neighbours, quality, setsketch, substrings, tokens, toxicity
+from nightledger.llm import (
+    benchmarks,
+    captures,
+    languages,
+    licences,
+    mixing,
+    neighbours,
+    periods,
+    quality,
+    ranking,
+    setsketch,
+    substrings,
+    tokens,
+    toxicity,
+)
 from nightledger.llm.frames import table
 from nightledger.llm.oracles import CAPTURES, ORACLES
 
@@ -96,4 +110,63 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def _folded(words: Column, h: Column) -> Column:
+    """Words of a document of fold 0 with a tail that repeats, joined by one blank; those of others unchanged."""
+
+    def fold(w: Column) -> Column:
+        n, g = F.size(w).cast("long"), F.floor(h / 10)
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        tail = F.transform(w, lambda x, i: F.when(i >= a, F.get(w, (a + (i - a) % p).cast("int"))).otherwise(x))
+        return F.array_join(F.when((h % 10 == 0) & (n > 0), tail).otherwise(w), " ")
+
+    return F.element_at(F.transform(F.array(words), fold), 1)
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in each document, the tails of a tenth of them made periodic first."""
+    docs = table(spark, sf_dir, "documents")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    text = F.when(h % 10 == 0, _folded(words, h)).otherwise(F.col("text"))
+    found = periods.periodic_runs(docs.select("doc_id", text.alias("text")))
+    none = F.lit(None).cast(periods.RUN_TYPE)
+
+    def better(best: Column, run: Column) -> Column:
+        more = run.length.cast("long") * best.period > best.length.cast("long") * run.period
+        return F.when(best.isNull() | more, run).otherwise(best)
+
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    best = found.withColumn("best", F.aggregate("runs", none, better))
+    length, period = F.col("best.length").cast("long"), F.col("best.period").cast("long")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").cast("long").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.expr("1000 * CAST(best.length AS BIGINT) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 documents that score highest for each benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = ranking.ranked(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+@query
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document by character language models."""
+    return languages.identified(table(spark, sf_dir, "documents").select("doc_id", "text", "lang")).select(
+        "doc_id", "held_out", "lang_pred", "score", "rejected"
+    )
+
+
 __all__ = ["ORACLES", "QUERIES"]
