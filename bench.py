@@ -3,6 +3,7 @@
 BENCH_SF_DIR   folder of the Parquet tables (default /root/testdata/sf0.1)
 BENCH_CPUS     local cores (default 8)
 BENCH_RUNS     runs per query, the fastest counts (default 2)
+BENCH_SHARED   folder for checkpoints (default a new one)
 BENCH_QUERIES  comma-separated names instead of the headline list, or "all"
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -40,6 +42,7 @@ HEADLINE = [
 
 
 def session(cpus: int) -> SparkSession:
+    """A local session; one machine is its own shared folder."""
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
@@ -48,6 +51,7 @@ def session(cpus: int) -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.dataFrameQueryContext.enabled", "false")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED") or tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -50,6 +50,32 @@ def label_by_precedence(rules: Sequence[tuple[Column, Column | int]], default: C
     return expr
 
 
+SHORT_INTERVAL = 8
+
+
+def dyadic_cover(start: Column, end: Column, slot: int) -> Column:
+    """Blocks (level, block) that together are the ``slot``-wide slots touched from ``start`` to ``end``.
+
+    A block of level j is 2^j neighbouring slots, the first a multiple of 2^j. An interval that touches few slots has
+    one block for each, any other the fewest blocks there are: at most two of a level.
+    """
+    first = F.floor(start / slot)
+    stop = F.floor(end / slot) + 1
+    few = F.transform(
+        F.sequence(first, stop - 1), lambda b: F.struct(F.lit(0).alias("level"), b.alias("block"))
+    )
+
+    def pair(level: Column) -> Column:
+        low = -F.call_function("shiftright", -first, level)  # first whole block of the level, and the one after the last
+        high = F.call_function("shiftright", stop, level)
+        left = F.when((low < high) & (low % 2 != 0), F.struct(level.alias("level"), low.alias("block")))
+        right = F.when((low < high) & (high % 2 != 0), F.struct(level.alias("level"), (high - 1).alias("block")))
+        return F.filter(F.array(left, right), lambda x: x.isNotNull())
+
+    levels = F.sequence(F.lit(0), F.ceil(F.log2((stop - first).cast("double"))).cast("int"))
+    return F.when(stop - first <= SHORT_INTERVAL, few).otherwise(F.flatten(F.transform(levels, pair)))
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -61,18 +87,23 @@ def interval_join(
 ) -> DataFrame:
     """Points paired with every interval of the same key that contains them, ends included.
 
-    Intervals are repeated for each time slot they touch and points fall in one slot, so
-    the join is an equi join on (key, slot): a busy key is spread over its slots. Intervals
-    that end before they start contain nothing.
+    Intervals are cut into the blocks of :func:`dyadic_cover`, some 30 for ten years of hours, and a point is filed
+    under its block of every level that occurs among the intervals: the slot alone while all are short. The join is an
+    equi join on (key, level, block), so a busy key is spread over its blocks, and adaptive execution splits one that is
+    still large. Each slot of an interval lies in one of its blocks, so no pair is met twice. Intervals that end
+    before they start contain nothing.
     """
-    spread = intervals.filter(F.col(start) <= F.col(end)).withColumn(
-        "_slot", F.explode(F.sequence(slot_start(F.col(start), slot), slot_start(F.col(end), slot), F.lit(slot)))
-    )
-    placed = points.withColumn("_slot", slot_start(F.col(time), slot))
+    cover = F.explode(dyadic_cover(F.col(start), F.col(end), slot)).alias("_piece")
+    spread = intervals.filter(F.col(start) <= F.col(end)).select("*", cover)
+    spread = spread.select(*intervals.columns, F.col("_piece.level").alias("_level"), F.col("_piece.block").alias("_block"))
+    levels = spread.agg(F.sort_array(F.collect_set("_level"))).scalar()  # at most 64, read once
+    placed = points.select("*", F.explode(levels).alias("_level"))
+    block = F.call_function("shiftright", F.floor(F.col(time) / slot), F.col("_level"))
     return (
-        placed.join(spread, [*on, "_slot"])
+        placed.withColumn("_block", block)
+        .join(spread, [*on, "_level", "_block"])
         .filter(F.col(time).between(F.col(start), F.col(end)))
-        .drop("_slot")
+        .drop("_level", "_block")
     )
 
 

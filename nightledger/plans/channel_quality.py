@@ -74,31 +74,52 @@ def active_devices(register: DataFrame, log: DataFrame, name: str) -> DataFrame:
     return register.join(uids, ["dt", "uid"], "left_semi").select(*DEVICE).distinct().withColumn(name, F.lit(1))
 
 
-def beat_counts(devices: DataFrame, heartbeats: DataFrame) -> DataFrame:
-    """Distinct ten-second buckets with a beat on the day, per new device."""
-    beats = heartbeats.filter((F.col("dateline") > dt_to_epoch(F.col("dt"))) & (byte_length(F.col("idfa")) > 1))
-    beats = beats.select(*DEVICE, "dateline").join(devices.select(*DEVICE), DEVICE, "left_semi")
-    return time_bucket_count(beats, DEVICE, "dateline", 10, "heartbeat")
+def device_beats(devices: DataFrame, heartbeats: DataFrame) -> DataFrame:
+    """Beats of new devices for each day they count on: own ones, and those after noon of the day before.
+
+    A new device asks for the beats of its day and of the day before, so beats are not repeated and only those of new
+    devices go on.
+    """
+    c = F.col
+    own = devices.select(*DEVICE, c("dateline").alias("visit"))
+    same = F.struct(c("dt").alias("log_dt"), F.lit(True).alias("own"))
+    before = F.struct(shift_dt(c("dt"), -1).alias("log_dt"), F.lit(False).alias("own"))
+    asked = own.select("*", F.explode(F.array(same, before)).alias("_log")).select(*own.columns, "_log.*")
+    log = heartbeats.select("idfa", "roomid", c("dateline").alias("beat"), c("dt").alias("log_dt"))
+    after_noon = c("beat") > dt_to_epoch(c("log_dt")) + HALF_DAY
+    return (
+        log.join(asked, ["idfa", "log_dt"])
+        .filter(c("own") | after_noon)
+        .select(*DEVICE, "visit", "roomid", "beat", "own")
+    )
 
 
-def on_air_facts(devices: DataFrame, heartbeats: DataFrame, workload: DataFrame, hours: int = 12) -> DataFrame:
+def beat_counts(beats: DataFrame) -> DataFrame:
+    """Distinct ten-second buckets with a beat on the day, per new device, from :func:`device_beats`."""
+    today = beats.filter(F.col("own") & (F.col("beat") > dt_to_epoch(F.col("dt"))) & (byte_length(F.col("idfa")) > 1))
+    return time_bucket_count(today, DEVICE, "beat", 10, "heartbeat")
+
+
+def on_air_facts(beats: DataFrame, workload: DataFrame, hours: int = 12) -> DataFrame:
     """Beats on air within ``hours`` of the first visit, and rooms on air visited that day.
 
-    Beats count from noon of the day before, so an afternoon beat is offered to its own and
-    to the next day and joins on (day, device). Only beats of new devices reach the interval
-    join.
+    ``beats`` comes from :func:`device_beats`. Intervals are clipped to the days they are asked for before they
+    are covered, so an interval that was never closed costs no more than the run is long. The bounds of the run are
+    read first and reach the scan of ``workload``; without beats nothing is read from it.
     """
     c = F.col
-    day = devices.select(
-        "dt", "idfa", c("dateline").alias("visit"), dt_to_epoch(c("dt")).alias("day_start")
-    ).withColumn("day_end", dt_to_epoch(shift_dt(c("dt"), 1)) - 1)
-    after_noon = c("dateline") > dt_to_epoch(c("dt")) + HALF_DAY
-    counted_on = F.when(after_noon, F.array(c("dt"), shift_dt(c("dt"), 1))).otherwise(F.array(c("dt")))
-    beats = heartbeats.select(
-        "idfa", "roomid", c("dateline").alias("beat"), F.explode(counted_on).alias("dt")
-    ).join(day, DEVICE)
-    spans = workload.select("roomid", "start_dt", "end_dt", c("dateline").alias("reported"))
-    paired = interval_join(beats, spans, ["roomid"], "beat", "start_dt", "end_dt").filter(
+    first, last = F.min("dt"), F.max("dt")
+    lo, hi = beats.agg(dt_to_epoch(first) - HALF_DAY, dt_to_epoch(shift_dt(last, 1)) - 1).first()  # two numbers
+    spans = workload.filter((c("start_dt") < hi) & (c("end_dt") > lo)).select(
+        "roomid",
+        F.greatest("start_dt", F.lit(lo)).alias("start_dt"),
+        F.least("end_dt", F.lit(hi)).alias("end_dt"),
+        c("dateline").alias("reported"),
+    )
+    dated = beats.withColumn("day_start", dt_to_epoch(c("dt"))).withColumn(
+        "day_end", dt_to_epoch(shift_dt(c("dt"), 1)) - 1
+    )
+    paired = interval_join(dated, spans, ["roomid"], "beat", "start_dt", "end_dt").filter(
         (c("start_dt") < c("day_end")) & (c("end_dt") > c("day_start") - HALF_DAY)
     )
     today = (c("beat") > c("day_start")) & (c("reported") > c("day_start")) & (c("visit") > c("day_start"))
@@ -134,10 +155,11 @@ def device_facts(
     paid = recharge.filter(
         (c("rechange_status") == codes.PAY_SUCCESS) & (c("rechange_channel") < codes.COIN_FROM)
     )
+    beats = cut_lineage(device_beats(devices, heartbeats))
     facts = (
         devices.join(requested.drop("row"), DEVICE, "left")
-        .join(beat_counts(devices, heartbeats), DEVICE, "left")
-        .join(on_air_facts(devices, heartbeats, workload), DEVICE, "left")
+        .join(beat_counts(beats), DEVICE, "left")
+        .join(on_air_facts(beats, workload), DEVICE, "left")
         .join(active_devices(registered, paid, "recharge"), DEVICE, "left")
         .join(active_devices(registered, spend.filter(c("consume_coin") > 0), "consume"), DEVICE, "left")
         .join(devices_per_ip(seen), ["dt", "ipaddr"], "left")
@@ -366,7 +388,7 @@ def channel_quality(
 
     ``quota`` and ``previous`` are described at :func:`settle`, ``history`` at
     :func:`device_facts`. New devices, request facts and channel counts are read several
-    times and computed once.
+    times and computed once, as are the beats of new devices.
     """
     devices = cut_lineage(new_devices(first_visit))
     requested = cut_lineage(request_facts(requests))

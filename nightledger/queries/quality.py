@@ -8,6 +8,7 @@ from nightledger.plans import channel_quality as plan
 from nightledger.queries.channels import PATTERN_COLS, PRICES, prices
 from nightledger.queries.registry import out, query
 from nightledger.queries.standins import ctes, customers, events, named, table
+from nightledger.session import cut_lineage
 
 SOURCES = ("signup_log", "request_log", "heartbeat", "on_air", "recharge", "spend_log")
 
@@ -160,9 +161,8 @@ def channel_device_facts(spark, sf_dir):
     out(FACTS, "FROM air", "dt heartbeat_active room_num", "", "idfa"),
 )
 def interval_three_way(spark, sf_dir):
-    return plan.on_air_facts(
-        _devices(spark, sf_dir), named(spark, sf_dir, "heartbeat"), named(spark, sf_dir, "on_air")
-    )
+    beats = cut_lineage(plan.device_beats(_devices(spark, sf_dir), named(spark, sf_dir, "heartbeat")))
+    return plan.on_air_facts(beats, named(spark, sf_dir, "on_air"))
 
 
 @query("login_baselines", out(COUNTS, "FROM base", "dt class", "baseline"))

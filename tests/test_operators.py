@@ -167,6 +167,52 @@ def test_interval_join_includes_both_ends(spark, rows):
     assert rows(got, "t", "a") == [(100, 100), (4000, 100), (4000, 3999), (7300, 100)]
 
 
+@pytest.mark.parametrize("slot", [1, 10, 3600])
+def test_dyadic_cover_has_each_slot_once(spark, slot):
+    rng = random.Random(6)
+    spans = [(0, 0), (-7, 5), (0, slot * 1024 - 1), (slot, slot * 9), (-slot * 700, slot * 900)]
+    spans += [(a, a + rng.randrange(0, slot * 3000)) for a in (rng.randrange(-(10**5), 10**9) for _ in range(60))]
+    df = spark.createDataFrame(spans, "a bigint, b bigint")
+    for row in df.select("a", "b", joins.dyadic_cover(F.col("a"), F.col("b"), slot).alias("cover")).collect():
+        covered = sorted(s for c in row.cover for s in range(c.block << c.level, (c.block + 1) << c.level))
+        assert covered == list(range(row.a // slot, row.b // slot + 1))
+        assert len(row.cover) <= max(joins.SHORT_INTERVAL, 2 * len(covered).bit_length())
+
+
+def test_a_ten_year_interval_has_few_rows(spark):
+    df = spark.createDataFrame([(1262304000 + 17, 1577923200 + 99)], "a bigint, b bigint")
+    assert df.select(F.size(joins.dyadic_cover(F.col("a"), F.col("b"), 3600))).first()[0] < 60
+    assert df.select(F.size(joins.dyadic_cover(F.col("a"), F.col("b"), 1))).first()[0] < 60
+
+
+@pytest.mark.parametrize("slot", [1, 16, 3600])
+def test_interval_join_equals_brute_force(spark, rows, slot):
+    keys, rng = hot(300, 7)
+    points = [(i, k, rng.randrange(-500, 40000)) for i, k in enumerate(keys)] + [(999, None, 5), (998, 0, None)]
+    spans = []
+    for j in range(120):
+        a = rng.randrange(-600, 40000)
+        spans.append((j, rng.choice(keys), a, a + int(rng.paretovariate(0.4)) % 50000))
+    spans += [(200, 0, -(10**9), 10**9), (201, 0, 10, 9), (202, 1, None, 50), (203, 1, 50, None), (0, 2, 7, 7), (0, 2, 7, 7)]
+    got = joins.interval_join(
+        spark.createDataFrame(points, "i int, k int, t bigint"), spark.createDataFrame(spans, "j int, k int, a bigint, b bigint"),
+        ["k"], "t", "a", "b", slot,
+    )
+    assert set(got.columns) == {"i", "j", "k", "t", "a", "b"}
+    whole = [s for s in spans if None not in s]
+    want = [(i, j) for i, k, t in points if k is not None and t is not None for j, sk, a, b in whole if sk == k and a <= t <= b]
+    assert rows(got, "i", "j") == sorted(want, key=repr)
+
+
+def test_short_intervals_do_not_repeat_points(spark):
+    """Only levels that occur are asked for."""
+    points = spark.range(50).select(F.lit("r").alias("room"), F.col("id").alias("t"))
+    spans = spark.createDataFrame([("r", 3, 9)], "room string, a bigint, b bigint")
+    joined = joins.interval_join(points, spans, ["room"], "t", "a", "b")
+    assert joined.count() == 7
+    assert "collect_set(_level" in joined._jdf.queryExecution().executedPlan().toString()
+
+
 def like(value, pattern):
     return re.fullmatch(re.escape(pattern).replace("%", ".*").replace("_", "."), value, re.S) is not None
 
