@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nightledger.functions.dates import slot_start
+from nightledger.session import cut_lineage
+
 
 def first_row(cols: Sequence[str], order: Sequence[str]) -> Column:
     """Aggregate: ``cols`` of the smallest row by ``order``, as the fields of one struct.
@@ -95,20 +97,60 @@ def drop_later_duplicates(df: DataFrame, keys: Sequence[str], order: str, counte
     )
 
 
+def dealt_by_range(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Rows in parts of about equal size by (keys, order), numbered in that order in ``_part``.
+
+    A part is a range of rows, so a busy key spreads over several. Which rows make a part is decided by sampling; the
+    frame is computed once, so that all readers see the same parts.
+    """
+    ranged = df.repartitionByRange(*keys, *order).withColumn("_part", F.spark_partition_id())
+    return cut_lineage(ranged)
+
+
+def following(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str], steps: int = 2) -> DataFrame:
+    """``cols`` of the next rows of the same keys in ``next_1`` to ``next_<steps>``; NULL beyond the end of a key.
+
+    Rows must be unique per (keys, order). Windows run inside the parts of :func:`dealt_by_range`, so no key is handled
+    in one piece. What a part lacks at its end are the first rows of the parts after it: as many rows as steps of
+    each part go through one small window and are carried back to the part before.
+    """
+    dealt = dealt_by_range(df, keys, order)
+    key, row = F.struct(*keys), F.struct(*cols)
+    head = Window.partitionBy("_part").orderBy(*keys, *order)
+    heads = dealt.select("_part", *dict.fromkeys([*keys, *order, *cols]), F.row_number().over(head).alias("_n"))
+    heads = heads.filter(F.col("_n") <= steps).select("_part", "_n", F.struct(key.alias("key"), row.alias("row")).alias("_h"))
+    ahead = Window.orderBy("_part", "_n")
+    carried = [F.lead("_h", i).over(ahead).alias(f"_c{i}") for i in range(1, steps + 1)]
+    last = F.max_by(F.struct(*[f"_c{i}" for i in range(1, steps + 1)]), "_n")
+    carry = heads.select("_part", "_n", *carried).groupBy("_part").agg(last.alias("_carry"))
+
+    inside = Window.partitionBy("_part", *keys).orderBy(*order)
+    local = [F.lead(row, i).over(inside).alias(f"_l{i}") for i in range(1, steps + 1)]
+    placed = dealt.repartitionByRange("_part").select("*", *local).join(carry, "_part", "left")
+
+    def own(i: int) -> Column:
+        return F.when(F.col(f"_carry._c{i}.key").eqNullSafe(key), F.col(f"_carry._c{i}.row"))
+
+    known = F.array(*[F.col(f"_l{i}") for i in range(1, steps + 1)], *[own(i) for i in range(1, steps + 1)])
+    placed = placed.withColumn("_known", F.filter(known, lambda x: x.isNotNull()))
+    nexts = [F.get("_known", i - 1).alias(f"next_{i}") for i in range(1, steps + 1)]
+    return placed.select(*df.columns, *nexts)
+
+
 def consecutive_gaps(df: DataFrame, keys: Sequence[str], time: str, *ties: str) -> DataFrame:
     """Gap to the next row and the gap after that, per key; NULL at the end of a key.
 
-    Rows must be unique per (key, time, ties).
+    Rows must be unique per (key, time, ties). A busy key is spread over tasks, see :func:`following`.
     """
-    w = Window.partitionBy(*keys).orderBy(time, *ties)
-    gapped = df.withColumn("gap", F.lead(time).over(w) - F.col(time))
-    return gapped.withColumn("next_gap", F.lead("gap").over(w))
+    found = following(df, keys, [time, *ties], [time])
+    first, second = F.col(f"next_1.{time}"), F.col(f"next_2.{time}")
+    return found.select(*df.columns, (first - F.col(time)).alias("gap"), (second - first).alias("next_gap"))
 
 
 def mark_last(df: DataFrame, keys: Sequence[str], time: str) -> DataFrame:
-    """1 on the last row of each key; rows unique per (key, time)."""
-    w = Window.partitionBy(*keys).orderBy(time)
-    return df.withColumn("is_last", F.lead(time).over(w).isNull().cast("int"))
+    """1 on the last row of each key; rows unique per (key, time). A busy key is spread over tasks."""
+    found = following(df, keys, [time], [time], 1)
+    return found.select(*df.columns, F.col("next_1").isNull().cast("int").alias("is_last"))
 
 
 def rolling_count(df: DataFrame, key: str, day: str, days: int, name: str) -> DataFrame:

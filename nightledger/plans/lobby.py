@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.functions import codes
-from nightledger.operators.windows import consecutive_gaps, first_row, keep_first
+from nightledger.operators.windows import first_row, following, keep_first
 
 KEYS = ["dt", "idfa"]
 
@@ -25,12 +25,18 @@ def in_band(gap: Column, low: int, high: int) -> Column:
 
 
 def steady_requests(requests: DataFrame, low: int = 90, high: int = 100) -> DataFrame:
-    """Requests whose next two gaps both fall in the band; the last two of a device never do.
+    """Requests whose next two gaps both fall in the band, with ``gap`` and ``next_gap``.
 
-    A device is its ``idfa``. Requests of its network addresses count as one sequence, by time and id.
+    The requests of a day are one sequence by address and time. A gap counts between neighbours of one device (``idfa``),
+    so another device on the address breaks the pace, and a device is steady on one address whatever it sends from
+    others. Requests without a device are steady with nothing.
     """
-    gaps = consecutive_gaps(requests, KEYS, "dateline", "id")
-    return gaps.filter(in_band(F.col("gap"), low, high) & in_band(F.col("next_gap"), low, high))
+    found = following(requests, ["dt"], ["macaddr", "dateline"], ["idfa", "dateline"])
+    same = (F.col("next_1.idfa") == F.col("idfa")) & (F.col("next_2.idfa") == F.col("idfa"))
+    gap = F.col("next_1.dateline") - F.col("dateline")
+    next_gap = F.col("next_2.dateline") - F.col("next_1.dateline")
+    steady = found.filter(same & in_band(gap, low, high) & in_band(next_gap, low, high))
+    return steady.select(*requests.columns, gap.alias("gap"), next_gap.alias("next_gap"))
 
 
 def lobby_stay(requests: DataFrame, hosts: DataFrame, low: int = 90, high: int = 100) -> DataFrame:

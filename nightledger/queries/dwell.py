@@ -115,10 +115,11 @@ def dwell_by_user(spark, sf_dir):
 LOBBY = ctes("request_month", "host_list") + [
     """asked AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY dt, macaddr, dateline ORDER BY id) AS rn
         FROM request_month WHERE action = 'serv_getnotif' AND terminal IN (3, 4)) WHERE rn = 1)""",
-    """gap1 AS (SELECT *, lead(dateline) OVER (PARTITION BY dt, idfa ORDER BY dateline, id) - dateline AS gap
-        FROM asked)""",
-    "gap2 AS (SELECT *, lead(gap) OVER (PARTITION BY dt, idfa ORDER BY dateline, id) AS next_gap FROM gap1)",
-    "steady AS (SELECT * FROM gap2 WHERE gap BETWEEN 3600 AND 86400 AND next_gap BETWEEN 3600 AND 86400)",
+    """paced AS (SELECT *, lead(dateline) OVER w - dateline AS gap, lead(dateline, 2) OVER w - lead(dateline) OVER w AS next_gap,
+        lead(idfa) OVER w AS idfa1, lead(idfa, 2) OVER w AS idfa2 FROM asked
+        WINDOW w AS (PARTITION BY dt ORDER BY macaddr NULLS FIRST, dateline))""",
+    """steady AS (SELECT * FROM paced WHERE gap BETWEEN 3600 AND 86400 AND next_gap BETWEEN 3600 AND 86400
+        AND idfa = idfa1 AND idfa = idfa2)""",
 ]
 
 

@@ -210,7 +210,9 @@ NAMED = {
         "ev",
         "TRUE",
         """id, dt - dt % 100 + 1 AS dt, uid, dateline,
-        CASE WHEN k % 3 = 0 THEN concat(idfa, '-', CAST(id % 2 AS STRING)) ELSE idfa END AS macaddr, idfa, channelid, terminal,
+        CASE WHEN k % 3 = 0 THEN concat(idfa, '-', CAST(id % 2 AS STRING))
+            WHEN k % 7 = 1 THEN concat('shared-', CAST(k % 9 AS STRING)) ELSE idfa END AS macaddr,
+        CASE WHEN k % 11 = 2 THEN NULL ELSE idfa END AS idfa, channelid, terminal,
         CASE event_type WHEN 'signup' THEN 'serv_loginqq' WHEN 'purchase' THEN 'serv_loginweixin'
             WHEN 'error' THEN 'serv_other' ELSE 'serv_getnotif' END AS action""",
     ),

@@ -55,6 +55,49 @@ def test_consecutive_gaps_and_last_mark(spark, rows):
     assert rows(windows.mark_last(df, ["k"], "t"), "k", "t", "is_last")[2] == ("a", 400, 1)
 
 
+@pytest.mark.parametrize("partitions", ["1", "3", "16"])
+@pytest.mark.parametrize("steps", [1, 2, 3])
+def test_following_rows_cross_parts(spark, rows, partitions, steps):
+    keys, rng = hot(300, 8)
+    times = rng.sample(range(5000), len(keys))
+    data = [(k if k != 3 else None, t, f"c{t}") for k, t in zip(keys, times, strict=True)]
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.createDataFrame(data, "k int, t bigint, c string")
+        got = windows.following(df, ["k"], ["t"], ["t", "c"], steps).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    want = []
+    for k, t, c in data:
+        later = sorted((u, d) for j, u, d in data if j == k and u > t)[:steps]
+        want.append((k, t, c, *later, *[None] * (steps - len(later))))
+    assert sorted((tuple(x if not isinstance(x, tuple) else tuple(x) for x in r) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_a_busy_key_is_spread_over_parts(spark):
+    df = spark.range(90000).selectExpr("IF(id % 3 = 0, -1, id) AS k", "id AS t")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = sorted(r["count"] for r in windows.dealt_by_range(df, ["k"], ["t"]).groupBy("_part").count().collect())
+        gaps = windows.consecutive_gaps(df, ["k"], "t")
+        tasks = sorted(r["count"] for r in gaps.groupBy(F.spark_partition_id()).count().collect())
+        assert gaps.filter("gap = 3 AND k = -1").count() == 29999
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) == 16 and sizes[-1] <= 3 * sizes[8]
+    assert tasks[-1] <= 3 * tasks[len(tasks) // 2]
+
+
+def test_following_of_an_empty_frame(spark):
+    df = spark.createDataFrame([], "k int, t bigint")
+    assert windows.consecutive_gaps(df, ["k"], "t").count() == 0
+    assert windows.mark_last(df, ["k"], "t").columns == ["k", "t", "is_last"]
+
+
 def test_first_k_and_beyond_first_k(spark, rows):
     keys, _ = hot(200, 2)
     df = spark.createDataFrame(list(enumerate(keys)), "id int, k int")

@@ -1,5 +1,6 @@
 """Rules of the reports on small hand-made frames: ties, carry-over, corrected defects."""
 
+import random
 from decimal import Decimal
 
 import pytest
@@ -222,6 +223,42 @@ def test_lobby_needs_two_gaps_in_the_band(spark, rows):
     assert rows(lobby.lobby_stay(log, hosts), "idfa", "special") == [("edge", 2), ("two", 0)]
 
 
+def brute_lobby(log, low, high):
+    """Rows of a day numbered by (address, time); neighbours of one device with two gaps in the band."""
+    first = {}
+    for i, _, t, mac, idfa, *_ in sorted(log, key=lambda r: r[0]):
+        first.setdefault((mac is not None, mac, t), (i, idfa))
+    order = sorted((has, mac or "", t, i, idfa) for (has, mac, t), (i, idfa) in first.items())
+    found = set()
+    for a, b, c in zip(order, order[1:], order[2:], strict=False):
+        if a[4] is not None and a[4] == b[4] == c[4] and low <= b[2] - a[2] <= high and low <= c[2] - b[2] <= high:
+            found.add((a[4], a[3]))
+    return found
+
+
+def test_lobby_addresses_that_interleave(spark, rows):
+    """A device that is steady on two addresses at once is steady; NULL devices and shared addresses are not."""
+    log = [ask(i, "one", t) for i, t in enumerate((0, 95, 190, 285))] + [ask(10 + i, "two", t) for i, t in enumerate((40, 135, 230, 325))]
+    df = frame(spark, S.REQUEST_LOG, log).withColumn("idfa", F.lit("device"))
+    hosts = frame(spark, S.UID_LIST, [], dt=False)
+    assert rows(lobby.lobby_stay(df, hosts), "idfa") == [("device",)]
+    shared = df.withColumn("macaddr", F.lit("m")).withColumn("idfa", F.concat(F.lit("d"), F.col("id") % 2))
+    assert rows(lobby.lobby_stay(shared, hosts), "idfa") == []
+    assert rows(lobby.lobby_stay(df.withColumn("idfa", F.lit(None).cast("string")), hosts), "idfa") == []
+
+
+def test_lobby_equals_brute_force(spark, rows):
+    rng = random.Random(9)
+    log = []
+    for i in range(500):
+        t = 95 * rng.randrange(0, 40) + rng.choice([0, 0, 0, 0, 3, 50])
+        device, mac = rng.choice(["a", "a", "b", None]), rng.choice(["m1", "m2", "m3", "m4", "m5", None])
+        log.append((i, 9, t, mac, device, "c", 3, codes.ACTION_NOTICE, "1.1.1.1", 1))
+    steady = lobby.steady_requests(lobby.notice_requests(frame(spark, S.REQUEST_LOG, log)))
+    want = brute_lobby(log, 90, 100)
+    assert rows(steady, "idfa", "id") == sorted(want, key=repr) and len(want) > 5
+
+
 def coins(spark, data):
     return spark.createDataFrame(
         data, "id int, uid bigint, dateline bigint, consume_coin bigint, consume_type int, consume_type_son int"
