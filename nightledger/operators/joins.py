@@ -6,7 +6,7 @@ shuffles otherwise.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -244,45 +244,61 @@ def within_window_after(
     )
 
 
-def match_patterns(values: DataFrame, patterns: DataFrame, value: str, pattern: str) -> DataFrame:
-    """Distinct values paired with every LIKE pattern they match, without comparing all with all.
+PIECE = 8  # characters of an inner piece that are filed
+
+
+def _filed(pattern: Column) -> Column:
+    """Shape (kind, length) and piece under which a LIKE pattern is filed: a literal text it requires.
 
-    A pattern is filed under a literal piece it requires: its text before the first
-    wildcard, else its text after the last one, else up to three characters of an inner
-    piece. Values are filed under all their prefixes, suffixes and short pieces, joined on
-    equality, and the LIKE test runs on the pairs that meet.
+    The text before the first wildcard (``p``), else the text after the last one (``s``), else the start of its longest
+    inner piece (``i``), which is empty for a pattern of wildcards only.
     """
-    pat = F.col(pattern)
-    before = F.regexp_extract(pat, r"^[^%_\\]*", 0)
-    after = F.regexp_extract(pat, r"[^%_\\]*$", 0)
-    inner = F.regexp_extract(pat, r"[^%_\\]{1,3}", 0)
-    filed = patterns.withColumn(
-        "_key",
-        F.when(before != "", F.concat(F.lit("p"), before))
-        .when(after != "", F.concat(F.lit("s"), after))
-        .otherwise(F.concat(F.lit("i"), inner)),
+    before = F.regexp_extract(pattern, r"^[^%_\\]*", 0)
+    after = F.regexp_extract(pattern, r"[^%_\\]*$", 0)
+    inner = F.array_max(
+        F.transform(F.split(pattern, r"[%_\\]"), lambda x: F.struct(F.length(x).alias("n"), x.alias("piece")))
     )
-    val = F.col(value)
-    n = F.length(val)
-    places = F.when(n > 0, F.sequence(F.lit(1), n)).otherwise(F.array().cast("array<int>"))
 
-    def pieces(mark: str, cut: Callable[[Column], Column]) -> Column:
-        return F.transform(places, lambda i: F.concat(F.lit(mark), cut(i)))
+    def shape(kind: str, piece: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.length(piece).alias("length"), piece.alias("piece"))
+
+    return (
+        F.when(before != "", shape("p", before))
+        .when(after != "", shape("s", after))
+        .otherwise(shape("i", F.substring(inner["piece"], 1, PIECE)))
+    )
 
-    def grams(size: int) -> Column:
-        return pieces("i", lambda i: F.substring(val, i, F.lit(size)))
 
-    keys = F.concat(
-        F.array(F.lit("i")),
-        pieces("p", lambda i: F.substring(val, F.lit(1), i)),
-        pieces("s", lambda i: F.substring(val, i, n)),
-        *[grams(size) for size in (1, 2, 3)],
+def _pieces(value: Column, shape: Column) -> Column:
+    """Hashes of the pieces of a value that have the shape: one of a prefix or suffix, all different inner ones."""
+    n, kind, size = F.length(value), shape["kind"], shape["length"]
+    starts = (
+        F.when(size > n, F.array().cast("array<int>"))
+        .when(kind == "p", F.array(F.lit(1)))
+        .when((kind == "s") | (size == 0), F.array(n - size + 1))
+        .otherwise(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))))
     )
+    return F.array_distinct(F.transform(starts, lambda at: F.xxhash64(kind, F.substring(value, at, size))))
+
+
+def match_patterns(values: DataFrame, patterns: DataFrame, value: str, pattern: str) -> DataFrame:
+    """Distinct values paired with every LIKE pattern they match, without comparing all with all.
+
+    A pattern is filed under a literal piece it requires, see :func:`_filed`. Only the shapes that occur among the
+    patterns are cut from a value: one prefix or suffix for each length, and all places for inner pieces, so a value of n
+    characters has at most n keys for each inner length and one for every other shape. Pieces are joined as
+    hashes and the LIKE test runs on the pairs that meet, so hashes that coincide do no harm. NULL matches nothing.
+    """
+    pat, val = F.col(pattern), F.col(value)
+    filed = patterns.filter(pat.isNotNull()).withColumn("_filed", _filed(pat))
+    shapes = filed.agg(F.collect_set(F.struct("_filed.kind", "_filed.length"))).scalar()  # as many as pattern lengths
+    filed = filed.withColumn("_key", F.xxhash64("_filed.kind", "_filed.piece")).drop("_filed")
     return (
         values.select(value)
         .filter(val.isNotNull())
         .distinct()
-        .withColumn("_key", F.explode(F.array_distinct(keys)))
+        .select(value, F.explode(shapes).alias("_shape"))
+        .select(value, F.explode(_pieces(val, F.col("_shape"))).alias("_key"))
         .join(filed, "_key")
         .filter(F.like(val, pat))
         .drop("_key")

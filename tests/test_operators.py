@@ -272,6 +272,27 @@ def test_pattern_join_equals_brute_force(spark, rows):
     assert fnmatch.fnmatch("ab", "a*") and like("ab", "a%")
 
 
+def test_values_are_cut_by_the_shapes_of_patterns_only(spark):
+    p = spark.createDataFrame([("ab%",), ("cd%",), ("x%",), ("%yz",), ("%mid%x%",), ("_",), ("%longer than eight%",)], "p string")
+    shapes = p.select(joins._filed(F.col("p")).alias("f")).select("f.kind", "f.length").distinct()
+    assert sorted(map(tuple, shapes.collect())) == [("i", 0), ("i", 3), ("i", 8), ("p", 1), ("p", 2), ("s", 2)]
+    long = "".join(random.Random(4).choice("abcdefghij") for _ in range(10_000))
+    cut = shapes.select(F.struct("kind", "length").alias("s")).select(
+        F.size(joins._pieces(F.lit(long), F.col("s"))).alias("long"), F.size(joins._pieces(F.lit(""), F.col("s"))).alias("empty")
+    )
+    sizes = cut.agg(F.sum("long"), F.sum("empty")).first()
+    assert 4 < sizes[0] <= 4 + 2 * len(long)
+    assert sizes[1] == 1
+
+
+def test_patterns_that_are_null_empty_or_repeated(spark, rows):
+    v = spark.createDataFrame([("",), ("a",), (None,), ("a",)], "v string")
+    p = spark.createDataFrame([("",), (None,), ("%",), ("a",), ("a",)], "p string")
+    got = rows(joins.match_patterns(v, p, "v", "p"), "v", "p")
+    assert got == [("", "%"), ("", ""), ("a", "%"), ("a", "a"), ("a", "a")]
+    assert joins.match_patterns(v, p.filter("p = 'q'"), "v", "p").count() == 0
+
+
 def test_pattern_join_with_escaped_wildcard(spark, rows):
     v = spark.createDataFrame([("a_b",), ("axb",), ("50%",), ("50x",)], "v string")
     p = spark.createDataFrame([("a\\_b",), ("%\\%",)], "p string")
