@@ -276,6 +276,16 @@ def first_payments(detail: DataFrame, old: DataFrame | None = None) -> DataFrame
     )
 
 
+def merge_first_payments(rows: DataFrame) -> DataFrame:
+    """One row per user from first payments of any days: the earliest first row and the earliest second part."""
+    ones, twos = ["dt", "type", "dateline", "money", "special"], ["dt2", "type2", "dateline2", "money2"]
+    some = F.col("dt2") != 0
+    merged = rows.groupBy("uid").agg(
+        F.min(F.struct(*ones)).alias("one"), F.min(F.when(some, F.struct(*twos))).alias("two")
+    )
+    return merged.select("uid", "one.*", *[F.coalesce(f"two.{c}", F.lit(0)).cast(rows.schema[c].dataType).alias(c) for c in twos])
+
+
 def daily_income(detail: DataFrame) -> DataFrame:
     """Per day, user and success flag: sums, counts and their split by payment type."""
     failed = F.col("success") == 0

@@ -1,8 +1,9 @@
 """One day of a job from stored logs to stored results.
 
-Every function takes the folder of the tables and the day. Results replace the day's
-partition as a whole, so a rerun leaves the same rows and a failed run can simply be
-repeated. Cumulative tables are written as one snapshot per day.
+Every function takes the folder of the tables and the day. Results are written beside the day's old
+ones and committed, so a rerun leaves the same rows and a failed run leaves the old ones.
+Cumulative tables per user or device are bases and daily deltas (:data:`STATES`): read them with :func:`state`.
+The quota of channels is one small snapshot per day.
 """
 
 from __future__ import annotations
@@ -14,8 +15,59 @@ from nightledger.functions.dates import HALF_DAY, dt_to_epoch, py_shift
 from nightledger.operators.merge import roll
 from nightledger.plans import channel_quality, dwell, first_pay_report, income, lobby, returning, signup, spend
 from nightledger.sources import schemas as S
+from nightledger.sources.runs import replace_day
 from nightledger.sources.scan import read_table, scan, snapshot_before
-from nightledger.sources.sinks import overwrite_day
+from nightledger.sources.state import State, sums
+
+
+FIRST_SPENDS = 2  # spends of a user that are kept in order
+ROLLING_DAYS = 31
+
+
+def _merge_first_payments(rows: DataFrame) -> DataFrame:
+    merged = income.merge_first_payments(rows.withColumnRenamed("first_dt", "dt"))
+    return merged.withColumnRenamed("dt", "first_dt")
+
+
+def _no_income(spark: SparkSession) -> DataFrame:
+    """Payment detail of no payments, for its columns."""
+    logs = [spark.createDataFrame([], f"{s}, dt int") for s in (S.RECHARGE, S.PAY_REQUEST, S.ONLINE_DETAIL, S.LEDGER)]
+    lists = [spark.createDataFrame([], s) for s in (S.REGISTER_LIST, *[S.UID_LIST] * 3, S.ACTIVATION)]
+    return income.income_detail(*logs, *lists)
+
+
+def _first_payments(detail: DataFrame) -> DataFrame:
+    return income.first_payments(detail).withColumnRenamed("dt", "first_dt")
+
+
+def _income_totals(daily: DataFrame) -> DataFrame:
+    """Totals with the first day of each user, whose label stays."""
+    first = daily.groupBy("uid").agg(F.min("dt").alias("first_dt"))
+    return income.income_totals(daily).join(first, "uid")
+
+
+#: Rows that fix the columns of each cumulative table, and how its rows merge.
+STATES = {
+    "income_first": (lambda spark: _first_payments(_no_income(spark)), _merge_first_payments),
+    "income_total": (
+        lambda spark: _income_totals(income.daily_income(_no_income(spark))),
+        lambda rows: sums(rows, ["uid"], {"special": "first_dt"}),
+    ),
+    "first_spends": (
+        lambda spark: spend.first_spends(spark.createDataFrame([], S.SPEND), FIRST_SPENDS),
+        lambda rows: spend.merge_first_spends(rows, FIRST_SPENDS),
+    ),
+    "spend_monitor": (
+        lambda spark: spend.monitor_totals(spark.createDataFrame([], S.SPEND)),
+        lambda rows: sums(rows, ["uid"]),
+    ),
+}
+
+
+def state(spark: SparkSession, root: str, name: str, every: int = 30) -> State:
+    """A cumulative table of :data:`STATES`, a new base every ``every`` days."""
+    like, merge = STATES[name]
+    return State(spark, f"{root}/{name}", like(spark).schema, merge, every)
 
 
 def day_start(spark: SparkSession, dt: int) -> int:
@@ -25,12 +77,19 @@ def day_start(spark: SparkSession, dt: int) -> int:
 
 def _store(df: DataFrame, root: str, name: str, dt: int) -> DataFrame:
     """Write one day of a table and return it as stored, cut off from how it was computed."""
-    overwrite_day(df, f"{root}/{name}", dt)
+    replace_day(df, f"{root}/{name}", dt)
     return scan(df.sparkSession, f"{root}/{name}", df.schema, days=(dt, dt))
 
 
 def income_day(
-    spark: SparkSession, root: str, dt: int, *, tolerance: int = 5, refund_within: int = 3600, mark_agents: bool = True
+    spark: SparkSession,
+    root: str,
+    dt: int,
+    *,
+    tolerance: int = 5,
+    refund_within: int = 3600,
+    mark_agents: bool = True,
+    every: int = 30,
 ) -> None:
     """Payment detail, daily income, first payments and running totals."""
 
@@ -60,13 +119,8 @@ def income_day(
     detail = _store(detail, root, "income_detail", dt)
     daily = _store(income.daily_income(detail), root, "income_daily", dt)
 
-    first = income.first_payments(detail).withColumnRenamed("dt", "first_dt")
-    old = snapshot_before(spark, f"{root}/income_first", first.schema, dt).withColumnRenamed("first_dt", "dt")
-    _store(income.first_payments(detail, old).withColumnRenamed("dt", "first_dt"), root, "income_first", dt)
-
-    totals = income.income_totals(daily)
-    old = snapshot_before(spark, f"{root}/income_total", totals.schema, dt)
-    _store(income.income_totals(daily, old), root, "income_total", dt)
+    state(spark, root, "income_first", every).write(_first_payments(detail), dt)
+    state(spark, root, "income_total", every).write(_income_totals(daily), dt)
 
 
 def dwell_day(spark: SparkSession, root: str, dt: int, *, cap: int = dwell.CAP) -> None:
@@ -82,16 +136,11 @@ def dwell_day(spark: SparkSession, root: str, dt: int, *, cap: int = dwell.CAP)
         _store(dwell.dwell_by_device(stored), root, f"{name}_by_device", dt)
 
 
-def spend_day(spark: SparkSession, root: str, dt: int) -> None:
+def spend_day(spark: SparkSession, root: str, dt: int, every: int = 30) -> None:
     """First and second spend and the monitor totals, from the spend fact of the day."""
     fact = scan(spark, f"{root}/spend", S.SPEND, days=(dt, dt))
-    for n, name in ((1, "first_spend"), (2, "second_spend")):
-        schema = spend.nth_spend(fact, n).schema
-        old = snapshot_before(spark, f"{root}/{name}", schema, dt)
-        _store(spend.nth_spend(fact, n, old), root, name, dt)
-    schema = spend.monitor_totals(fact).schema
-    old = snapshot_before(spark, f"{root}/spend_monitor", schema, dt)
-    _store(spend.monitor_totals(fact, old), root, "spend_monitor", dt)
+    state(spark, root, "first_spends", every).write(spend.first_spends(fact, FIRST_SPENDS), dt)
+    state(spark, root, "spend_monitor", every).write(spend.monitor_totals(fact), dt)
 
 
 def quality_day(spark: SparkSession, root: str, dt: int) -> None:
@@ -106,8 +155,9 @@ def quality_day(spark: SparkSession, root: str, dt: int) -> None:
 
     visits = day("first_visit", S.FIRST_VISIT)
     devices = channel_quality.new_devices(visits).withColumnRenamed("dt", "visit_dt")
-    rolling = snapshot_before(spark, f"{root}/first_visit_rolling", devices.schema, dt)
-    history = roll(rolling, rolling.filter(F.lit(False)), start).withColumnRenamed("visit_dt", "dt")
+    month = (py_shift(dt, -ROLLING_DAYS), py_shift(dt, -1))
+    rolling = scan(spark, f"{root}/first_visit_new", devices.schema, days=month).drop("dt")
+    history = roll(rolling, rolling.filter(F.lit(False)), start, ROLLING_DAYS).withColumnRenamed("visit_dt", "dt")
     quota = snapshot_before(spark, f"{root}/channel_quota", S.QUOTA, dt)
     previous = scan(
         spark, f"{root}/channel_result", "channel_id string, final_num decimal(20,4)", days=(py_shift(dt, -1),) * 2
@@ -128,7 +178,7 @@ def quality_day(spark: SparkSession, root: str, dt: int) -> None:
         history,
     )
     stored = _store(result, root, "channel_result", dt)
-    _store(roll(rolling, devices, start), root, "first_visit_rolling", dt)
+    _store(devices.filter(F.col("dateline") >= start), root, "first_visit_new", dt)
     _store(channel_quality.channel_totals(stored, quota), root, "channel_quota", dt)
 
 

@@ -187,12 +187,43 @@ def monitor_totals(fact: DataFrame, old: DataFrame | None = None) -> DataFrame:
 SPEND_COLS = ["dateline", "consume_coin", "consume_type", "consume_type_son"]
 
 
+def first_spends(fact: DataFrame, n: int, skip_uid: int = codes.SYSTEM_UID) -> DataFrame:
+    """uid, its first ``n`` spends by time and id as a sorted array, and how many spends there are.
+
+    A state that merges, see :func:`merge_first_spends`: no more than ``n`` rows of a user leave a task.
+    """
+    spends = fact.filter((F.col("consume_coin") != 0) & (F.col("uid") != skip_uid))
+    counts = spends.groupBy("uid").agg(F.count(F.lit(1)).alias("times"))
+    spend = F.struct("dateline", "id", *SPEND_COLS[1:])
+    early = (
+        first_k(spends.select("uid", "id", *SPEND_COLS), ["uid"], ["dateline", "id"], n)
+        .groupBy("uid")
+        .agg(F.array_sort(F.collect_list(spend)).alias("firsts"))
+    )
+    return early.join(counts, "uid").select("uid", "firsts", "times")
+
+
+def merge_first_spends(rows: DataFrame, n: int) -> DataFrame:
+    """One row per user from states of any days, in any order: late spends take their place."""
+    merged = rows.groupBy("uid").agg(F.flatten(F.collect_list("firsts")).alias("all"), F.sum("times").alias("times"))
+    return merged.select("uid", F.slice(F.array_sort("all"), 1, n).alias("firsts"), "times")
+
+
+def nth_of(state: DataFrame, n: int) -> DataFrame:
+    """Each user's ``n``-th spend, the last one so far if fewer, and how many there were."""
+    spend = F.get("firsts", F.least(F.lit(n), F.size("firsts")) - 1)
+    return state.select("uid", *[spend[c].alias(c) for c in SPEND_COLS], "times")
+
+
 def nth_spend(fact: DataFrame, n: int, old: DataFrame | None = None, skip_uid: int = codes.SYSTEM_UID) -> DataFrame:
     """Each user's ``n``-th spend (the last one so far if fewer) and how many there were.
 
-    ``n`` is 1 or 2. ``old`` is the table so far; its row stands for the spends already
-    counted, so new spends continue the numbering.
+    ``old`` is the table so far, for ``n`` of 1 or 2; its row stands for the spends already counted, so new spends
+    continue the numbering. A table of one row per user cannot do so beyond the second spend:
+    :func:`first_spends` is a state for any ``n``.
     """
+    if old is None:
+        return nth_of(first_spends(fact, n, skip_uid), n)
     if n not in (1, 2):
         raise ValueError("the table so far cannot continue a numbering beyond the second spend")
     spends = fact.filter((F.col("consume_coin") != 0) & (F.col("uid") != skip_uid))
@@ -204,8 +235,6 @@ def nth_spend(fact: DataFrame, n: int, old: DataFrame | None = None, skip_uid: i
         .agg(F.min_by(row, "rank").alias("first"), F.max_by(row, "rank").alias("nth"))
     )
     new = counts.join(early, "uid")
-    if old is None:
-        return new.select("uid", "nth.*", "times")
     state = old.select("uid", F.col("times").alias("had"), F.struct(*SPEND_COLS).alias("was"))
     had = F.coalesce("had", F.lit(0))
     pick = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructType
 
 from nightledger.functions.dates import epoch_to_dt
-
+from nightledger.sources.runs import commits, newest, read_runs
 
 Schema = StructType | str
 
@@ -44,9 +44,18 @@ def scan(
     """Rows of the closed day range and closed epoch range.
 
     Either bound becomes a partition filter on ``dt``, so only the days asked for are
-    listed and read; days without a partition contribute no rows.
+    listed and read; days without a partition contribute no rows. Of a table whose days are committed,
+    see :mod:`nightledger.sources.runs`, the newest committed run of each day is read.
     """
-    return in_range(read_table(spark, path, with_dt(schema)), days=days, seconds=seconds, time=time)
+    made = commits(spark, path)
+    if made is None:
+        rows = read_table(spark, path, with_dt(schema))
+    else:
+        if days is not None:
+            made = made.filter(F.col("dt").between(*days))
+        kind = schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+        rows = read_runs(spark, path, kind, [r.run for r in newest(made).collect()])  # one row per day
+    return in_range(rows, days=days, seconds=seconds, time=time)
 
 
 def in_range(
@@ -94,7 +103,13 @@ def snapshot_before(spark: SparkSession, path: str, schema: Schema, dt: int) ->
 
 
 def stored_days(spark: SparkSession, path: str) -> list[int]:
-    """Days that have a partition, from the names of the folders; no data file is opened."""
+    """Days that are committed, or have a partition in a table without commits.
+
+    The latter are read from the names of the folders, through the JVM of a classic session.
+    """
+    made = commits(spark, path)
+    if made is not None:
+        return sorted(r.dt for r in made.select("dt").distinct().collect())
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     if not files.exists(folder):

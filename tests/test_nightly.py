@@ -1,5 +1,6 @@
 """Stored tables: pruned scans, write modes, reruns, and days one by one against days at once."""
 
+import random
 from decimal import Decimal
 
 import pytest
@@ -10,9 +11,11 @@ from nightledger.functions.codes import SIGNUP_MIN_UID
 from nightledger.plans import channel_quality, dwell, first_pay_report, income, lobby, nightly, returning, signup, spend
 from nightledger.queries import quality as quality_queries
 from nightledger.queries.standins import named
+from nightledger.sources import runs
 from nightledger.sources import schemas as S
-from nightledger.sources.scan import read_table, scan, scan_month, scan_year, snapshot_before
+from nightledger.sources.scan import read_table, scan, scan_month, scan_year, snapshot_before, stored_days
 from nightledger.sources.sinks import append_day, overwrite_day, overwrite_days
+from nightledger.sources.state import State, sums
 
 DAYS = (20240101, 20240102, 20240103)
 
@@ -64,6 +67,75 @@ def test_write_modes(spark, rows, tmp_path):
     assert rows(snapshot_before(spark, path, "v int", 20160103)) == [(7,)]
 
 
+def test_a_failed_run_leaves_the_day(spark, rows, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    one, two = (spark.createDataFrame([(i,)], "v int") for i in (1, 2))
+    runs.replace_day(one, path, 20160101)
+    runs.replace_day(one, path, 20160102)
+    day = lambda: rows(scan(spark, path, "v int"))
+    # Killed while the rows are written.
+    with pytest.raises(Exception, match="lost"):
+        runs.replace_day(two.withColumn("v", F.raise_error(F.lit("lost")).cast("int")), path, 20160102)
+    assert day() == [(1, 20160101), (1, 20160102)]
+    # Killed between the rows and the commit.
+    with monkeypatch.context() as patch:
+        patch.setattr(runs, "commit", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            runs.replace_day(two, path, 20160102)
+    assert day() == [(1, 20160101), (1, 20160102)]
+    assert rows(snapshot_before(spark, path, "v int", 20160103)) == [(1,)]
+    reader = scan(spark, path, "v int", days=(20160102, 20160102))
+    runs.replace_day(two, path, 20160102)
+    assert rows(reader) == [(1, 20160102)]  # a reader that has started keeps its run
+    assert day() == [(1, 20160101), (2, 20160102)]
+    runs.replace_day(two.filter("v > 5"), path, 20160101)
+    assert day() == [(2, 20160102)] and stored_days(spark, path) == [20160101, 20160102]
+    assert runs.superseded(spark, path).count() == 2
+    plan = scan(spark, path, "v int", days=(20160102, 20160102))._jdf.queryExecution().executedPlan().toString()
+    assert "run" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_state_days_in_any_order_equal_a_recomputation(spark, rows, tmp_path):
+    rng = random.Random(11)
+    days = [20160101 + d for d in range(9)]
+    table = State(spark, str(tmp_path / "s"), spark.createDataFrame([], "k int, n bigint, tag string, first_dt int").schema,
+                  lambda df: sums(df, ["k"], {"tag": "first_dt"}), every=3)
+    assert table.at(days[-1]).count() == 0
+    truth = {}
+    order = [*days[:7], days[2], days[8], days[7], days[0], days[5]]
+    for step, dt in enumerate(order):
+        data = [(k, rng.randrange(100), f"{step}-{k}", dt) for k in rng.sample(range(6), 3)]
+        truth[dt] = data
+        table.write(spark.createDataFrame(data, "k int, n bigint, tag string, first_dt int"), dt)
+        for asked in (dt, days[-1], days[3]):
+            want = {}
+            for day in sorted(d for d in truth if d <= asked):
+                for k, n, tag, first in truth[day]:
+                    old = want.get(k)
+                    want[k] = (k, n + old[1], old[2], old[3]) if old else (k, n, tag, first)
+            assert rows(table.at(asked)) == sorted(want.values(), key=repr)
+    assert runs.commits(spark, table.base).count() >= 2
+    bytes_of = lambda d: sum(f.stat().st_size for f in (tmp_path / "s" / "delta" / f"dt={d}").rglob("*.parquet"))
+    assert bytes_of(days[8]) < 4 * bytes_of(days[7])
+
+
+def test_first_spends_day_by_day_equal_all_at_once(spark, rows):
+    rng = random.Random(12)
+    data = [(i, rng.randrange(8), 0, rng.randrange(50), rng.randrange(3), 1, 2, 0, 0, 0, 0, 0) for i in range(200)]
+    fact = spark.createDataFrame(data, S.SPEND)
+    for n in (1, 2, 5):
+        parts = [spend.first_spends(fact.filter(F.col("id") % 7 == d), n) for d in (3, 0, 6, 1, 5, 2, 4)]
+        state = parts[0]
+        for part in parts[1:]:
+            state = spend.merge_first_spends(state.unionByName(part), n)
+        want = []
+        for uid in range(8):
+            mine = sorted((t, i, c, k, s) for i, u, _, t, c, k, s, *_ in data if u == uid and c)
+            t, _, c, k, s = mine[min(n, len(mine)) - 1]
+            want.append((uid, t, c, k, s, len(mine)))
+        assert rows(spend.nth_of(state, n)) == sorted(want, key=repr) == rows(spend.nth_spend(fact, n))
+
+
 @pytest.fixture(scope="module")
 def root(spark, tmp_path_factory):
     """Three days of every log as stored tables."""
@@ -132,17 +204,19 @@ def test_income_days_rerun_and_all_at_once(spark, rows, root):
     assert rows(whole.select(*sorted(whole.columns))) == rows(day_by_day.select(*sorted(whole.columns)))
 
     firsts = income.first_payments(whole)
-    last = (DAYS[-1], DAYS[-1])
-    got = stored(spark, root, "income_first", firsts.withColumnRenamed("dt", "first_dt").schema, last)
-    assert rows(got.drop("dt").withColumnRenamed("first_dt", "dt"), *firsts.columns) == rows(firsts)
+    got = nightly.state(spark, root, "income_first").at(DAYS[-1])
+    assert rows(got.withColumnRenamed("first_dt", "dt"), *firsts.columns) == rows(firsts)
 
     totals = income.income_totals(income.daily_income(whole))
-    got = stored(spark, root, "income_total", totals.schema, last).drop("dt")
-    assert rows(got, *totals.columns) == rows(totals) != []
+    total = nightly.state(spark, root, "income_total")
+    assert rows(total.at(DAYS[-1]), *totals.columns) == rows(totals) != []
 
-    before = rows(got, *totals.columns)
-    nightly.income_day(spark, root, DAYS[-1], tolerance=7200, refund_within=3600)
-    assert rows(stored(spark, root, "income_total", totals.schema, last).drop("dt"), *totals.columns) == before
+    # Reruns in any order, with new bases in between, leave the same table.
+    for dt in (DAYS[-1], DAYS[0], DAYS[1]):
+        nightly.income_day(spark, root, dt, tolerance=7200, refund_within=3600, every=2)
+        assert rows(total.at(DAYS[-1]), *totals.columns) == rows(totals)
+        got = nightly.state(spark, root, "income_first").at(DAYS[-1])
+        assert rows(got.withColumnRenamed("first_dt", "dt"), *firsts.columns) == rows(firsts)
 
 
 def test_dwell_and_spend_days(spark, rows, root):
@@ -156,11 +230,12 @@ def test_dwell_and_spend_days(spark, rows, root):
     devices = dwell.dwell_by_device(whole)
     assert rows(stored(spark, root, "room_time_soft_by_device", devices.schema), *devices.columns) == rows(devices)
     fact = stored(spark, root, "spend", S.SPEND)
-    for n, name in ((1, "first_spend"), (2, "second_spend")):
+    for n in (1, 2):
         want = spend.nth_spend(fact, n)
-        assert rows(stored(spark, root, name, want.schema, (DAYS[-1],) * 2).drop("dt"), *want.columns) == rows(want)
+        got = spend.nth_of(nightly.state(spark, root, "first_spends").at(DAYS[-1]), n)
+        assert rows(got, *want.columns) == rows(want) != []
     money = spend.monitor_totals(fact)
-    assert rows(stored(spark, root, "spend_monitor", money.schema, (DAYS[-1],) * 2).drop("dt")) == rows(money) != []
+    assert rows(nightly.state(spark, root, "spend_monitor").at(DAYS[-1])) == rows(money) != []
 
 
 def test_quality_days_equal_all_days_at_once(spark, rows, root):
