@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nightledger.llm.frames import cut_lineage
+from nightledger.llm.frames import Carried, cut_lineage
 from nightledger.llm.words import ALNUM, Words, buffers, slabs
 
 WINDOW = 13
@@ -147,10 +147,9 @@ def benchmark_matches(
     items without words match nothing; an item without id has the id ''; repeated rows are judged each.
     """
     spark = docs.sparkSession
-    rows = docs.drop("n_words", "matches")
-    names = rows.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    out = rows.withColumns({"n_words": F.lit(0).cast("long"), "matches": F.array().cast(MATCH)})
+    carried = Carried(docs, "text")
+    out = carried.work.withColumns({"n_words": F.lit(0).cast("long"), "matches": F.array().cast(MATCH)})
+    schema = out.schema
 
     def searched(shared: Broadcast) -> DataFrame:
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,12 +158,12 @@ def benchmark_matches(
                     words = Words(data, offsets, ALNUM, lower=True)
                     old = batch.column("matches").slice(lo, hi - lo)
                     yield pa.RecordBatch.from_arrays(
-                        [batch.column(c).slice(lo, hi - lo) for c in names]
+                        [batch.column(c).slice(lo, hi - lo) for c in ("row", "text")]
                         + [pa.array(words.counts, pa.int64()), _appended(old, shared.value, words)],
-                        names=[*names, "n_words", "matches"],
+                        names=schema.names,
                     )
 
-        return out.mapInArrow(scan, f"{schema}, n_words long, matches {MATCH}")
+        return out.mapInArrow(scan, schema)
 
     for block, last in _blocks(benchmark, window, block_bytes):
         shared = spark.sparkContext.broadcast(block)
@@ -173,7 +172,7 @@ def benchmark_matches(
         if not last:
             out = cut_lineage(out)
             shared.destroy()
-    return out
+    return carried.back(out, {"n_words": F.col("n_words"), "matches": F.col("matches")})
 
 
 def _appended(old: pa.ListArray, block: Block, words: Words) -> pa.ListArray:
@@ -203,8 +202,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, *
     A word is hit if a match covers it; a document is contaminated if it has hit words and they are at
     least one twentieth of its words. Columns of ``docs`` with one of these names are replaced.
     """
-    added = ["n_hit", "n_items", "items_sha256", "contaminated"]
-    found = benchmark_matches(docs.drop(*added), benchmark, window, **options)
+    carried = Carried(docs, "text")
+    found = benchmark_matches(carried.work, benchmark, window, **options)
     spans = F.array_sort(
         F.transform("matches", lambda m: F.struct(m.doc_start.alias("lo"), (m.doc_start + m.n_words).alias("hi")))
     )
@@ -215,18 +214,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, *
 
     start = F.struct(F.lit(0).cast("long").alias("hit"), F.lit(0).alias("hi"))
     items = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m.item_id)))
-    return (
-        found.withColumn("n_hit", F.aggregate(spans, start, cover, lambda s: s.hit))
-        .withColumn("n_items", F.size(items).cast("long"))
-        .withColumn("items_sha256", F.sha2(F.concat_ws(",", items), 256))
-        .withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
-        .drop("matches")
+    hit = found.withColumn("n_hit", F.aggregate(spans, start, cover, lambda s: s.hit))
+    contaminated = (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words"))
+    return carried.back(
+        hit,
+        {
+            "n_words": F.col("n_words"),
+            "n_hit": F.col("n_hit"),
+            "n_items": F.size(items).cast("long"),
+            "items_sha256": F.sha2(F.concat_ws(",", items), 256),
+            "contaminated": contaminated,
+        },
     )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options: int) -> DataFrame:
-    """``docs`` without contaminated documents, with its own columns only."""
-    rest = [c for c in docs.columns if c != "text"]
-    work = docs.select(F.struct(F.lit(0).alias("_"), *rest).alias("row"), "text")
-    clean = contamination(work, benchmark, **options).where(~F.col("contaminated"))
-    return clean.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+    """``docs`` without contaminated documents, with its own columns only, whatever they are called."""
+    carried = Carried(docs, "text")
+    return carried.back(contamination(carried.work, benchmark, **options).where(~F.col("contaminated")))

@@ -29,11 +29,14 @@ class Carried:
 
     ``work`` has the columns asked for by their own names, and a struct ``row`` with all others under positional
     names, whatever they are called: names with dots, blanks or hyphens, names that differ in case only, and names
-    that the operator gives to its own columns. ``back`` puts the columns back in their order and under their names.
+    that the operator gives to its own columns; those in ``without``, in any case, are left out. ``back`` puts the columns back in their order and under their names.
     """
 
-    def __init__(self, docs: DataFrame, *own: str):
-        self.names = docs.columns
+    def __init__(self, docs: DataFrame, *own: str, without: tuple[str, ...] = ()):
+        plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+        kept = [i for i, n in enumerate(docs.columns) if n.lower() not in without]
+        self.names = [docs.columns[i] for i in kept]
+        plain = plain.select(*[F.col(f"c{i}").alias(f"c{j}") for j, i in enumerate(kept)])
         self._own = {}
         for name in own:
             same = [i for i, c in enumerate(self.names) if c == name]
@@ -41,7 +44,6 @@ class Carried:
             if not same:
                 raise ValueError(f"no column {name} among {self.names}")
             self._own[same[0]] = name
-        plain = docs.toDF(*[f"c{i}" for i in range(len(self.names))])
         rest = [f"c{i}" for i in range(len(self.names)) if i not in self._own] or [F.lit(0).alias("none")]
         self.work = plain.select(F.struct(*rest).alias("row"), *[F.col(f"c{i}").alias(n) for i, n in self._own.items()])
 

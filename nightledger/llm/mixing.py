@@ -15,12 +15,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nightledger.llm.frames import cut_lineage
+from nightledger.llm.frames import Carried, cut_lineage
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2.0
 GROUP = 64
+PORTION = 4096  # rows of one class that a row of its portions stands for
 SEED = 20240601
 WORD, BLANKS = r"[^\x20\x09-\x0D]+", " \t\n\x0b\x0c\r"
 
@@ -36,12 +37,14 @@ def _uniform(*parts: Column) -> Column:
 
 
 def source_targets(sized: DataFrame) -> DataFrame:
-    """source, rank, source_size, n and target of every source in ``sized`` (source, size).
+    """source, rank, source_size, n and target of every source in ``sized`` (source, size, rows).
+
+    ``rows`` counts equal rows; ``n`` is the number of different ones.
 
     Sources in order of code points, null last, get the weights in turn. What a source cannot take beyond ``MOST``
     times its size is shared again among the others, until the level that all the others get by weight is fixed.
     """
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    totals = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("rows")).alias("source_size"), F.count("*").alias("n"))
     placed = totals.orderBy(F.col("source").asc_nulls_last()).withColumn("at", F.monotonically_increasing_id())
     placed = cut_lineage(placed.withColumn("part", F.shiftright("at", 33)))
     parts = placed.groupBy("part").agg(F.count("*").alias("rows"))  # one row per task of the sort
@@ -136,52 +139,87 @@ def _decided(items: DataFrame, nodes: int) -> DataFrame:
     return done.union(left.join(above, ["rank", "node"]).select("rank", "id", "take"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken, copies and key of every row of ``docs``.
+def _keyed(carried: Carried) -> DataFrame:
+    """The rows with two hashes of all their columns, and of which of them are null."""
+    row = carried.work.schema["row"].dataType
+    columns = [F.col(c) for c in ("doc_id", "text", "source")] + [F.col("row")[n] for n in row.names]
+    nulls = F.array(*[c.isNull() for c in columns])
+    return carried.work.withColumns({f"key{i}": F.xxhash64(F.lit(i), nulls, *columns) for i in (1, 2)})
 
-    Size is the number of words, 0 for null and empty texts, which are taken whole or not at all without effect.
-    ``target`` is the document's source's share of the mix in words; ``copies`` is 0, 1 or 2 and ``taken`` is
-    copies times size. A null source is a source. A null id counts like any id. Rows that agree in every column are
-    rounded each. Columns other than doc_id, text and source only enter the key.
+
+def _rounded(keyed: DataFrame) -> DataFrame:
+    """doc_id, key1, key2, size, source_size, target, rows, whole and extra of every class of equal rows.
+
+    ``whole`` copies are taken of each row and one more of ``extra`` of them. Equal rows that meet hand words to
+    each other until at most one of them is open, whatever the order, so a class is rounded by arithmetic
+    and only the rest of its mass is paired with other documents, as one row.
     """
-    key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
-    sized = cut_lineage(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), key.alias("key")))
-    targets = cut_lineage(source_targets(sized))
-    same = sized["source"].eqNullSafe(targets["source"])
-    rated = sized.join(targets, same).drop("source")
+    size = word_count(F.col("text")).alias("size")
+    sized = keyed.select("doc_id", "source", size, "key1", "key2")
+    classes = cut_lineage(sized.groupBy("doc_id", "source", "size", "key1", "key2").agg(F.count("*").alias("rows")))
+    targets = cut_lineage(source_targets(classes))
+    rated = classes.join(targets, classes["source"].eqNullSafe(targets["source"])).drop("source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     rated = rated.withColumn("rate", rate).withColumn("whole", F.floor("rate"))
-    rated = rated.withColumn("mass", (F.col("rate") - F.col("whole")) * F.col("size"))
+    open_rows = (F.col("rate") - F.col("whole")) * F.col("rows")
+    rated = rated.withColumn("extra", F.when(F.col("size") > 0, F.floor(open_rows)).otherwise(F.lit(0)).cast("long"))
+    rated = rated.withColumn("mass", F.when(F.col("size") > 0, (open_rows - F.col("extra")) * F.col("size")).otherwise(0.0))
     most = targets.agg(F.max("n")).first()[0] or 0
     nodes = max(1, -(-most // GROUP))
     groups = F.ceil(F.col("n") / GROUP)
-    columns = ["doc_id", "size", "source_size", "target", "whole", "key"]
+    columns = ["doc_id", "key1", "key2", "size", "source_size", "target", "rows", "whole", "extra"]
     open_ = rated.where("mass > 0").select(
         "rank",
-        F.pmod(F.xxhash64("doc_id", "key", F.lit(SEED)), groups).alias("node"),
+        F.pmod(F.xxhash64("doc_id", "key1", F.lit(SEED)), groups).alias("node"),
         F.struct(*columns).alias("id"),
         "size",
         "mass",
     )
-    rounded = _decided(open_, nodes).select("id.*", F.col("take").cast("long").alias("take"))
-    still = rated.where("mass <= 0").select(*columns, F.lit(0).cast("long").alias("take"))
-    out = rounded.union(still).withColumn("copies", F.col("whole") + F.col("take"))
-    return out.select(
-        "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies", "key"
-    )
+    taken = _decided(open_, nodes).select("id.*", "take")
+    taken = taken.withColumn("extra", F.col("extra") + F.col("take").cast("long")).drop("take")
+    return taken.unionByName(rated.where("mass <= 0").select(*columns))
+
+
+def _each(classes: DataFrame, many: bool) -> DataFrame:
+    """A row for every row of the classes, with its ``copies``; a large class is dealt over tasks in portions."""
+    portion = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("rows") - 1) / PORTION)))
+    dealt = classes.withColumn("portion", portion)
+    dealt = dealt.hint("rebalance") if many else dealt
+    first = F.col("portion") * PORTION + 1
+    nth = F.explode(F.sequence(first, F.least(first + (PORTION - 1), F.col("rows"))))
+    out = dealt.withColumn("nth", nth).drop("portion")
+    return out.withColumn("copies", F.col("whole") + (F.col("nth") <= F.col("extra")).cast("long")).drop("nth")
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source_size, target, taken, copies and key of every row of ``docs``.
+
+    Size is the number of words, 0 for null and empty texts, which are taken whole or not at all without effect.
+    ``target`` is the document's source's share of the mix in words; ``copies`` is 0, 1 or 2 and ``taken`` is
+    copies times size. A null source is a source. A null id counts like any id. Rows that agree in every column are
+    one class, of which some rows are taken once more than the others; no task holds a class as rows. Columns other
+    than doc_id, text and source, whatever they are called, only enter the key.
+    """
+    classes = cut_lineage(_rounded(_keyed(Carried(docs, "doc_id", "text", "source"))))
+    out = _each(classes, _many(classes))
+    taken = F.col("copies") * F.col("size")
+    return out.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "copies", F.col("key1").alias("key"))
+
+
+def _many(classes: DataFrame) -> bool:
+    return (classes.agg(F.max("rows")).first()[0] or 0) > PORTION
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents that the mix takes, with their columns, ``copies`` and ``taken``; columns of these names are replaced."""
-    own = [c for c in docs.columns if c.lower() not in ("copies", "taken")]
-    rows = docs.select(*own)
-    chosen = mix(rows).where("copies > 0").groupBy("key").agg(F.sort_array(F.collect_list(F.struct("copies", "taken"))).alias("c"))
-    keyed = rows.withColumn("_key", F.xxhash64(*[F.col(f"`{c}`") for c in own]))
-    joined = keyed.join(chosen, F.col("_key") == F.col("key"))
-    place = F.row_number().over(Window.partitionBy("key").orderBy(F.lit(0)))
-    chosen_row = F.try_element_at("c", F.col("place"))
-    return (
-        joined.withColumn("place", place)
-        .where(F.col("place") <= F.size("c"))
-        .select(*own, chosen_row["copies"].alias("copies"), chosen_row["taken"].alias("taken"))
-    )
+    carried = Carried(docs, "doc_id", "text", "source", without=("copies", "taken"))
+    keyed = _keyed(carried)
+    classes = cut_lineage(_rounded(keyed)).select("key1", "key2", "size", "rows", "whole", "extra")
+    keys, columns = ["key1", "key2"], keyed.columns
+    single = keyed.join(classes.where("rows = 1"), keys)
+    single = single.withColumn("copies", F.col("whole") + F.col("extra"))
+    row = F.first(F.struct(*[c for c in columns if c not in keys])).alias("one")  # equal rows: any of them
+    repeated = keyed.join(classes.where("rows > 1"), keys).groupBy(*keys, "size", "rows", "whole", "extra").agg(row)
+    repeated = _each(repeated, _many(classes)).select("one.*", *keys, "size", "rows", "whole", "extra", "copies")
+    chosen = single.unionByName(repeated).where("copies > 0")
+    return carried.back(chosen, {"copies": F.col("copies"), "taken": F.col("copies") * F.col("size")})

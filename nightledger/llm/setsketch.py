@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from nightledger.llm.components import components
-from nightledger.llm.frames import cut_lineage
+from nightledger.llm.frames import Carried, cut_lineage
 from nightledger.llm.words import SPACED, Words, mix, runs, slabs, window_hashes, window_starts
 
 SHINGLE = 5
@@ -359,6 +359,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """One document of each group: the rows of ``docs`` with the kept ids, and those without id."""
-    own = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("dropped")).distinct()
-    return docs.join(own, F.col("doc_id") == F.col("dropped"), "left_anti")
+    """One document of each group: the rows of ``docs`` with the kept ids, and those without id. Columns may have any names."""
+    carried = Carried(docs, "doc_id", "text")
+    dropped = near_duplicates(carried.work.select("doc_id", "text")).where("not kept").select("doc_id").distinct()
+    return carried.back(carried.work.join(dropped, "doc_id", "left_anti"))

@@ -23,8 +23,9 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
+from nightledger.llm.frames import Carried
 from nightledger.llm.packed import pack, steps, unpack
 from nightledger.llm.words import SPACED, Words, runs, slabs, window_hashes, window_starts
 
@@ -317,11 +318,11 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
     """``docs`` with its columns, text without repeated words.
 
     A text that loses nothing stays as it is; else its kept words are joined by one blank. A document
-    that loses all words stays as a row with an empty text. A column n_chars is counted anew.
+    that loses all words stays as a row with an empty text. A column n_chars is counted anew. Columns may have any names.
     """
-    own = docs.columns
-    rest = [c for c in own if c != "text"]
-    work = docs.select(F.struct(F.lit(0).alias("_"), *rest).alias("row"), "doc_id", "text")
+    counted = [n for n in ("n_chars",) if n in {c.lower() for c in docs.columns}]
+    carried = Carried(docs, "doc_id", "text", *counted)
+    names = carried.work.columns
 
     def fill(batch: pa.RecordBatch, words: Words, keep: np.ndarray) -> pa.RecordBatch:
         out, at = _kept_texts(words, keep)
@@ -331,10 +332,8 @@ def remove_repeats(docs: DataFrame, size: int = WINDOW) -> DataFrame:
             raw[at[i] : max(at[i], at[i + 1] - 1)].decode() if n else old[i]
             for i, n in enumerate(gone)
         ]
-        return pa.RecordBatch.from_arrays(
-            [batch.column("row"), pa.array(text, batch.schema.field("text").type)], names=["row", "text"]
-        )
+        new = pa.array(text, batch.schema.field("text").type)
+        return pa.RecordBatch.from_arrays([new if n == "text" else batch.column(n) for n in names], names=names)
 
-    out = _cleaned(work, size, fill, StructType([work.schema["row"], StructField("text", StringType())]))
-    columns = {"text": F.col("text"), "n_chars": F.length("text").cast(dict(docs.dtypes).get("n_chars", "long"))}
-    return out.select(*[columns[c].alias(c) if c in columns else F.col("row")[c].alias(c) for c in own])
+    out = _cleaned(carried.work, size, fill, carried.schema())
+    return carried.back(out, **{n: F.length("text").cast(carried.work.schema[n].dataType) for n in counted})

@@ -14,10 +14,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField
 
 from nightledger.llm import gru
 from nightledger.llm.folds import held_out, sample
+from nightledger.llm.frames import Carried
 from nightledger.llm.words import slabs
 
 SAMPLE_ROWS = 1500  # of each class
@@ -144,23 +145,22 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS)
     Only the text is an input of the score. Null and empty texts, and texts without words, are one empty window. A null id
     is not held out. Repeated rows are scored each. Without labels every score is one half.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, rows))
-    own = [c for c in docs.columns if c.lower() not in ("held_out", "score", "predicted")]
-    schema = StructType([*(docs.schema[c] for c in own), StructField("score", DoubleType())])
+    carried = Carried(docs, "doc_id", "text")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(carried.work, labels, rows))
+    schema = carried.schema(StructField("score", DoubleType()))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in slabs(batch.column("text"), SLAB):
-                part = [batch.column(c).slice(lo, hi - lo) for c in own]
-                yield pa.RecordBatch.from_arrays([*part, pa.array(scores(shared.value, data, offsets))], names=[*own, "score"])
+                part = batch.slice(lo, hi - lo).columns
+                yield pa.RecordBatch.from_arrays([*part, pa.array(scores(shared.value, data, offsets))], names=schema.names)
 
-    scored = docs.select(*own).mapInArrow(score, schema)
-    return scored.withColumn("held_out", held_out(5, 0)).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = carried.work.mapInArrow(score, schema)
+    predicted = (F.col("score") >= 0.5).cast("int")
+    return carried.back(scored, {"held_out": held_out(5, 0), "score": F.col("score"), "predicted": predicted})
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents predicted toxic, with its columns."""
-    rest = [c for c in docs.columns if c != "text"]
-    work = docs.select(F.struct(F.lit(0).alias("_"), *rest).alias("row"), "doc_id", "text")
-    clean = toxicity_scores(work, labels).where("predicted = 0")
-    return clean.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+    """``docs`` without the documents predicted toxic, with its columns, whatever they are called."""
+    carried = Carried(docs, "doc_id", "text")
+    return carried.back(toxicity_scores(carried.work, labels).where("predicted = 0"))

@@ -81,6 +81,53 @@ def test_mixed_documents(spark, frame):
     assert tuples(out, "doc_id", "copies", "taken") == want
 
 
+def brute_pivot(items):
+    """Words handed from one to the other, with the operator's random numbers, in its order."""
+    done, last = {}, items[0]
+    for new in items[1:]:
+        old = last
+        if not 0 < old[3] < old[2]:
+            done[old[1]], last = old[3] > 0, new
+            continue
+        gain, give = min(old[2] - old[3], new[3]), min(old[3], new[2] - new[3])
+        moved = gain if new[0] * (gain + give) < give else -give
+        a, b = (*old[:3], old[3] + moved), (*new[:3], new[3] - moved)
+        if abs(a[3]) < 1e-9 or abs(a[3] - a[2]) < 1e-9:
+            done[a[1]], last = a[3] > 1e-9, b
+        else:
+            done[b[1]], last = b[3] > 1e-9, a
+    if 1e-9 < last[3] < last[2] - 1e-9:
+        return done, last
+    return done | {last[1]: last[3] > 1e-9}, None
+
+
+def test_pairs_equal_a_plain_loop(spark):
+    rng = random.Random(2)
+    for case in range(20):
+        items = sorted((rng.random(), i, float(size), size * rng.choice([0.25, 0.5, 0.1])) for i, size in enumerate(rng.choices(range(1, 60), k=rng.randrange(1, 30))))
+        df = spark.createDataFrame([(items,)], "items array<struct<u:double,id:int,size:double,mass:double>>")
+        out = df.select(mixing._pair(mixing.F.col("items")).alias("o")).first().o
+        done, last = brute_pivot(items)
+        assert {d.id: d.take for d in out.done} == done
+        assert (out.last is None) == (last is None)
+        if last:
+            assert (out.last.id, out.last.mass) == (last[1], pytest.approx(last[3]))
+
+
+def test_repeated_rows_are_rounded_as_one_class(spark, frame, monkeypatch):
+    monkeypatch.setattr(mixing, "PORTION", 100)
+    rows = [(1, "a b c", "s")] * 1501 + [(2, "a b", "s")] * 7 + [(i, " ".join(prose(i, i % 20)), "t") for i in range(3, 90)]
+    got = mixing.mix(frame(rows)).collect()
+    assert len(got) == len(rows)
+    (target,) = {r.target for r in got if r.doc_id == 1}
+    taken = sum(r.taken for r in got if r.doc_id < 3)
+    assert abs(taken - target) <= 1.5 + 1e-6 and len({r.copies for r in got if r.doc_id == 1}) == 2
+    out = mixing.mixed_documents(frame(rows))
+    want = sorted(((r.doc_id, r.copies, r.taken) for r in got if r.copies), key=repr)
+    assert tuples(out, "doc_id", "copies", "taken") == want
+    assert {tuple(r)[:2] for r in out.where("doc_id = 1").select("doc_id", "text").collect()} == {(1, "a b c")}
+
+
 def test_mix_is_native_and_takes_empty_tables(spark, frame):
     out = mixing.mix(frame(mixed_rows()))
     assert not [p for p in PYTHON if p in plan(out)]
