@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -49,3 +50,19 @@ class CohortFilter:
                 member = key.isin(*values)
                 cond = cond & (member if mode == INCLUDE else ~member)
         return cond
+
+    def columns(self) -> dict[str, Column]:
+        """The filter as result columns, so that studies of one period under several filters stay apart."""
+        return {
+            "statis_type": F.lit(self.statis_type),
+            "device_type": F.lit(self.device),
+            "f_type": F.lit(self.parent_mode),
+            "p_type": F.lit(self.child_mode),
+            "f_cids": F.lit(",".join(self.parents)),
+            "p_cids": F.lit(",".join(self.children)),
+        }
+
+    def key(self) -> str:
+        """A folder name for the filter."""
+        parts = (self.statis_type, self.device, self.parent_mode, self.child_mode, "+".join(self.parents), "+".join(self.children))
+        return "_".join(quote(str(x), safe="+") for x in parts)

@@ -137,6 +137,21 @@ def following(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Se
     return placed.select(*df.columns, *nexts)
 
 
+def dense_ids(df: DataFrame, order: Sequence[str], name: str = "id", after: int = 0) -> DataFrame:
+    """Number the rows from ``after`` + 1 without gaps, by ``order``; rows equal in it are numbered in any order.
+
+    Rows are numbered inside the parts of :func:`dealt_by_range`, from an offset that counts the rows of the parts before:
+    no task sees more than a part, or one row per part.
+    """
+    dealt = dealt_by_range(df, [], order)
+    counts = dealt.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    numbered = dealt.repartitionByRange("_part").withColumn("_at", inside).join(offsets, "_part")
+    return numbered.select((F.col("_before") + F.col("_at") + F.lit(after)).alias(name), *df.columns)
+
+
 def consecutive_gaps(df: DataFrame, keys: Sequence[str], time: str, *ties: str) -> DataFrame:
     """Gap to the next row and the gap after that, per key; NULL at the end of a key.
 

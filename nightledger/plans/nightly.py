@@ -13,7 +13,20 @@ from pyspark.sql import functions as F
 
 from nightledger.functions.dates import HALF_DAY, dt_to_epoch, py_shift
 from nightledger.operators.merge import roll
-from nightledger.plans import channel_quality, dwell, first_pay_report, income, lobby, returning, signup, spend
+from nightledger.functions.filters import CohortFilter
+from nightledger.plans import (
+    channel_quality,
+    dwell,
+    first_pay_report,
+    host_earnings,
+    income,
+    lobby,
+    retention,
+    returning,
+    signup,
+    slots,
+    spend,
+)
 from nightledger.sources import schemas as S
 from nightledger.sources.runs import replace_day
 from nightledger.sources.scan import read_table, scan, snapshot_before
@@ -136,6 +149,29 @@ def dwell_day(spark: SparkSession, root: str, dt: int, *, cap: int = dwell.CAP)
         _store(dwell.dwell_by_device(stored), root, f"{name}_by_device", dt)
 
 
+def spend_fact_day(spark: SparkSession, root: str, dt: int) -> None:
+    """The day's spends of the nine logs as one numbered fact, which :func:`spend_day` and :func:`quality_day` read."""
+
+    def day(name: str, schema: str) -> DataFrame:
+        return scan(spark, f"{root}/{name}", schema, days=(dt, dt))
+
+    fact = spend.spend_fact(
+        day("props", S.PROPS),
+        read_table(spark, f"{root}/prop_price", S.PROP_PRICES),
+        day("games", S.GAMES),
+        day("show_gifts", S.SHOW_GIFTS),
+        day("gifts", S.GIFTS),
+        read_table(spark, f"{root}/gift_cost", S.GIFT_COSTS),
+        day("memberships", S.MEMBERSHIPS),
+        day("songs", S.SONGS),
+        day("crowns", S.CROWNS),
+        day("red_packets", S.RED_PACKETS),
+    )
+    kinds = {f.name: f.dataType for f in spark.createDataFrame([], S.SPEND).schema}
+    numbered = spend.with_ids(fact, dt)
+    _store(numbered.withColumns({n: F.col(n).cast(t) for n, t in kinds.items()}), root, "spend", dt)
+
+
 def spend_day(spark: SparkSession, root: str, dt: int, every: int = 30) -> None:
     """First and second spend and the monitor totals, from the spend fact of the day."""
     fact = scan(spark, f"{root}/spend", S.SPEND, days=(dt, dt))
@@ -257,3 +293,63 @@ def signup_day(spark: SparkSession, root: str, dt: int, *, per_ip: int, min_seco
         end,
     )
     _store(settled, root, "subchannel_settlement", dt)
+
+
+def _period(df: DataFrame, root: str, name: str, first: int, last: int, *, study: str = "all") -> None:
+    """Write the result of a period: a table per first day and study, in it a committed run per last day."""
+    replace_day(df, f"{root}/{name}/start_time={first}/study={study}", last)
+
+
+def period_result(spark: SparkSession, root: str, name: str, schema, first: int, last: int, study: str = "all") -> DataFrame:
+    """The stored result of a period; no other period is listed or read."""
+    return scan(spark, f"{root}/{name}/start_time={first}/study={study}", schema, days=(last, last)).drop("dt")
+
+
+def host_earnings_period(spark: SparkSession, root: str, first: int, last: int) -> None:
+    """Host earnings per hour from ``first`` to ``last``, both days included."""
+    seconds = (day_start(spark, first), day_start(spark, py_shift(last, 1)) - 1)
+    result = host_earnings.host_earnings(
+        scan(spark, f"{root}/diamonds", S.DIAMONDS, seconds=seconds),
+        scan(spark, f"{root}/workload", S.WORKLOAD, days=(first, last)),
+        read_table(spark, f"{root}/roster", S.ROSTER),
+        *seconds,
+    )
+    _period(result, root, "host_earnings", first, last)
+
+
+def _audience(spark: SparkSession, root: str, first: int, last: int, later: int) -> dict[str, DataFrame]:
+    """What retention and slots read: logs of the period, of dwell those of ``later`` days after it too."""
+    to = py_shift(last, later)
+    return {
+        "online": scan(spark, f"{root}/online", S.ONLINE, days=(first, last)),
+        "dwell": scan(spark, f"{root}/dwell_log", S.DWELL_LOG, days=(first, to)),
+        "workload": scan(spark, f"{root}/workload", S.WORKLOAD, days=(first, last)),
+        "prices": read_table(spark, f"{root}/channel_price", S.CHANNEL_PRICE),
+        "blacklist": read_table(spark, f"{root}/room_blacklist", S.ROOM_LIST),
+        "slots": scan(spark, f"{root}/slot_log", S.SLOT_LOG, days=(first, last)),
+        "normal": scan(spark, f"{root}/recommend_normal", S.RECOMMENDED, days=(first, last)),
+        "fine": scan(spark, f"{root}/recommend_fine", S.RECOMMENDED, days=(first, last)),
+    }
+
+
+def retention_period(
+    spark: SparkSession, root: str, first: int, last: int, params: CohortFilter = CohortFilter(), **limits
+) -> None:
+    """Retention of the viewers of a period; studies under several filters are stored side by side."""
+    logs = _audience(spark, root, first, last, limits.get("month", retention.MONTH)[1])
+    levels = read_table(spark, f"{root}/room_level", S.ROOM_LEVELS)
+    hosts = read_table(spark, f"{root}/host_gender", S.HOST_GENDER)
+    result = retention.retention(
+        **logs, levels=levels, hosts=hosts, first=first, last=last, params=params, **limits
+    )
+    _period(result, root, "retention", first, last, study=params.key())
+
+
+def slots_period(
+    spark: SparkSession, root: str, first: int, last: int, params: CohortFilter = CohortFilter(), **limits
+) -> None:
+    """Audience and slot ranks of the busy rooms of a period."""
+    logs = _audience(spark, root, first, last, 0)
+    users = retention.cohort(logs.pop("online"), logs.pop("prices"), first, last, params)
+    result = slots.slot_report(users, **logs, first=first, last=last, **limits)
+    _period(result, root, "slot_report", first, last, study=params.key())

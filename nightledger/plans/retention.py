@@ -52,11 +52,16 @@ def dwell_of(dwell: DataFrame, users: DataFrame, first: int, last: int, keys: li
     )
 
 
-def dwell_per_day(dwell: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
-    """Seconds and first second per user, room and day for the days of any of the ranges."""
+def dwell_per_day(dwell: DataFrame, base: DataFrame, ranges: list[tuple[int, int]]) -> DataFrame:
+    """Seconds and first second per user, room and day of the base, for the days of any of the ranges.
+
+    The log meets the base before it is grouped, so only its rows are: a small base is broadcast and filters the
+    scan, a large one is joined on the keys of the grouping, which then needs no further shuffle.
+    """
     wanted = reduce(lambda a, b: a | b, [F.col("dt").between(*r) for r in ranges])
     return (
         dwell.filter(wanted)
+        .join(base.select("uid", "roomid"), ["uid", "roomid"], "left_semi")
         .groupBy("uid", "roomid", "dt")
         .agg(F.min("dateline").alias("later_dt"), F.sum("longs").alias("longs"))
     )
@@ -109,12 +114,12 @@ def retention(
     """Per room: base viewers (dwell over ``min_base``), and those back in the week and month windows.
 
     The windows count days from each viewer's own first second in the room. A total row
-    counts every viewer once. Both windows are judged in one join of the base with the later
+    counts every viewer once. The filter is part of every row. Both windows are judged in one join of the base with the later
     days; the resulting pairs feed the rows and the total and are computed once.
     """
     users = cohort(online, prices, first, last, params)
     rooms = busy_rooms(workload, first, last, daily_seconds)
-    base = (
+    base = cut_lineage(
         dwell_of(dwell, users, first, last, ["uid", "roomid"])
         .filter(F.col("longs") > min_base)
         .drop("longs")
@@ -122,7 +127,7 @@ def retention(
         .join(blacklist.select("roomid"), "roomid", "left_anti")
     )
 
-    later = dwell_per_day(dwell, [(py_shift(first, low), py_shift(last, high)) for low, high in (week, month)])
+    later = dwell_per_day(dwell, base, [(py_shift(first, low), py_shift(last, high)) for low, high in (week, month)])
     since = F.col("later_dt") - F.col("start_dt")
 
     def came_back(window: tuple[int, int], name: str) -> Column:
@@ -159,6 +164,7 @@ def retention(
     return rows.select(
         F.lit(first).alias("start_time"),
         F.lit(last).alias("end_time"),
+        *[c.alias(n) for n, c in params.columns().items()],
         "roomid",
         "total",
         *nums,

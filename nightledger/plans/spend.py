@@ -12,7 +12,7 @@ from nightledger.functions import codes
 from nightledger.functions.dates import day_of, hour_of, month_of, year_of
 from nightledger.functions.numeric import signed
 from nightledger.operators.merge import merge_add
-from nightledger.operators.windows import first_k
+from nightledger.operators.windows import dense_ids, first_k
 
 
 def _half(c: Column) -> Column:
@@ -184,6 +184,14 @@ def monitor_totals(fact: DataFrame, old: DataFrame | None = None) -> DataFrame:
     return new if old is None else merge_add(old, new, ["uid"], ["money"])
 
 
+ID_ORDER = ["dateline", "dt", "uid", "consume_type", "consume_type_son", "consume_id", "roomid", "anchor_uid", "consume_coin"]
+
+
+def with_ids(fact: DataFrame, dt: int = 0) -> DataFrame:
+    """The fact with ``id``, dense in the order of time. Ids of a day follow its number, so a rerun moves no other day's."""
+    return dense_ids(fact, ID_ORDER, "id", dt << 32)
+
+
 SPEND_COLS = ["dateline", "consume_coin", "consume_type", "consume_type_son"]
 
 

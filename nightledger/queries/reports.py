@@ -367,7 +367,7 @@ ROOM_TABLES = [
 NAMES = ("online", "dwell_log", "on_air", "slot_log", "normal_log", "fine_log")
 
 
-def _retention_sql(cohort_sql: str) -> str:
+def _retention_sql(cohort_sql: str, filtered: str) -> str:
     def back(name: str, low: int, high: int) -> str:
         return f"""{name} AS (SELECT b.roomid, b.uid FROM base b JOIN (SELECT uid, roomid, dt, min(dateline) AS later,
             sum(longs) AS longs FROM dwell_log GROUP BY uid, roomid, dt) d ON d.uid = b.uid AND d.roomid = b.roomid
@@ -401,14 +401,16 @@ def _retention_sql(cohort_sql: str) -> str:
             CASE WHEN user_num = 0 THEN 0 ELSE CAST((2 * week_num * 10000 + user_num) // (2 * user_num) AS DOUBLE) / 10000 END AS week_pro,
             CASE WHEN user_num = 0 THEN 0 ELSE CAST((2 * month_num * 10000 + user_num) // (2 * user_num) AS DOUBLE) / 10000 END AS month_pro,
             coalesce(s.n, 0) AS recommend_times, coalesce(l.level, 0) AS level, coalesce(c.recommend_type, 0) AS recommend_type,
-            coalesce(h.gender, 0) AS gender
+            coalesce(h.gender, 0) AS gender, {filtered}
             FROM everything e
             LEFT JOIN (SELECT roomid, count(*) AS n FROM slot_log GROUP BY roomid) s ON s.roomid = e.roomid AND e.roomid < 100
             LEFT JOIN levels l ON l.roomid = e.roomid AND e.roomid < 100
             LEFT JOIN rec c ON c.roomid = e.roomid AND e.roomid < 100
             LEFT JOIN hosts h ON h.roomid = e.roomid AND e.roomid < 100)""",
-        "start_time end_time roomid user_num week_num month_num recommend_times level recommend_type gender",
+        "start_time end_time roomid user_num week_num month_num recommend_times level recommend_type gender "
+        "statis_type device_type f_type p_type",
         "total week_pro month_pro",
+        "f_cids p_cids",
     )
 
 
@@ -453,12 +455,12 @@ NARROW = f"""SELECT uid FROM (SELECT uid, arg_min(channel_id, (dateline, channel
     WHERE {PARENT} NOT IN (SELECT left(code, 4) FROM prices WHERE statis_type <> 4)"""
 
 
-@query("retention_week_month", _retention_sql(EVERYONE))
+@query("retention_week_month", _retention_sql(EVERYONE, "0 AS statis_type, 0 AS device_type, 1 AS f_type, 1 AS p_type, '' AS f_cids, '' AS p_cids"))
 def retention_week_month(spark, sf_dir):
     return _retention(spark, sf_dir, CohortFilter())
 
 
-@query("retention_filtered", _retention_sql(NARROW))
+@query("retention_filtered", _retention_sql(NARROW, "4 AS statis_type, 1 AS device_type, 2 AS f_type, 1 AS p_type, '1003' AS f_cids, '' AS p_cids"))
 def retention_filtered(spark, sf_dir):
     return _retention(
         spark, sf_dir, CohortFilter(device=1, statis_type=4, parents=("1003",), parent_mode=EXCLUDE)

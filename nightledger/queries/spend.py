@@ -225,3 +225,39 @@ def first_spend_carry_over(spark, sf_dir):
 @query("second_spend_carry_over", _nth_sql(2))
 def second_spend_carry_over(spark, sf_dir):
     return _nth_carried(spark, sf_dir, 2)
+
+
+def _end_to_end_sql() -> str:
+    order = "dateline, dt, uid, consume_type, consume_type_son, consume_id, roomid, anchor_uid, consume_coin"
+    return out(
+        FACT
+        + [
+            f"""s AS (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY {order}) AS rn,
+                count(*) OVER (PARTITION BY uid) AS times FROM fact WHERE consume_coin <> 0 AND uid <> 3000096)""",
+            "n AS (SELECT 1 AS nth UNION ALL SELECT 2)",
+        ],
+        "FROM s JOIN n ON rn = least(nth, times)",
+        "nth uid dateline consume_coin consume_type consume_type_son times",
+    )
+
+
+@query("spend_first_and_second", _end_to_end_sql())
+def spend_first_and_second(spark, sf_dir):
+    """From the nine logs to numbered spends to the first and second spend of each user."""
+    fact = plan.with_ids(spend_fact(spark, sf_dir))
+    firsts = plan.first_spends(fact, 2)
+    both = [plan.nth_of(firsts, n).withColumn("nth", F.lit(n)) for n in (1, 2)]
+    return both[0].unionByName(both[1])
+
+
+@query(
+    "spend_ids",
+    out(
+        FACT,
+        "FROM (SELECT row_number() OVER (ORDER BY dateline, dt, uid, consume_type) AS id, dateline FROM fact)",
+        "id dateline",
+    ),
+)
+def spend_ids(spark, sf_dir):
+    """Ids without gaps in the order of time."""
+    return plan.with_ids(spend_fact(spark, sf_dir)).select("id", "dateline")

@@ -37,3 +37,23 @@ FLOWER = "uid bigint, flower_num bigint"
 PURE_VISITOR = "idfa string, channel_id string, device_type int"
 PURE_VISITOR_RESULT = "channel_id string, device_type int, non_added_pure_visitor bigint"
 INCOME_DAILY = "uid bigint, money bigint, special int, success int"
+# The nine spending logs, and the prices of props and gifts.
+PROPS = """uid bigint, fuid bigint, category int, admin_prop_id bigint, total bigint, spend bigint, dateline bigint"""
+GAMES = """uid bigint, roomid bigint, gameid int, spend_money bigint, admin_gift_id bigint, gift_num bigint, dateline bigint"""
+SHOW_GIFTS = """sender bigint, uid bigint, roomid bigint, note string, spendmoney bigint, cust_gift_id bigint,
+    admin_gift_id bigint, realnum bigint, dateline bigint"""
+GIFTS = "admin_gift_id bigint, sender bigint, uid bigint, dateline bigint"
+MEMBERSHIPS = "uid bigint, money bigint, vip bigint, dateline bigint"
+SONGS = "uid bigint, roomid bigint, coin bigint, status int, dateline bigint"
+CROWNS = "uid bigint, cost bigint, ref_giftid bigint, fuid bigint, status int, dateline bigint"
+RED_PACKETS = "send_uid bigint, roomid bigint, type int, amount bigint, dateline bigint"
+PROP_PRICES = "admin_prop_id bigint, price bigint"
+GIFT_COSTS = "giftid bigint, cost bigint"
+DIAMONDS = "roomid bigint, fuid bigint, is_anchor int, category int, diamond bigint, dateline bigint"
+ROSTER = "roomid bigint, nickname string, level int"
+DWELL_LOG = "uid bigint, roomid bigint, dateline bigint, longs bigint"
+ROOM_LEVELS = "roomid bigint, date_time int, level int"
+ROOM_LIST = "roomid bigint"
+HOST_GENDER = "roomid bigint, gender int"
+SLOT_LOG = "roomid bigint, cal_rank int"
+RECOMMENDED = "roomid bigint, dateline bigint"

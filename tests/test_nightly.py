@@ -7,9 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
+from nightledger.functions import codes
 from nightledger.functions.codes import SIGNUP_MIN_UID
-from nightledger.plans import channel_quality, dwell, first_pay_report, income, lobby, nightly, returning, signup, spend
+from nightledger.functions.filters import CohortFilter
+from nightledger.plans import channel_quality, dwell, first_pay_report, income, lobby, nightly, retention, returning, signup, spend
 from nightledger.queries import quality as quality_queries
+from nightledger.queries import spend as spend_queries
 from nightledger.queries.standins import named
 from nightledger.sources import runs
 from nightledger.sources import schemas as S
@@ -300,6 +303,69 @@ def test_lobby_first_pay_and_returning_days(spark, rows, root):
     assert rows(got, *count) == rows(report, *count) != []
 
 
+def test_spend_fact_day_feeds_the_spend_jobs(spark, rows, tmp_path):
+    """Nine logs to numbered spends to first and second spend, day by day and all at once."""
+    root, days = str(tmp_path), (19970101, 19970102, 20240101, 20240102)
+    sources = dict(zip(("props", "prop_price", "games", "show_gifts", "gifts", "gift_cost", "memberships", "songs", "crowns", "red_packets"),
+                       spend_queries._sources(spark, SMALL), strict=True))
+    schemas = {"props": S.PROPS, "games": S.GAMES, "show_gifts": S.SHOW_GIFTS, "gifts": S.GIFTS, "memberships": S.MEMBERSHIPS,
+               "songs": S.SONGS, "crowns": S.CROWNS, "red_packets": S.RED_PACKETS}
+    for name, schema in schemas.items():
+        some = sources[name].filter(F.col("dt").isin(*days) | (F.col("dt") % 100 == 1))
+        as_schema(some.withColumn("dt", F.col("dt").cast("int")), schema).write.partitionBy("dt").parquet(f"{root}/{name}")
+    for name, schema in (("prop_price", S.PROP_PRICES), ("gift_cost", S.GIFT_COSTS)):
+        cols = spark.createDataFrame([], schema).schema
+        sources[name].select(*[F.col(f.name).cast(f.dataType) for f in cols]).write.parquet(f"{root}/{name}")
+    for dt in (*days, days[1]):
+        nightly.spend_fact_day(spark, root, dt)
+        nightly.spend_day(spark, root, dt)
+    fact = stored(spark, root, "spend", S.SPEND)
+    ids = sorted(r.id for r in fact.select("id").collect())
+    assert ids and ids == [(dt << 32) + i for dt in days for i in range(1, fact.filter(F.col("dt") == dt).count() + 1)]
+    for n in (1, 2):
+        want = spend.nth_spend(fact, n)
+        assert rows(spend.nth_of(nightly.state(spark, root, "first_spends").at(days[-1]), n), *want.columns) == rows(want) != []
+
+
+def test_period_results_by_filter_and_rerun(spark, rows, tmp_path):
+    root = str(tmp_path)
+    dt = 20240101
+    t = 1704067200
+    online = [(i, 100 + i % 6, t + i, f"d{i % 6}", "s10202752101001" if i % 2 else "1010275210100100", 2) for i in range(12)]
+    append_day(spark.createDataFrame(online, S.ONLINE), f"{root}/online", dt)
+    append_day(spark.createDataFrame([(100 + i, 7, t, 400) for i in range(6)], S.DWELL_LOG), f"{root}/dwell_log", dt)
+    append_day(spark.createDataFrame([(101, 7, t + 8 * 86400, 500), (102, 7, t + 8 * 86400, 10)], S.DWELL_LOG), f"{root}/dwell_log", 20240109)
+    append_day(spark.createDataFrame([(7, t, t + 7300, 7300, t), (8, t, t + 60, 60, t)], S.WORKLOAD), f"{root}/workload", dt)
+    append_day(spark.createDataFrame([(7, 3), (7, 3), (7, 1)], S.SLOT_LOG), f"{root}/slot_log", dt)
+    append_day(spark.createDataFrame([(7, 500, 1, 1, -20, t + 5)], "roomid bigint, fuid bigint, is_anchor int, category int, diamond bigint, dateline bigint"), f"{root}/diamonds", dt)
+    narrow = CohortFilter(device=2)
+    for _ in range(2):
+        nightly.host_earnings_period(spark, root, dt, dt)
+        for params in (CohortFilter(), narrow):
+            nightly.retention_period(spark, root, dt, dt, params)
+            nightly.slots_period(spark, root, dt, dt, params)
+    kept = "roomid bigint, user_num bigint, week_num bigint, device_type int, f_cids string"
+    everyone = nightly.period_result(spark, root, "retention", kept, dt, dt, CohortFilter().key())
+    assert rows(everyone, "roomid", "user_num", "week_num", "device_type") == [(codes.TOTAL_ROOM, 6, 1, 0), (7, 6, 1, 0)]
+    some = nightly.period_result(spark, root, "retention", kept, dt, dt, narrow.key())
+    assert rows(some, "roomid", "user_num", "device_type") == [(codes.TOTAL_ROOM, 3, 2), (7, 3, 2)]
+    assert "dt" in some._jdf.queryExecution().executedPlan().toString().split("PartitionFilters: [")[1].split("]")[0]
+    slots = nightly.period_result(spark, root, "slot_report", "roomid bigint, user_num bigint, p1 bigint, p3 bigint", dt, dt, narrow.key())
+    assert rows(slots) == [(7, 3, 1, 2)]
+    earned = nightly.period_result(spark, root, "host_earnings", "roomid bigint, diamonds bigint", dt, dt)
+    assert (7, 20) in rows(earned)
+    assert nightly.period_result(spark, root, "retention", kept, dt, 20240102, narrow.key()).count() == 0
+
+
+def test_retention_groups_the_dwell_of_its_base_only(spark):
+    dwell = spark.range(1000).selectExpr("id AS uid", "id % 5 AS roomid", "20240101 AS dt", "id AS dateline", "id AS longs")
+    base = spark.createDataFrame([(1, 1), (2, 2)], "uid bigint, roomid bigint")
+    grouped = retention.dwell_per_day(dwell, base, [(20240101, 20240102)])
+    assert grouped.count() == 2
+    plan = grouped._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("HashAggregate") < plan.index("LeftSemi") and "Exchange" in plan
+
+
 def test_signup_day(spark, rows, tmp_path):
     root, base, start = str(tmp_path), SIGNUP_MIN_UID, 1704067200
     people = [(base + i, start + i, f"s1020276010{i % 3:02d}01", i, i % 2, 0) for i in range(1, 40)]
