@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,7 +114,8 @@ class Lookup:
 
     ``direction`` is ``backward`` (at or before), ``forward`` (at or after) or ``nearest``
     (the earlier one on equal distance); ``strict`` excludes equal times and ``tolerance``
-    bounds the distance. Rows of the same second are reduced to the smallest by ``order``.
+    bounds the distance. Rows of the same second are reduced to the smallest by ``order``. ``where`` leaves rows out;
+    lookups in the same frame are reduced in one pass over it.
     """
 
     name: str
@@ -124,18 +126,23 @@ class Lookup:
     direction: str = "backward"
     tolerance: int | None = None
     strict: bool = False
+    where: Column | None = None
+
+    def source(self) -> tuple:
+        """Lookups with equal sources share their rows."""
+        return id(self.rows), self.time, self.strict
 
     def ways(self) -> list[str]:
         return {"backward": ["before"], "forward": ["after"], "nearest": ["before", "after"]}[self.direction]
 
-    def per_second(self, keys: Sequence[str]) -> DataFrame:
-        row = F.struct(F.col("_t").alias("matched_time"), *[F.col(f"_v.{c}").alias(c) for c in self.cols])
-        return (
-            self.rows.groupBy(*keys, F.col(self.time).cast("bigint").alias("_t"))
-            .agg(first_row(self.cols, self.order).alias("_v"))
-            # Strict rows sort after the asking row of their second and so are not seen by it.
-            .select(*keys, "_t", F.lit(2 if self.strict else 0).alias("_turn"), row.alias(self.name))
-        )
+    def reduced(self) -> Column:
+        """Aggregate: the smallest row that counts, in the shape of :func:`first_row`."""
+        row = F.struct(*[F.col(c).alias(f"_by_{c}") for c in self.order], *self.cols)
+        return F.min(row if self.where is None else F.when(self.where, row))
+
+    def found(self, value: Column) -> Column:
+        row = F.struct(F.col("_t").alias("matched_time"), *[value[c].alias(c) for c in self.cols])
+        return F.when(value.isNotNull(), row)
 
     def pick(self, before: Column | None, after: Column | None) -> Column:
         if before is None or after is None:
@@ -148,6 +155,25 @@ class Lookup:
         return F.when(F.abs(hit.getField("matched_time") - F.col("_t")) <= self.tolerance, hit)
 
 
+def _by_source(lookups: Sequence[Lookup]) -> list[list[Lookup]]:
+    groups: dict[tuple, list[Lookup]] = {}
+    for lookup in lookups:
+        groups.setdefault(lookup.source(), []).append(lookup)
+    return list(groups.values())
+
+
+def _per_second(lookups: Sequence[Lookup], keys: Sequence[str]) -> DataFrame:
+    """One row per (key, second) of a frame with what each lookup in it finds there."""
+    first = lookups[0]
+    second = F.col(first.time).cast("bigint").alias("_t")
+    some = [F.lit(True) if x.where is None else F.coalesce(x.where, F.lit(False)) for x in lookups]
+    rows = first.rows.filter(reduce(lambda a, b: a | b, some))
+    found = rows.groupBy(*keys, second).agg(*[x.reduced().alias(f"_v_{x.name}") for x in lookups])
+    # Strict rows sort after the asking row of their second and so are not seen by it.
+    turn = F.lit(2 if first.strict else 0).alias("_turn")
+    return found.select(*keys, "_t", turn, *[x.found(F.col(f"_v_{x.name}")).alias(x.name) for x in lookups])
+
+
 def nearest_lookup(
     asks: DataFrame, on: Sequence[str], time: str, lookups: Sequence[Lookup], slot: int | None = DAY
 ) -> DataFrame:
@@ -161,8 +187,8 @@ def nearest_lookup(
     """
     keys = list(on)
     marks = asks.select(*keys, F.col(time).cast("bigint").alias("_t")).distinct().withColumn("_turn", F.lit(1))
-    for lookup in lookups:
-        marks = marks.unionByName(lookup.per_second(keys), allowMissingColumns=True)
+    for same in _by_source(lookups):
+        marks = marks.unionByName(_per_second(same, keys), allowMissingColumns=True)
     if slot is not None:
         marks = marks.withColumn("_slot", slot_start(F.col("_t"), slot))
     part = keys if slot is None else [*keys, "_slot"]

@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from nightledger.functions import codes
 from nightledger.functions.numeric import count_if
 from nightledger.operators.aggs import pivot_counts, pivot_sums
-from nightledger.operators.joins import Lookup, label_by_precedence, nearest_join, nearest_lookup, with_memberships
+from nightledger.operators.joins import Lookup, label_by_precedence, nearest_lookup, with_memberships
 from nightledger.operators.merge import merge_add
 from nightledger.operators.windows import drop_later_duplicates, first_row
+from nightledger.session import cut_lineage
 
 DEVICE_COLS = ["idfa", "actid", "ipaddr", "channelid", "chantype", "chanver", "chancode", "terminal", "appver"]
 TEXT_COLS = {"idfa", "channelid"}
+RECHARGE_COLS = ["id", "uid", "dateline", "rechange_channel", "money", "rechange_status", "product_id", "orderid"]
 
 
 def payments(recharge: DataFrame) -> DataFrame:
@@ -38,45 +40,37 @@ def payments(recharge: DataFrame) -> DataFrame:
     return drop_later_duplicates(rows, ["dt", "orderid"], "id", counted)
 
 
-def agent_charges(ledger: DataFrame, internal_agents: Sequence[str] = codes.INTERNAL_AGENTS) -> DataFrame:
-    """Agent charges in whole units, labelled when made by an internal agent."""
-    return ledger.filter(
-        F.col("productid").isin(codes.AGENT_PRODUCT, codes.AGENT_OTHER_PRODUCT) & (F.col("money") > 0)
-    ).select(
+def charges_with_refunds(ledger: DataFrame, within: int = 3600, internal_agents=codes.INTERNAL_AGENTS) -> DataFrame:
+    """Agent charges, with ``refunded`` where a refund of the same user, product and amount follows within ``within`` seconds.
+
+    One pass over the ledger: charges and refunds are told apart by a flag and paired by a window over time. The window
+    runs in slots of ``within`` seconds, and a refund is shown to its own slot and to the one before, so a busy
+    key is spread over its slots.
+    """
+    c = F.col
+    known = ledger.filter(c("productid").isin(codes.AGENT_PRODUCT, codes.AGENT_OTHER_PRODUCT) & (c("money") != 0))
+    slot = F.floor(c("dateline") / within)
+    is_refund = c("money") < 0
+    rows = known.select(
         "id",
         "dt",
         "uid",
         "dateline",
-        F.floor(F.col("money") / 100).alias("amount"),
-        F.when(F.col("productid") == codes.AGENT_PRODUCT, codes.AGENT_TYPE)
-        .otherwise(codes.AGENT_OTHER_TYPE)
-        .alias("type"),
+        F.floor(F.abs("money") / 100).alias("amount"),
+        F.when(c("productid") == codes.AGENT_PRODUCT, codes.AGENT_TYPE).otherwise(codes.AGENT_OTHER_TYPE).alias("type"),
         "productid",
-        F.when(F.col("salesperson").isin(*internal_agents), codes.LABEL_INTERNAL).otherwise(0).alias("special"),
+        F.when(c("salesperson").isin(*internal_agents), codes.LABEL_INTERNAL).otherwise(0).alias("special"),
+        is_refund.alias("_refund"),
+        F.explode(F.when(is_refund, F.array(slot, slot - 1)).otherwise(F.array(slot))).alias("_slot"),
     )
+    ahead = Window.partitionBy("uid", "productid", "amount", "_slot").orderBy("dateline").rangeBetween(1, within)
+    refunded = F.coalesce(F.max("_refund").over(ahead), F.lit(False)) & c("uid").isNotNull()
+    return rows.withColumn("refunded", refunded).filter(~c("_refund")).drop("_refund", "_slot")
 
 
 def refunded_charges(ledger: DataFrame, within: int = 3600, internal_agents=codes.INTERNAL_AGENTS) -> DataFrame:
-    """Agent charges followed within ``within`` seconds by a refund of the same user, product and amount.
-
-    Whether such a refund exists only depends on the next refund after the charge, so the
-    check is a forward nearest match, not a range join.
-    """
-    refunds = ledger.filter(
-        F.col("productid").isin(codes.AGENT_PRODUCT, codes.AGENT_OTHER_PRODUCT) & (F.col("money") < 0)
-    ).select("uid", "productid", F.floor(F.abs("money") / 100).alias("amount"), "dateline", F.col("id").alias("refund_id"))
-    return nearest_join(
-        agent_charges(ledger, internal_agents),
-        refunds,
-        ["uid", "productid", "amount"],
-        "dateline",
-        "dateline",
-        cols=["refund_id"],
-        order=["refund_id"],
-        direction="forward",
-        tolerance=within,
-        strict=True,
-    ).filter(F.col("matched_time").isNotNull())
+    """Agent charges followed within ``within`` seconds by a refund of the same user, product and amount."""
+    return charges_with_refunds(ledger, within, internal_agents).filter("refunded").drop("refunded")
 
 
 def _placed(name: str) -> Column:
@@ -119,19 +113,22 @@ def income_detail(
 
     The device comes from the user's nearest pay request of the day with a channel, at most ``tolerance``
     seconds away: a nearer request without one does not hide it. Else it comes from the last online record of the day at or before the payment. Both
-    are looked up in one pass over the seconds in which a user paid.
+    are looked up in one pass over the seconds in which a user paid. Every log is read once: payments and charges are
+    stored, the other logs have one scan in the plan.
 
     Labels are applied in a fixed order and the last one wins. Refund rows join after the
     first four rules and only see the agent and host rules.
     """
-    charges = agent_charges(ledger, internal_agents)
+    charges = cut_lineage(charges_with_refunds(ledger, refund_within, internal_agents))
+    recharge = cut_lineage(recharge.select("dt", *RECHARGE_COLS))
     seconds = [f.select("dt", "uid", "dateline") for f in (recharge, charges)]
+    typed = F.col("chantype") > 0
     found = nearest_lookup(
         seconds[0].unionByName(seconds[1]),
         ["dt", "uid"],
         "dateline",
         [
-            Lookup("placed", pay_req.filter("chantype > 0"), "dateline", DEVICE_COLS, ["id"], "nearest", tolerance),
+            Lookup("placed", pay_req, "dateline", DEVICE_COLS, ["id"], "nearest", tolerance, where=typed),
             Lookup("any", pay_req, "dateline", DEVICE_COLS, ["id"], "nearest", tolerance),
             Lookup("seen", online, "dateline", DEVICE_COLS, ["actid"]),
         ],
@@ -140,7 +137,7 @@ def income_detail(
     found = found.withColumn("req", F.coalesce("placed", "any")).drop("placed", "any")
     none = F.lit(0).cast(recharge.schema["money"].dataType)
     pays = payments(recharge).withColumns({"is_refund": F.lit(0), "ledger_special": F.lit(0)})
-    refunds = refunded_charges(ledger, refund_within, internal_agents).select(
+    refunds = charges.filter("refunded").select(
         "id",
         "dt",
         "uid",
