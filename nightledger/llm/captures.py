@@ -60,7 +60,8 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     validator both have differs; 'unchecked' if they have none in common; 'missing' without an earlier response, or
     without URL, time or id. Only a resolved revisit has a payload; another keeps its own headers. Entity tags agree
     without their weak mark, and decide before the time of modification. Null headers count as none. Repeated rows
-    are resolved each; repeated responses are one. Other kinds and further columns are ignored.
+    are resolved each; repeated responses are one, and of responses that clash in id and time the one with the smallest digest
+    counts. Other kinds and further columns are ignored.
     """
     columns = ["record_id", "key", "captured_at", "kind", "etag", "last_modified", "headers"]
     keyed = records.withColumn("key", canonical(F.col("url")))
@@ -70,14 +71,16 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     lost = light.where(f"kind = 'revisit' and not ({known})").withColumn("source", F.lit(None).cast(placed.schema["source"].dataType))
     revisits = placed.unionByName(lost).withColumn("response_id", F.col("source.record_id"))
 
-    responses = keyed.where(f"kind = 'response' and {known}").dropDuplicates(["key", "captured_at", "record_id"])
-    responses = responses.select(
+    digest = F.struct(F.xxhash64("payload"), F.xxhash64(F.array_sort(F.map_entries("headers"))), "etag", "last_modified")
+    content = F.struct("etag", "last_modified", "headers", "payload")
+    responses = keyed.where(f"kind = 'response' and {known}").groupBy("key", "captured_at", "record_id")
+    responses = responses.agg(F.min_by(content, digest).alias("one")).select(
         F.col("key").alias("_key"),
         F.struct("captured_at", "record_id").alias("_source"),
-        F.col("etag").alias("_etag"),
-        F.col("last_modified").alias("_modified"),
-        F.col("headers").alias("_headers"),
-        F.col("payload").alias("_payload"),
+        F.col("one.etag").alias("_etag"),
+        F.col("one.last_modified").alias("_modified"),
+        F.col("one.headers").alias("_headers"),
+        F.col("one.payload").alias("_payload"),
     )
     met = revisits.join(responses, (F.col("key") == F.col("_key")) & (F.col("source") == F.col("_source")), "left")
     bare = {c: F.regexp_replace(c, "^W/", "") for c in ("etag", "_etag")}

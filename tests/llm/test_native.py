@@ -254,6 +254,17 @@ def test_revisits(spark, frame):
     assert captures.resolve_revisits(spark.createDataFrame([], CAPTURES)).count() == 0
 
 
+def test_clashing_responses_are_chosen_alike(spark):
+    one = (1, "http://a/", 1, "response", "e", None, {"x": "1"}, "first")
+    two = (1, "http://a/", 1, "response", "e", None, {"x": "2"}, "second")
+    ask = (2, "http://a/", 2, "revisit", "e", None, None, None)
+    kept = [
+        captures.resolve_revisits(spark.createDataFrame(rows, CAPTURES).repartition(n)).first()
+        for rows, n in (([one, two, ask], 1), ([two, ask, one], 3), ([two, one, one, ask], 2))
+    ]
+    assert len({(r.payload, r.headers["x"]) for r in kept}) == 1
+
+
 def test_hot_url_is_carried_over_ranges(spark):
     rows = [(i, "https://hot.example/", i, "response" if i % 50 == 0 else "revisit", '"e"', None, None, "p") for i in range(3000)]
     log = spark.createDataFrame(rows, CAPTURES).repartition(8)
