@@ -15,7 +15,8 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, out: Column, rows: in
     """doc_id, text, label of at most ``rows`` learnable labelled rows of each class.
 
     Rows are taken by a hash of their id, so the sample does not depend on storage. A row labelled twice
-    counts as 1 if either label is 1. Texts over ``most_bytes`` are not learnt from.
+    counts as 1 if either label is 1. Texts over ``most_bytes`` are not learnt from. Of several rows under one id the
+    smallest text is taken, so ``2 * rows`` rows come back at most.
     """
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).where(~out)
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
@@ -25,4 +26,5 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, out: Column, rows: in
         part = known.where(F.col("label") == value).orderBy(*order).limit(rows)
         some = part if some is None else some.union(part)
     texts = docs.select("doc_id", "text").where(F.octet_length("text") <= most_bytes)
-    return texts.join(F.broadcast(some), "doc_id")  # 2 * rows rows at most
+    found = texts.join(F.broadcast(some), "doc_id")  # 2 * rows ids at most
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
