@@ -24,6 +24,7 @@ from nightledger.llm.words import slabs
 SAMPLE_ROWS = 1500  # of each class
 SAMPLE_BYTES = 16 << 10
 SLAB = 512 << 10
+LEARN_SLAB, LEARN_WINDOWS = 64 << 10, 512  # texts and windows that learning handles at once, on the driver
 EPOCHS, STEPS, BATCH, RATE = 8, 200, 128, 0.01  # epochs grow on few rows, up to STEPS batches
 
 
@@ -48,7 +49,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> gru.Params:
         p["ob"][:] = 0 if not len(labels) else 4 * labels[0] - 2
         return p
     parts, word_rows, gram_rows = [], [], []
-    for lo, _, data, offsets in slabs(pa.array(texts, pa.large_string()), SLAB):
+    for lo, _, data, offsets in slabs(pa.array(texts, pa.large_string()), LEARN_SLAB):
         part = gru.Encoded(data, offsets)
         owner = np.repeat(np.arange(lo, lo + len(part.counts)), part.counts)
         parts.append(part)
@@ -71,7 +72,7 @@ def train(texts: list[str], labels: np.ndarray, seed: int = 5) -> gru.Params:
     epochs = int(np.clip(-(-STEPS * BATCH // (len(labels) + (labels == 0).sum())), EPOCHS, 5 * EPOCHS))
     for epoch in range(epochs):
         if epoch:
-            score = window_logits(p, coded)
+            score = window_logits(p, coded, LEARN_WINDOWS)
         order = np.lexsort((-score, coded.text))
         top = order[first]
         last = np.append(first[1:], len(coded.text))
