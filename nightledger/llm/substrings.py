@@ -1,13 +1,15 @@
 """Removal of passages that an earlier document has, with a count-min prefilter.
 
-Pass 1 counts all windows of ``WINDOW`` words in a count-min sketch. Every task sketches its own windows,
-and a reduction tree adds the partial sketches, so counts are never too low. Only "at least two" matters,
-so counters stop at two and the merged sketch keeps one bit per cell. Its size follows the corpus up to
-``MAX_CELLS``; beyond that it lets more windows pass, and the result stays the same.
+Texts are dealt over homes of bounded bytes, once; all passes read that one shuffle.
 
-Pass 2 groups exactly the windows that the sketch holds for repeated, by 96 bits of hash. A task first decides among
+Pass 1 counts the windows of ``WINDOW`` words of each home in a count-min sketch. A sketch row is cut into blocks
+of cells, as many as keep ``LOAD`` windows a cell at any size of the corpus. The sketches of all homes are merged
+block by block, each in a task, so counts are never too low. Only "at least two" matters, so counters stop
+at two. Each home hears which of its own cells hold two or more; no process holds a whole sketch.
+
+Pass 2 groups exactly the windows that the sketch holds for repeated, by 96 bits of hash. A home first decides among
 its own documents: of each window only the smallest document's claim is sent on, so a passage that a
-third of all documents share is sent once per flush of a task, not once per document.
+third of all documents share is sent once per home, not once per document.
 
 Pass 3 brings each document together with the windows it loses and keeps the other words.
 """
@@ -20,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
+import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -31,98 +33,87 @@ from nightledger.llm.words import SPACED, Words, runs, slabs, window_hashes, win
 
 WINDOW = 13
 ROWS = 2
-LOAD = 0.5  # windows for each cell of a row, as long as the bound allows
-MIN_CELLS, MAX_CELLS = 1 << 16, 1 << 28  # of a row; the broadcast has ROWS * MAX_CELLS bits at most
-BLOCK_BITS = 22
-FAN_IN = 32
-SKETCH_FLUSH = 4 << 20  # windows
-CLAIM_FLUSH = 1 << 20  # surviving windows
-BUCKET_BYTES = 6 << 20
+LOAD = 0.5  # windows for each cell of a row
+BLOCK_BITS = 22  # a block has 2 ** BLOCK_BITS cells; merging one takes a byte a cell
+HOME_BYTES = BUCKET_BYTES = 6 << 20
 WORD_BYTES = 6  # with the blank; only sizes the sketch
 NO_ID = np.iinfo(np.int64).max
 
 
-def _cells(words: Words, starts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(window_hashes(words.hashes(r), starts, size, r) for r in range(ROWS))
-
+def _window_keys(texts: pa.Table, size: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Row and place of each window of ``size`` words, and a hash of it for each row of the sketch."""
+    rows, places, keys, base = [np.empty(0, np.int64)], [np.empty(0, np.int32)], [], 0
+    for batch in texts.to_batches():
+        for lo, _, data, offsets in slabs(batch.column("text")):
+            words = Words(data, offsets, SPACED)
+            starts = window_starts(words, size)
+            text = words.text_of()[starts]
+            rows.append(text + (base + lo))
+            places.append((starts - words.first[text]).astype(np.int32))
+            keys.append([window_hashes(words.hashes(r), starts, size, r) for r in range(ROWS)])
+        base += len(batch)
+    none = [np.empty(0, np.uint64)]
+    return np.concatenate(rows), np.concatenate(places), [np.concatenate(none + [k[r] for k in keys]) for r in range(ROWS)]
 
-def _cell(keys: np.ndarray, cells: int) -> np.ndarray:
-    return (((keys >> np.uint64(32)) * np.uint64(cells)) >> np.uint64(32)).astype(np.uint32)
 
+def _cells(keys: np.ndarray, blocks: int, bits: int) -> np.ndarray:
+    """Cell of each window: its block above the lowest ``bits`` bits, its place in the block in these."""
+    half = np.uint64(32)
+    block = ((keys >> half) * np.uint64(blocks)) >> half
+    return (block << np.uint64(bits)) | ((keys & np.uint64(0xFFFFFFFF)) >> np.uint64(32 - bits))
 
-def _partial(part: int, n_cells: int, kept: list[list[np.ndarray]]) -> Iterator[dict]:
-    """One task's sketch: for each row and block the cells seen, and those seen twice."""
-    for row in range(ROWS):
-        cells = np.sort(np.concatenate(kept[row]))
-        again = cells[1:][cells[1:] == cells[:-1]]
-        once, twice = cells[runs(cells)], again[runs(again)]
-        edges = np.arange(-(-n_cells >> BLOCK_BITS) + 1, dtype=np.int64) << BLOCK_BITS
-        at, at2 = np.searchsorted(once, edges), np.searchsorted(twice, edges)
-        for block in np.flatnonzero(np.diff(at)):
-            base = np.uint32(block << BLOCK_BITS)
-            seen, more = once[at[block] : at[block + 1]] - base, twice[at2[block] : at2[block + 1]] - base
-            yield {"row": row, "block": int(block), "part": part, "payload": pack(steps(seen), steps(more))}
 
+_SKETCH = pa.schema([("row", pa.int32()), ("block", pa.int64()), ("home", pa.int32()), ("payload", pa.binary())])
 
-_SKETCH = pa.schema([("row", pa.int32()), ("block", pa.int32()), ("part", pa.int32()), ("payload", pa.binary())])
 
+def repeated_cells(homes: DataFrame, blocks: int, size: int = WINDOW) -> DataFrame:
+    """home, row, block and payload: of the cells that a home has in a block, in order, a bit each whether the windows
+    counted there in all homes may be two or more. Blocks without such a cell are left out.
+    """
+    bits = BLOCK_BITS
+
+    def count(texts: pa.Table) -> pa.Table:
+        _, _, keys = _window_keys(texts, size)
+        home, out = texts.column("home")[0].as_py(), []
+        for row in range(ROWS):
+            cells, n = np.unique(_cells(keys[row], blocks, bits), return_counts=True)
+            for block, at in _split(cells >> np.uint64(bits)):
+                own = (cells[at] & np.uint64((1 << bits) - 1)).astype(np.uint32)
+                payload = pack(steps(own), steps(np.flatnonzero(n[at] > 1).astype(np.uint32)))
+                out.append({"row": row, "block": block, "home": home, "payload": payload})
+        return pa.Table.from_pylist(out, _SKETCH)
 
-def window_sketch(texts: DataFrame, n_cells: int, size: int = WINDOW) -> list[np.ndarray]:
-    """For each row of the sketch a bit per cell, set if the windows counted there may be two or more."""
+    def merge(group: pd.DataFrame) -> pd.DataFrame:
+        counts, seen = np.zeros(1 << bits, np.uint8), []
+        for payload in group["payload"]:
+            own, more = (np.cumsum(x, dtype=np.int64) for x in unpack(payload))
+            counts[own] = np.minimum(counts[own] + 1, 2)
+            counts[own[more]] = 2
+            seen.append(own)
+        out = []
+        for home, row, block, own in zip(group["home"], group["row"], group["block"], seen, strict=True):
+            repeated = counts[own] == 2
+            if repeated.any():
+                out.append((home, row, block, pack(np.packbits(repeated, bitorder="little"))))
+        return pd.DataFrame(out, columns=["home", "row", "block", "payload"])
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, kept, held = TaskContext.get().partitionId(), [[] for _ in range(ROWS)], 0
-        for batch in batches:
-            for _, _, data, offsets in slabs(batch.column(0)):
-                words = Words(data, offsets, SPACED)
-                starts = window_starts(words, size)
-                for row, keys in enumerate(_cells(words, starts, size)):
-                    kept[row].append(_cell(keys, n_cells))
-                held += len(starts)
-                if held >= SKETCH_FLUSH:
-                    yield pa.RecordBatch.from_pylist(list(_partial(part, n_cells, kept)), _SKETCH)
-                    kept, held = [[] for _ in range(ROWS)], 0
-        if held:
-            yield pa.RecordBatch.from_pylist(list(_partial(part, n_cells, kept)), _SKETCH)
-
-    cells = 1 << BLOCK_BITS
-
-    def add(payloads: pd.Series) -> np.ndarray:
-        counts = np.zeros(cells, np.uint8)
-        for payload in payloads:
-            once, twice = (np.cumsum(x) for x in unpack(payload))
-            counts[once] = np.minimum(counts[once] + 1, 2)
-            counts[twice] = 2
-        return counts
+    partial = homes.groupBy("home").applyInArrow(count, "row int, block long, home int, payload binary")
+    return partial.groupBy("row", "block").applyInPandas(merge, "home int, row int, block long, payload binary")
 
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        counts = add(group["payload"])
-        once, twice = (np.flatnonzero(counts >= n).astype(np.uint32) for n in (1, 2))
-        first = group.iloc[0]
-        return pd.DataFrame(
-            {"row": [first["row"]], "block": [first["block"]], "part": [first["part"] // FAN_IN]}
-            | {"payload": [pack(steps(once), steps(twice))]}
-        )
 
-    def close(group: pd.DataFrame) -> pd.DataFrame:
-        twice = np.packbits(add(group["payload"]) == 2, bitorder="little")
-        first = group.iloc[0]
-        return pd.DataFrame({"row": [first["row"]], "block": [first["block"]], "payload": [pack(twice)]})
-
-    sketch = "row int, block int, part int, payload binary"
-    partial = texts.select("text").mapInArrow(count, sketch)
-    parts = max(1, texts.rdd.getNumPartitions())
-    while parts > FAN_IN:
-        partial = partial.groupBy("row", "block", F.expr(f"part div {FAN_IN}")).applyInPandas(
-            lambda key, group: merge(group), sketch
-        )
-        parts = -(-parts // FAN_IN)
-    merged = partial.groupBy("row", "block").applyInPandas(close, "row int, block int, payload binary")
-    planes = [np.zeros((-(-n_cells >> BLOCK_BITS) << BLOCK_BITS) // 8, np.uint8) for _ in range(ROWS)]
-    for row, block, payload in merged.toLocalIterator(prefetchPartitions=True):
-        (plane,) = unpack(payload)
-        planes[row][block * len(plane) :][: len(plane)] = plane
-    return planes
+def _repeated(keys: list[np.ndarray], heard: pa.Table, blocks: int, bits: int) -> np.ndarray:
+    """Which windows of a home are held for repeated by all rows of the sketch."""
+    out = np.ones(len(keys[0]), bool)
+    for row in range(ROWS):
+        cells, at = np.unique(_cells(keys[row], blocks, bits), return_inverse=True)
+        hit = np.zeros(len(cells), bool)
+        own = heard.filter(pa.compute.equal(heard.column("row"), row))
+        for block, payload in zip(own.column("block").to_pylist(), own.column("payload").to_pylist(), strict=True):
+            lo, hi = np.searchsorted(cells, np.array([block << bits, (block + 1) << bits], np.uint64))
+            (flags,) = unpack(payload)
+            hit[lo:hi] = np.unpackbits(flags, count=hi - lo, bitorder="little")
+        out &= hit[at]
+    return out
 
 
 def _by_document(ids: np.ndarray, marks: np.ndarray, homes: np.ndarray, places: np.ndarray, *more: np.ndarray) -> bytes:
@@ -152,9 +143,8 @@ def _split(keys: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 _MOVED = pa.schema([("bucket", pa.int32()), ("home", pa.int32()), ("payload", pa.binary())])
 
 
-def _claims(claims: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatch:
-    """Decide among the windows of one task; what is open goes to the window's bucket."""
-    one, two, ids, marks, homes, places = (np.concatenate(x) for x in zip(*claims, strict=True))
+def _claims(one, two, ids, marks, homes, places, buckets: int) -> pa.Table:
+    """Decide among the windows of one home; what is open goes to the window's bucket."""
     order = np.lexsort((ids, two, one))
     new = np.ones(len(order), bool)
     new[1:] = (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])
@@ -168,7 +158,7 @@ def _claims(claims: list[tuple[np.ndarray, ...]], buckets: int) -> pa.RecordBatc
         payload = _by_document(ids[at], marks[at], homes[at], places[at], one[at], two[at])
         rows.append({"bucket": bucket, "home": None, "payload": payload})
     rows += _losses(ids, marks, homes, places, np.flatnonzero(~first), buckets)
-    return pa.RecordBatch.from_pylist(rows, _MOVED)
+    return pa.Table.from_pylist(rows, _MOVED)
 
 
 def _losses(ids, marks, homes, places, lost, buckets: int) -> list[dict]:
@@ -178,37 +168,20 @@ def _losses(ids, marks, homes, places, lost, buckets: int) -> list[dict]:
     ]
 
 
-def _lost_windows(keyed: DataFrame, planes: list[np.ndarray], n_cells: int, buckets: int, size: int) -> DataFrame:
+def _lost_windows(homes: DataFrame, blocks: int, buckets: int, size: int) -> DataFrame:
     """home and payload: the windows each document loses."""
-    shared = keyed.sparkSession.sparkContext.broadcast(planes)
-
-    def claim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, held, claims = shared.value, 0, []
-        for batch in batches:
-            ids = batch.column("doc").fill_null(NO_ID).to_numpy()
-            marks, homes = batch.column("mark").to_numpy(), batch.column("home").to_numpy()
-            for lo, hi, data, offsets in slabs(batch.column("text")):
-                words = Words(data, offsets, SPACED)
-                starts = window_starts(words, size)
-                keys = _cells(words, starts, size)
-                repeated = np.ones(len(starts), bool)
-                for row in range(ROWS):
-                    cell = _cell(keys[row], n_cells)
-                    repeated &= (seen[row][cell >> np.uint32(3)] >> (cell & np.uint32(7)).astype(np.uint8)) & 1 == 1
-                at = np.flatnonzero(repeated)
-                if not len(at):
-                    continue
-                text = words.text_of()[starts[at]]
-                place = (starts[at] - words.first[text]).astype(np.int32)
-                two = (keys[1][at] >> np.uint64(16)).astype(np.uint32)
-                own = text + lo
-                claims.append((keys[0][at], two, ids[own], marks[own], homes[own], place))
-                held += len(at)
-                if held >= CLAIM_FLUSH:
-                    yield _claims(claims, buckets)
-                    held, claims = 0, []
-        if claims:
-            yield _claims(claims, buckets)
+    bits = BLOCK_BITS
+
+    def claim(texts: pa.Table, heard: pa.Table) -> pa.Table:
+        if not len(texts) or not len(heard):
+            return _MOVED.empty_table()
+        rows, places, keys = _window_keys(texts, size)
+        at = np.flatnonzero(_repeated(keys, heard, blocks, bits))
+        ids = texts.column("doc").combine_chunks().fill_null(NO_ID).to_numpy()
+        marks, own = (texts.column(c).to_numpy() for c in ("mark", "home"))
+        two = (keys[1][at] >> np.uint64(16)).astype(np.uint32)
+        rows = rows[at]
+        return _claims(keys[0][at], two, ids[rows], marks[rows], own[rows], places[at], buckets)
 
     def settle(group: pd.DataFrame) -> pd.DataFrame:
         decided = group["home"].notna()
@@ -226,7 +199,9 @@ def _lost_windows(keyed: DataFrame, planes: list[np.ndarray], n_cells: int, buck
             out.append(pd.DataFrame(rows, columns=["bucket", "home", "payload"])[["home", "payload"]])
         return pd.concat(out).astype({"home": "int32"})
 
-    moved = keyed.mapInArrow(claim, "bucket int, home int, payload binary")
+    heard = repeated_cells(homes, blocks, size)
+    pairs = homes.groupBy("home").cogroup(heard.groupBy("home"))
+    moved = pairs.applyInArrow(claim, "bucket int, home int, payload binary")
     return moved.groupBy("bucket").applyInPandas(settle, "home int, payload binary")
 
 
@@ -256,13 +231,13 @@ def _kept_texts(words: Words, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def _cleaned(docs: DataFrame, size: int, fill, schema: str | StructType) -> DataFrame:
     """Each document with what ``fill`` makes of its batch, its words and the words it keeps."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_cells = int(np.clip(total / WORD_BYTES / LOAD, MIN_CELLS, MAX_CELLS))
-    buckets = max(1, -(-int(total) // BUCKET_BYTES))
-    mark = F.xxhash64("text")
-    keyed = docs.withColumns({"doc": F.col("doc_id").cast("long"), "mark": mark})
-    keyed = keyed.withColumn("home", F.pmod(F.xxhash64("doc", "mark"), F.lit(buckets)).cast("int"))
-    planes = window_sketch(docs, n_cells, size)
-    lost = _lost_windows(keyed.select("doc", "mark", "home", "text"), planes, n_cells, buckets, size)
+    blocks = max(1, -(-int(total) // int(WORD_BYTES * LOAD * (1 << BLOCK_BITS))))
+    homes, buckets = (max(1, -(-int(total) // limit)) for limit in (HOME_BYTES, BUCKET_BYTES))
+    keyed = docs.withColumns({"doc": F.col("doc_id").cast("long"), "mark": F.xxhash64("text")})
+    # equal rows are dealt by the task that reads them, so that they do not all meet in one home
+    home = F.pmod(F.xxhash64("doc", "mark", F.spark_partition_id()), F.lit(homes)).cast("int")
+    keyed = keyed.withColumn("home", home)
+    lost = _lost_windows(keyed, blocks, buckets, size)
 
     def strip(texts: pa.Table, decided: pa.Table) -> pa.Table:
         by_key: dict[tuple[int, int], list[np.ndarray]] = {}

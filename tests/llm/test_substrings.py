@@ -1,7 +1,11 @@
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
+import pytest
 from helpers import frame, prose  # noqa: F401
+from pyspark.sql import functions as F
 
 from nightledger.llm import substrings
 
@@ -39,29 +43,43 @@ def test_equals_brute_force(spark, frame):
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 13)
 
 
-def test_small_sketch_and_flushes_change_nothing(spark, frame, monkeypatch):
+@pytest.mark.parametrize("load", [0.5, 1e6])
+def test_many_blocks_and_a_full_sketch_change_nothing(spark, frame, monkeypatch, load):
     rows = corpus()
-    for name, value in {"SKETCH_FLUSH": 64, "CLAIM_FLUSH": 64, "MIN_CELLS": 64, "MAX_CELLS": 64, "FAN_IN": 2, "BUCKET_BYTES": 999}.items():
+    for name, value in {"BLOCK_BITS": 5, "LOAD": load, "HOME_BYTES": 2000, "BUCKET_BYTES": 999}.items():
         monkeypatch.setattr(substrings, name, value)
     got = substrings.repeated_words(frame(rows).repartition(7))
     assert sorted((tuple(r) for r in got.collect()), key=repr) == brute(rows, 13)
 
 
-def test_sketch_never_underestimates(spark, frame):
-    rows = corpus()
-    planes = substrings.window_sketch(frame(rows).repartition(6).select("text"), 1 << 16)
-    import numpy as np
-    import pyarrow as pa
-
-    from nightledger.llm.words import SPACED, Words, buffers, window_starts
-
-    words = Words(*buffers(pa.array([t for _, t in rows], pa.string())), SPACED)
-    keys = substrings._cells(words, window_starts(words, 13), 13)
+def test_sketch_never_underestimates_and_passes_few_single_windows(spark, frame, monkeypatch):
+    monkeypatch.setattr(substrings, "BLOCK_BITS", 8)
+    rows = corpus() + [(100 + i, " ".join(prose(500 + i, 200, 10**6))) for i in range(40)]
+    docs = frame(rows).select("text").withColumn("home", F.pmod(F.xxhash64("text"), F.lit(9)).cast("int"))
+    texts = docs.toArrow()
+    blocks, home = 2 * 16000 // 256, texts.column("home").to_numpy()
+    heard = substrings.repeated_cells(docs, blocks).toArrow()
+    _, _, keys = substrings._window_keys(texts, 13)
     _, at, n = np.unique(keys[0], return_inverse=True, return_counts=True)
-    for row in range(substrings.ROWS):
-        cell = substrings._cell(keys[row], 1 << 16)
-        bit = np.unpackbits(planes[row], bitorder="little")[cell]
-        assert (bit[n[at] > 1] == 1).all()
+    single = passed = 0
+    for one in range(9):
+        own = texts.filter(pa.array(home == one))
+        _, _, found = substrings._window_keys(own, 13)
+        reply = heard.filter(pa.array(heard.column("home").to_numpy() == one))
+        repeated = substrings._repeated(found, reply, blocks, 8)
+        count = n[np.searchsorted(np.unique(keys[0]), found[0])]
+        assert repeated[count > 1].all()
+        single, passed = single + (count == 1).sum(), passed + repeated[count == 1].sum()
+    assert single > 5000 and passed < 0.2 * single
+
+
+def test_equal_rows_are_dealt_over_homes_and_texts_shuffled_once(spark, frame, monkeypatch):
+    monkeypatch.setattr(substrings, "HOME_BYTES", 2000)
+    rows = corpus() + [(7, corpus()[8][1])] * 60
+    out = substrings.repeated_words(frame(rows).repartition(6))
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == brute(rows, 13)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReusedExchange") >= 2
 
 
 def test_remove_repeats_keeps_columns_and_untouched_texts(spark, frame):
