@@ -213,13 +213,19 @@ def _cells(buckets: DataFrame) -> DataFrame:
     return cells.withColumns({"x": F.least("own", "other"), "y": F.greatest("own", "other")})
 
 
-_CELL = ["key", "x", "y", "own", "band", "id", "component", "n", "registers"]
+_CELL = ["key", "x", "y", "own", "band", "id", "component", "n", "members", "registers"]
 
 
 def _dealt(cells: DataFrame, weight: str, limit: int) -> DataFrame:
-    """``cells`` with the number of the task group their cell belongs to."""
-    total = cells.agg(F.sum(F.expr(weight))).first()[0] or 0
-    return cells.withColumn("deal", F.pmod(F.xxhash64("key", "x", "y"), F.lit(max(1, -(-int(total) // limit)))))
+    """``cells`` with the number of the task group their cell belongs to.
+
+    A cell of a bucket cut into blocks is a group of its own; small cells share groups.
+    """
+    large = F.col("members") > BLOCK
+    total = cells.agg(F.sum(F.when(~large, F.expr(weight)))).first()[0] or 0
+    cell = F.xxhash64("key", "x", "y")
+    shared = F.pmod(cell, F.lit(max(1, -(-int(total) // limit))))
+    return cells.withColumn("deal", F.when(large, cell).otherwise(shared))
 
 
 def _open_members(buckets: DataFrame) -> DataFrame:
@@ -342,7 +348,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     mixed = labelled.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo != hi")
     labelled = cut_lineage(labelled.join(mixed.select("key"), "key", "left_semi"))
     open_ = cut_lineage(_open_members(labelled.join(size, "id")))
-    rows = labelled.select("key", "band", "id", "component").join(size, "id")
+    rows = labelled.select("key", "band", "id", "component", "members").join(size, "id")
     members = open_.join(rows, ["key", "id"]).join(_grams(open_, texts), "id")
     links = links.union(_links_across(members))
 

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from helpers import frame, prose, tuples  # noqa: F401
+from pyspark.sql import functions as F
 
 from nightledger.llm import setsketch
 from nightledger.llm.components import components
@@ -83,6 +84,14 @@ def registers_of(numbers):
     return setsketch.registers(values, np.array([0, len(values)]))
 
 
+def test_large_cells_are_dealt_alone(spark):
+    cells = [(k, x, x, 5000) for k in range(20) for x in range(10)] + [(100 + k, 0, 0, 3) for k in range(300)]
+    frame = spark.createDataFrame(cells, "key long, x int, y int, members long")
+    dealt = setsketch._dealt(frame, "1", 100).groupBy("deal").agg(F.max("members").alias("most"), F.count("*").alias("n")).collect()
+    assert sum(r.most == 5000 for r in dealt) == 200 and all(r.n == 1 for r in dealt if r.most == 5000)
+    assert sum(r.most == 3 for r in dealt) <= 3
+
+
 def test_registers_merge_to_those_of_the_union():
     one, two = registers_of(np.arange(0, 600)), registers_of(np.arange(400, 1500))
     assert (setsketch.merge(one, two) == registers_of(np.arange(0, 1500))).all()
