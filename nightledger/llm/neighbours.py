@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, FloatType
 
 from nightledger.llm.frames import cut_lineage
 
-SAMPLE = 40_000  # vectors that fit the index
+SAMPLE, SAMPLE_BYTES = 40_000, 64 << 20  # vectors that fit the index, as doubles
 LIST_SIZE, MAX_LISTS = 1024, SAMPLE // 8
 REPLICAS, BOUNDARY = 4, 1.10
 DEGREE, TRIALS, COVER = 16, 256, 0.98
@@ -179,7 +179,7 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
 
     Queries are the rows whose vec_id is divisible by ``every``; the candidates of one are all rows with another vec_id.
     The score is the inner product of the given components in double precision, infinite beyond its range; ties go to the smaller vec_id. If there are fewer candidates,
-    all are returned. Rows that take no part are those of ``usable``; repeated rows are one.
+    all are returned; a query whose lists hold fewer than ``count`` visits all lists. Rows that take no part are those of ``usable``; repeated rows are one.
     """
     rows = usable(vectors)
     own = Window.partitionBy("embedding").orderBy("vec_id")
@@ -187,12 +187,14 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
     entries = entries.groupBy("embedding").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     entries = cut_lineage(entries)
     largest = F.array_max(F.transform("embedding", lambda x: F.abs(x.cast("double"))))
-    total, most = entries.agg(F.count("*"), F.max(largest)).first()
+    size = F.first(F.size("embedding"))
+    total, most, length, names = entries.agg(F.count("*"), F.max(largest), size, F.sum(F.size("ids"))).first()
     kind = rows.schema["embedding"].dataType.simpleString()
     schema = "query_id long, rank int, vec_id long, score double"
     if not total:
         return vectors.sparkSession.createDataFrame([], schema)
-    sample = entries.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(SAMPLE).toArrow()
+    fitting = max(1, min(SAMPLE, SAMPLE_BYTES // (8 * length)))
+    sample = entries.select("embedding").orderBy(F.xxhash64("embedding"), "embedding").limit(fitting).toArrow()
     scale = math.ldexp(0.5, math.frexp(most)[1])
     parts = F.transform("embedding", lambda x: x.cast("double") / F.lit(scale))
     (square,) = entries.agg(F.max(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x * x))).first()
@@ -218,8 +220,8 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*found, pa.array(near)], names=["list", "embedding", "vec_id", "near"])
 
     stored = cut_lineage(entries.mapInArrow(store, f"list int, embedding {kind}, ids array<long>"))
-    asked = rows.where(F.col("vec_id") % every == 0).distinct()
-    asked = cut_lineage(asked.mapInArrow(ask, f"list int, embedding {kind}, vec_id long, near boolean"))
+    queries = rows.where(F.col("vec_id") % every == 0).distinct()
+    asked = cut_lineage(queries.mapInArrow(ask, f"list int, embedding {kind}, vec_id long, near boolean"))
     sizes = stored.groupBy("list").agg(F.ceil(F.count("*") / BLOCK).alias("parts"))  # a row per list
 
     def compare(points: pa.Table, queries: pa.Table) -> pa.Table:
@@ -265,7 +267,20 @@ def nearest(vectors: DataFrame, every: int = 20, count: int = 20) -> DataFrame:
     floors = floors.select(F.col("query_id").alias("vec_id"), F.col("score").alias("floor"))
     later = asked.where("not near").join(floors, "vec_id", "left")
     pairs = first.union(searched(later.withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))))
-    pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
-    return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    def ranked(pairs: DataFrame) -> DataFrame:
+        pairs = pairs.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        out = pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= count)
+        return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+    found = cut_lineage(ranked(pairs))
+    full = found.groupBy("query_id").count().where(F.col("count") >= min(count, names - 1))
+    short = cut_lineage(queries.join(full.select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti"))
+    if short.isEmpty():
+        return found
+    every_list = F.explode(F.sequence(F.lit(0), F.lit(len(index.centroids) - 1)))
+    wide = short.withColumns({"floor": F.lit(float("-inf")), "list": every_list})
+    return found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").union(
+        ranked(searched(wide)).select("query_id", "rank", "vec_id", "score")
+    )

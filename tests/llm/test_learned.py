@@ -179,6 +179,19 @@ def test_neighbours(spark, frame, monkeypatch):
     assert copies == [3, *range(1001, 1060)][: len(copies)]
 
 
+def test_short_lists_are_refilled(spark, monkeypatch):
+    rng = np.random.Generator(np.random.PCG64(5))
+    middle = rng.normal(size=(60, 8)) * 10
+    rows = [(i, [float(x) for x in middle[i % 60] + rng.normal(size=8) / 100]) for i in range(600)]
+    for name, value in {"LIST_SIZE": 8, "COVER": 0.01, "SAMPLE_BYTES": 8 * 8 * 500}.items():
+        monkeypatch.setattr(neighbours, name, value)
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.query_id, []).append(r["rank"])
+    assert by.keys() == set(range(0, 600, 20)) and all(sorted(x) == list(range(1, 21)) for x in by.values())
+
+
 def test_few_vectors(spark, frame):
     rows = [(0, [1.0, 0.0], 0), (1, [2.0, 0.0], 0), (2, [-1.0, 1.0], 0)]
     got = [tuple(r) for r in neighbours.nearest(spark.createDataFrame(rows, VECTORS)).collect()]
