@@ -205,6 +205,46 @@ def test_on_air_dwell_is_kept_per_interval(spark, rows):
     assert rows(got, "start_dt", "room_time") == [(100, 60), (200, 60)]
 
 
+def brute_on_air(beats, spans, act, cap):
+    """Rows of (dt, uid, device, room, start, end) by walking over the beats inside each interval."""
+    out = []
+    people = {(b[-1], b[1], b[2] if b[1] == codes.VISITOR_UID else "", b[3]) for b in beats if b[1] >= codes.VISITOR_UID}
+    for dt, uid, device, room in people:
+        own = sorted(
+            (b[5], b[0], *b[2:3]) for b in beats
+            if (b[-1], b[1], b[3]) == (dt, uid, room) and (uid != codes.VISITOR_UID or b[2] == device) and b[5] is not None
+        )
+        for start, end in {s[1:3] for s in spans if s[0] == room and None not in s}:
+            inside = [b for b in own if start <= b[0] <= end]
+            if inside:
+                gaps = [y[0] - x[0] for x, y in zip(inside, inside[1:], strict=False)]
+                first = inside[0]
+                out.append((dt, uid, room, start, end, first[2], first[0], inside[-1][0], sum(g for g in gaps if g <= cap), act.get(first[2], 0)))
+    return sorted(out, key=repr)
+
+
+def test_on_air_dwell_equals_brute_force_and_shuffles_no_pairs(spark, rows):
+    rng = random.Random(3)
+    schema = "id bigint, uid bigint, idfa string, roomid bigint, terminal int, dateline bigint, channelid string, ipaddr string, dt int"
+    people = [(codes.VISITOR_UID, "d1"), (codes.VISITOR_UID, "d2"), (U, "d1"), (U, "d3"), (U + 1, None), (7, "d1")]
+    beats = []
+    for i in range(900):
+        uid, device = rng.choice(people)
+        t = rng.choice([rng.randrange(0, 90_000), rng.randrange(0, 300) * 20, None if i % 50 == 0 else 7200])
+        beats.append((i, uid, device, rng.randrange(4), 2, t, "c", "ip", 20240101 + i % 2))
+    spans = [(rng.randrange(4), a, a + rng.choice([0, 50, 3599, 3600, 10800, 21600, 43201, 10**8])) for a in (rng.randrange(-9000, 90_000) for _ in range(60))]
+    spans += [(1, 500, 400), (1, None, 400), (1, 5, None), (None, 0, 9), (2, 7200, 7200), (2, 7200, 7200)]
+    log = spark.createDataFrame(beats, schema)
+    air = spark.createDataFrame(spans, "roomid bigint, start_dt bigint, end_dt bigint")
+    act = spark.createDataFrame([(4, "d1"), (3, "d1")], "id bigint, idfa string")
+    got = dwell.room_dwell_on_air(log, air, act, 70)
+    keep = ["dt", "uid", "roomid", "start_dt", "end_dt", "idfa", "first_dateline", "dateline", "room_time", "actid"]
+    assert rows(got, *keep) == brute_on_air(beats, spans, {"d1": 3}, 70)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert shuffles and not any("uid" in line and "start_dt" in line for line in shuffles)
+
+
 def ask(i, device, t, terminal=3, action=codes.ACTION_NOTICE, uid=9):
     return (i, uid, t, device, device, "c", terminal, action, "1.1.1.1", 1)
 
