@@ -39,6 +39,11 @@ def dt_to_epoch(dt: Column) -> Column:
     return F.unix_timestamp(dt_to_date(dt).cast("timestamp"))
 
 
+def next_day(e: Column) -> Column:
+    """Epoch of the first second of the day after that of an epoch."""
+    return F.unix_timestamp(F.date_add(F.timestamp_seconds(e).cast("date"), 1).cast("timestamp"))
+
+
 def shift_dt(dt: Column, days: int) -> Column:
     """yyyymmdd integer ``days`` later."""
     return date_to_dt(F.date_add(dt_to_date(dt), days))

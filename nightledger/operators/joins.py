@@ -108,6 +108,50 @@ def interval_join(
     )
 
 
+def count_containing(
+    points: DataFrame,
+    intervals: DataFrame,
+    on: Sequence[str],
+    time: str,
+    counts: dict[str, tuple[Column, Column]],
+    slot: int = DAY,
+) -> DataFrame:
+    """Distinct (key, second) of ``points`` with the number of intervals of the key that contain it, ends included.
+
+    ``counts`` names one number for each pair of ends; an interval that ends before it starts or lacks an end is left out
+    of it. No pairs are formed: an interval counts up at its start and down after its end, the changes are added up
+    per (key, second), and running sums go over the seconds of a (key, slot), as in :func:`nearest_lookup`; what earlier slots
+    leave open comes from one row per slot. So a window holds at most two rows per second of a slot.
+    """
+    keys, names = list(on), list(counts)
+    changes = []
+    for name, (start, end) in counts.items():
+        valid = F.coalesce(start <= end, F.lit(False))
+        for at, step in ((start, 1), (end + 1, -1)):
+            steps = [F.lit(step if n == name else 0).cast("bigint").alias(n) for n in names]
+            changes.append(F.when(valid, F.struct(at.cast("bigint").alias("_t"), *steps)))
+    moves = intervals.select(*keys, F.explode(F.array(*changes)).alias("_move")).filter(F.col("_move").isNotNull())
+    moves = moves.select(*keys, "_move.*").groupBy(*keys, "_t").agg(*[F.sum(n).alias(n) for n in names])
+    asks = points.select(*keys, F.col(time).cast("bigint").alias("_t")).filter(F.col("_t").isNotNull()).distinct()
+    marks = moves.withColumn("_turn", F.lit(0)).unionByName(asks.withColumn("_turn", F.lit(1)), allowMissingColumns=True)
+    marks = marks.withColumn("_slot", slot_start(F.col("_t"), slot))
+    inside = Window.partitionBy(*keys, "_slot").orderBy("_t", "_turn").rowsBetween(Window.unboundedPreceding, 0)
+    here = marks.select(*keys, "_slot", "_t", "_turn", *[F.sum(n).over(inside).alias(n) for n in names])
+    earlier = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(Window.unboundedPreceding, -1)
+    slots = marks.groupBy(*keys, "_slot").agg(*[F.sum(n).alias(n) for n in names])
+    slots = slots.select(*keys, "_slot", *[F.sum(n).over(earlier).alias(f"_open_{n}") for n in names])
+    zero = F.lit(0)
+    return (
+        here.filter(F.col("_turn") == 1)
+        .join(slots, [*keys, "_slot"])
+        .select(
+            *keys,
+            F.col("_t").alias(time),
+            *[(F.coalesce(n, zero) + F.coalesce(f"_open_{n}", zero)).alias(n) for n in names],
+        )
+    )
+
+
 STRETCH = 3  # widths of a cell that an interval may be long
 
 

@@ -18,11 +18,11 @@ from nightledger.functions.channel import (
     valid_channel,
     version_gate,
 )
-from nightledger.functions.dates import HALF_DAY, day_number, dt_to_epoch, shift_dt
+from nightledger.functions.dates import HALF_DAY, day_number, dt_to_epoch, next_day, shift_dt
 from nightledger.functions.numeric import count_if, percent
 from nightledger.functions.text import byte_length, head
 from nightledger.operators.aggs import time_bucket_count
-from nightledger.operators.joins import best_pattern, interval_join, match_patterns
+from nightledger.operators.joins import best_pattern, count_containing, interval_join, match_patterns
 from nightledger.operators.windows import keep_first, rolling_count
 from nightledger.session import cut_lineage
 
@@ -104,8 +104,9 @@ def on_air_facts(beats: DataFrame, workload: DataFrame, hours: int = 12) -> Data
     """Beats on air within ``hours`` of the first visit, and rooms on air visited that day.
 
     ``beats`` comes from :func:`device_beats`. Intervals are clipped to the days they are asked for before they
-    are covered, so an interval that was never closed costs no more than the run is long. The bounds of the run are
-    read first and reach the scan of ``workload``; without beats nothing is read from it.
+    are looked at, so an interval that was never closed costs no more than the run is long. The bounds of the run are
+    read first and reach the scan of ``workload``; without beats nothing is read from it. Only the number of intervals
+    around a beat matters and whether one was reported after its day began, so beats and intervals are not paired.
     """
     c = F.col
     first, last = F.min("dt"), F.max("dt")
@@ -116,15 +117,26 @@ def on_air_facts(beats: DataFrame, workload: DataFrame, hours: int = 12) -> Data
         F.least("end_dt", F.lit(hi)).alias("end_dt"),
         c("dateline").alias("reported"),
     )
-    dated = beats.withColumn("day_start", dt_to_epoch(c("dt"))).withColumn(
-        "day_end", dt_to_epoch(shift_dt(c("dt"), 1)) - 1
-    )
-    paired = interval_join(dated, spans, ["roomid"], "beat", "start_dt", "end_dt").filter(
+    dated = beats.withColumn("day_start", dt_to_epoch(c("dt"))).withColumn("day_end", next_day(c("day_start")) - 1)
+    usual = (c("beat") > c("day_start") - HALF_DAY) & (c("beat") < c("day_end"))
+    # A report comes after the start of a beat's day if the beat is no later than the day of the second before the report.
+    last_report = F.greatest(F.least("reported", F.lit(hi) + 1), F.lit(lo)) - 1
+    report_day_end = next_day(last_report) - 1
+    counts = {
+        "on_air": (c("start_dt"), c("end_dt")),
+        "reported_later": (c("start_dt"), F.when(c("reported").isNotNull(), F.least("end_dt", report_day_end))),
+    }
+    found = count_containing(dated.filter(usual), spans, ["roomid"], "beat", counts).filter(c("on_air") > 0)
+    counted = dated.filter(usual).join(found, ["roomid", "beat"])
+    # Beats of another day than their log's, and those of a day's last second, are held against each interval.
+    paired = interval_join(dated.filter(~usual), spans, ["roomid"], "beat", "start_dt", "end_dt").filter(
         (c("start_dt") < c("day_end")) & (c("end_dt") > c("day_start") - HALF_DAY)
     )
-    today = (c("beat") > c("day_start")) & (c("reported") > c("day_start")) & (c("visit") > c("day_start"))
-    rooms = paired.groupBy(*DEVICE, "roomid").agg(
-        count_if(c("beat") <= c("visit") + hours * 3600).alias("beats"),
+    later = F.when(c("reported") > c("day_start"), 1).otherwise(0).cast("bigint")
+    paired = paired.withColumns({"on_air": F.lit(1).cast("bigint"), "reported_later": later}).select(*counted.columns)
+    today = (c("beat") > c("day_start")) & (c("reported_later") > 0) & (c("visit") > c("day_start"))
+    rooms = counted.unionByName(paired).groupBy(*DEVICE, "roomid").agg(
+        F.sum(F.when(c("beat") <= c("visit") + hours * 3600, c("on_air")).otherwise(0)).alias("beats"),
         F.max(F.when(today, 1).otherwise(0)).alias("room"),
     )
     return rooms.groupBy(*DEVICE).agg(

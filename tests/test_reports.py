@@ -245,6 +245,56 @@ def test_on_air_dwell_equals_brute_force_and_shuffles_no_pairs(spark, rows):
     assert shuffles and not any("uid" in line and "start_dt" in line for line in shuffles)
 
 
+def test_beats_on_air_equal_brute_force_and_are_not_paired(spark, rows):
+    rng = random.Random(8)
+    start = {DT: DAY, DT + 1: DAY + 86400, DT + 2: DAY + 2 * 86400}
+    beats, spans = [], []
+    for _ in range(500):
+        dt = rng.choice(list(start))
+        t = start[dt] + rng.choice([rng.randrange(-43200, 86400), rng.randrange(-90000, 180000), 86399, 86398, 0, 1, -43200, -43199])
+        beats.append((dt, f"d{rng.randrange(6)}", rng.choice([start[dt], start[dt] + 1, start[dt] + 50_000]), rng.choice([1, 2, 3, None]), t, True))
+    for _ in range(40):
+        a = DAY + rng.choice([rng.randrange(-200_000, 300_000), 86399, 86400, 2 * 86400 - 1, -43200, 0])
+        reported = rng.choice([a + 60, a + 10**5, DAY + 86400, DAY + 86401, DAY, DAY + 2 * 86400, None, 0, 10**11])
+        spans.append((rng.choice([1, 2, 3, None]), a, a + rng.choice([-5, 0, 1, 600, 21600, 90_000, 10**9]), reported))
+    spans += [(1, None, DAY + 99, DAY + 99), (1, DAY, None, DAY + 99), *spans[:5]]
+    want = {}
+    for dt, device, visit, room, t, _ in beats:
+        for r, a, b, reported in spans:
+            if room is None or r != room or None in (a, b) or not a <= t <= b or a >= start[dt] + 86399 or b <= start[dt] - 43200:
+                continue
+            n, rooms = want.setdefault((dt, device), [0, set()])
+            want[dt, device][0] += t <= visit + 43200
+            if t > start[dt] and reported is not None and reported > start[dt] and visit > start[dt]:
+                rooms.add(room)
+    log = spark.createDataFrame(beats, "dt int, idfa string, visit bigint, roomid bigint, beat bigint, own boolean")
+    air = spark.createDataFrame(spans, "roomid bigint, start_dt bigint, end_dt bigint, dateline bigint")
+    got = quality.on_air_facts(log, air)
+    assert rows(got, "dt", "idfa", "heartbeat_active", "room_num") == sorted(((*k, n, len(r)) for k, (n, r) in want.items()), key=repr)
+    assert rows(quality.on_air_facts(log.limit(0), air)) == []
+    # 300 beats in 300 intervals: no join makes a row for each pair
+    air = spark.range(300).select(F.lit(1).cast("bigint").alias("roomid"), (DAY + F.col("id")).alias("start_dt"), F.lit(DAY + 50_000).alias("end_dt"), F.lit(DAY + 60_000).alias("dateline"))
+    log = spark.range(300).select(F.lit(DT).alias("dt"), F.lit("d").alias("idfa"), F.lit(DAY + 1).alias("visit"), F.lit(1).cast("bigint").alias("roomid"), (DAY + 1000 + F.col("id")).alias("beat"), F.lit(True).alias("own"))
+    got = quality.on_air_facts(log, air)
+    assert [tuple(r) for r in got.collect()] == [(DT, "d", 90_000, 1)]
+    assert 300 <= max(joined_rows(got._jdf.queryExecution().executedPlan())) <= 600
+
+
+def joined_rows(plan):
+    """Rows each join of an executed plan put out."""
+    plan = plan.executedPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan
+    out = []
+    todo = [plan]
+    while todo:
+        node = todo.pop()
+        if "Join" in node.nodeName():
+            out.append(node.metrics().apply("numOutputRows").value())
+        inner = [node.plan()] if node.nodeName().endswith("QueryStage") else []
+        children = node.children()
+        todo += inner + [children.apply(i) for i in range(children.size())]
+    return out
+
+
 def ask(i, device, t, terminal=3, action=codes.ACTION_NOTICE, uid=9):
     return (i, uid, t, device, device, "c", terminal, action, "1.1.1.1", 1)
 
