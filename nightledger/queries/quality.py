@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from nightledger.plans import channel_quality as plan
 from nightledger.queries.channels import PATTERN_COLS, PRICES, prices
 from nightledger.queries.registry import out, query
-from nightledger.queries.standins import ctes, customers, events, named, table
+from nightledger.queries.standins import EVENT_CHANNEL, ctes, customers, named, table
 from nightledger.session import cut_lineage
 
 SOURCES = ("signup_log", "request_log", "heartbeat", "on_air", "recharge", "spend_log")
@@ -179,9 +179,10 @@ def channel_counts(spark, sf_dir):
 
 
 def _quota(spark, sf_dir):
+    users = table(spark, sf_dir, "events").select("user_id").distinct()  # a channel is worked out once a user, not once an event
     return (
-        events(spark, sf_dir)
-        .groupBy(F.col("channelid").alias("channel_id"))
+        users.selectExpr("user_id AS k", f"{EVENT_CHANNEL} AS channel_id")
+        .groupBy("channel_id")
         .agg((F.max("k") % 4 * 2).alias("remain"), F.lit(0).cast("bigint").alias("total"))
     )
 
