@@ -256,6 +256,46 @@ def test_short_intervals_do_not_repeat_points(spark):
     assert "collect_set(_level" in joined._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture()
+def shuffled(spark):
+    """A session that broadcasts no side of a join."""
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for name in names:
+        spark.conf.set(name, "-1")
+    yield spark
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_pairs_of_one_hot_hour_are_dealt_over_the_tasks(shuffled, rows, monkeypatch):
+    """No task pairs a large cell alone, however few bytes it has; small cells, copies and nulls stay as they are."""
+    monkeypatch.setattr(joins, "CELL_ROWS", 50, raising=False)
+    monkeypatch.setattr(joins, "TASK_PAIRS", 1000, raising=False)
+    rng = random.Random(8)
+    points = [(i, 1, rng.randrange(3600, 7200)) for i in range(900)] + [(900, 1, 5000)] * 120
+    points += [(1000 + i, 2, rng.randrange(0, 9000)) for i in range(40)] + [(2000, None, 5), (2001, 1, None)]
+    spans = [(j, 1, a, min(a + rng.randrange(0, 3000), 7199)) for j in range(180) for a in [rng.randrange(3600, 7200)]]
+    spans += [(300 + j, 2, a, a + 4000) for j in range(9) for a in [rng.randrange(0, 9000)]] + [(0, 1, 3600, 7199)] * 3
+    left = shuffled.createDataFrame(points, "i int, k int, t bigint").withColumn("m", F.create_map("i", "t"))
+    right = shuffled.createDataFrame(spans, "j int, k int, a bigint, b bigint")
+    got = joins.interval_join(left, right, ["k"], "t", "a", "b")
+    assert set(got.columns) == {"i", "j", "k", "t", "m", "a", "b"}
+    whole = [p for p in points if None not in p]
+    want = [(i, j) for i, k, t in whole for j, sk, a, b in spans if sk == k and a <= t <= b]
+    assert rows(got, "i", "j") == sorted(want, key=repr)
+    tasks = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) == 4 and max(tasks) < len(want) / 2
+
+
+def test_cells_of_few_bytes_are_not_merged_into_few_tasks(shuffled, monkeypatch):
+    monkeypatch.setattr(joins, "TASK_PAIRS", 1000, raising=False)
+    points = shuffled.range(4000).select("id", (F.col("id") % 40).alias("k"), (F.col("id") % 3600).alias("t"))
+    spans = shuffled.range(400).select((F.col("id") % 40).alias("k"), F.col("id").alias("a"), (F.col("id") + 3000).alias("b"))
+    joined = joins.interval_join(points, spans, ["k"], "t", "a", "b")
+    tasks = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(tasks) == 4 and max(tasks) < sum(tasks) / 2
+
+
 def like(value, pattern):
     return re.fullmatch(re.escape(pattern).replace("%", ".*").replace("_", "."), value, re.S) is not None
 
