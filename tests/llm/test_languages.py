@@ -192,3 +192,59 @@ def test_nothing_to_learn_and_clashing_columns(spark, frame):
     out = languages.identified(named)
     assert out.columns == ["doc_id", "text", "lang", "a.b", "row", "held_out", "lang_pred", "score", "rejected"]
     assert out.first()["a.b"] == 1
+
+
+LETTERS = {"en": "abcdefghijklm", "de": "fghijklmnopqrs", "ru": "абвгдежзиклмн"}
+BLOCK = 1 << 17  # bytes of a block, of which the sequences of ``noise_rows`` take several
+
+
+def noise(lang, seed, n):
+    rng = random.Random(f"{lang}{seed}")
+    return " ".join("".join(rng.choices(LETTERS[lang], k=rng.randrange(2, 9))) for _ in range(n))
+
+
+def noise_rows():
+    return [(i, noise(lang, i, 50), lang) for i, lang in enumerate(sorted(LETTERS) * 30)]
+
+
+def test_no_sequence_is_left_out_of_blocks(spark):
+    rows, names = noise_rows(), sorted(LETTERS)
+    counts = languages._count(spark.createDataFrame([(lang, t) for _, t, lang in rows], "lang string, text string"), names).cache()
+    parts = list(languages.blocks(counts, names, BLOCK))
+    ends = [p.middles for p in parts]
+    assert len(parts) > 1 and ends[0][0] == 0 and ends[-1][1] == (1 << 32) - 1
+    assert all(a[1] + 1 == b[0] for a, b in zip(ends, ends[1:], strict=False))
+    assert all(len(p.grams[4].hashes) < counts.count() for p in parts)
+    texts = [t for _, t, _ in rows[:9]] + [noise("en", 999, 50), None, "qqq zzz the"]
+    got, characters = symbols(texts), {c for _, t, _ in rows for c in plain(t)}
+    sums = sum(p.sums(got) for p in parts)
+    for j, name in enumerate(names):
+        own = Plain([t for _, t, lang in rows if lang == name], len(characters))
+        assert sums[:, j] == pytest.approx([sum(math.log(own.p(s)) for s in sequences(t or "")) for t in texts], rel=1e-5)
+
+
+def test_heavy_characters_are_cut(spark):
+    """A character before the last that alone has more rows than a block is parted by the one before it."""
+    at = [(a, b, 97, d) for a in range(100, 104) for b in range(200, 210) for d in range(300, 310)]
+    keys = [a << 48 | b << 32 | c << 16 | d for a, b, c, d in at]
+    grams = {k: spark.createDataFrame([(0, v & (1 << 16 * k) - 1) for v in keys], "language int, key long").distinct() for k in (1, 2, 3, 4)}
+    leaving = {k: spark.createDataFrame([(0, (v & (1 << 16 * k) - 1) >> 16) for v in keys], "language int, key long").distinct() for k in (2, 3, 4)}
+    ranges = languages._ranges(grams, leaving, 150)
+    assert len(ranges) > 3 and ranges[0][0] == 0 and ranges[-1][1] == (1 << 32) - 1
+    kept = [{k: set(languages._within(grams[k], k, 1, r).toPandas().key) for k in (2, 3, 4)} for r in ranges]
+    assert sum(len(k[4]) for k in kept) == len(keys) and sum(len(k[3]) for k in kept) == 100
+    assert all(len(k[2]) == 10 and len(k[4]) <= 150 for k in kept)
+    for block, r in zip(kept, ranges, strict=True):
+        own = np.array(sorted(block[4]), np.uint64)
+        assert ((r[0] <= languages._middle(own)) & (languages._middle(own) <= r[1])).all()
+        assert set((own & np.uint64((1 << 48) - 1)).tolist()) == block[3]
+
+
+def test_results_do_not_depend_on_the_size_of_blocks(spark, frame):
+    short = [(1000 + i, noise(lang, i, 1), None) for lang in ("de", "en") for i in range(40)]  # too short to be sure of
+    odd = [(900, None, "en"), (901, "12", None), (None, "abc", "en")]
+    docs = languages_frame(frame, [*noise_rows(), *odd, *short]).coalesce(1)
+    cut, whole = (tuples(languages.identified(docs, table_bytes=n), "doc_id", "lang_pred", "rejected", "score") for n in (BLOCK, 1 << 25))
+    assert len(cut) == 93 + len(short) and [r[:3] for r in cut] == [r[:3] for r in whole]
+    assert [r[3] for r in cut] == pytest.approx([r[3] for r in whole], rel=1e-6)
+    assert min(r[3] for r in whole if r[0] is not None and r[0] >= 1000) < 0.9
