@@ -245,6 +245,28 @@ def test_on_air_dwell_equals_brute_force_and_shuffles_no_pairs(spark, rows):
     assert shuffles and not any("uid" in line and "start_dt" in line for line in shuffles)
 
 
+def joins(node):
+    below = [node.children().apply(i) for i in range(node.children().size())]
+    return ([node] if node.nodeName() == "Join" else []) + [j for child in below for j in joins(child)]
+
+
+def test_single_beats_on_air_meet_intervals_without_lists(spark, rows):
+    rng = random.Random(4)
+    schema = "id bigint, uid bigint, idfa string, roomid bigint, terminal int, dateline bigint, channelid string, ipaddr string, dt int"
+    beats = [(i, U + i, f"d{i}", i % 3, 2, rng.randrange(0, 90_000), None, "ip", 20240101) for i in range(80)]
+    beats += [(100 + i, codes.VISITOR_UID, f"v{i // 2}", 1, 2, 7200 * (i % 2) + i, "c", "ip", 20240101) for i in range(40)]
+    beats += [(200, U, "d0", 0, 2, None, "c", "ip", 20240101), (201, U + 500, "d0", 2, 2, 7200, "c", "ip", 20240101)]
+    spans = [(rng.randrange(3), a, a + rng.choice([0, 3600, 21600, 10**6])) for a in (rng.randrange(-9000, 90_000) for _ in range(50))]
+    spans += [(2, 7200, 7200), (2, 7201, 9000), (2, 0, 7199), (2, 0, 7200), (2, 0, 7200), (None, 0, 10**6)]
+    air = spark.createDataFrame(spans, "roomid bigint, start_dt bigint, end_dt bigint")
+    act = spark.createDataFrame([(4, "d1")], "id bigint, idfa string")
+    got = dwell.room_dwell_on_air(spark.createDataFrame(beats, schema), air, act, 7300)
+    keep = ["dt", "uid", "roomid", "start_dt", "end_dt", "idfa", "first_dateline", "dateline", "room_time", "actid"]
+    assert rows(got, *keep) == brute_on_air(beats, spans, {"d1": 4}, 7300)
+    sides = [j.output().toString() for j in joins(got._jdf.queryExecution().optimizedPlan())]
+    assert sorted("_beats" in side for side in sides if "start_dt" in side) == [False, True]
+
+
 def test_beats_on_air_equal_brute_force_and_are_not_paired(spark, rows):
     rng = random.Random(8)
     start = {DT: DAY, DT + 1: DAY + 86400, DT + 2: DAY + 2 * 86400}
